@@ -215,7 +215,7 @@ SELECT * FROM ({staging_source_sql()})
 QUALIFY row_number() OVER (PARTITION BY {', '.join(STAGING_KEYS)} ORDER BY change_hash DESC) = 1
 """)
 def merge_one_per_key(spark, sf_dir):
-    return one_row_per_key(staging_source(spark, sf_dir), STAGING_KEYS, "change_hash", "largest")
+    return one_row_per_key(staging_source(spark, sf_dir), STAGING_KEYS, "change_hash")
 
 
 _STAGING_RUN_SQL = f"""

@@ -15,6 +15,7 @@ from tidemark.functions.hashing import deleted_hash, hash_keeping_nulls
 from tidemark.functions.values import label_of, null_of
 from tidemark.operators.columns import at
 from tidemark.operators.keys import one_row_per_key
+from tidemark.sources.sinks import stage
 
 AS_OF = "2002-06-01 00:00:00"
 NEXT_AS_OF = "2002-06-02 00:00:00"
@@ -141,15 +142,15 @@ SHIPPED_BEFORE, SHIPPED_FROM = "2001-01-01 00:00:00", "1995-07-01 00:00:00"
 
 
 def staging_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging table after an earlier run, which had closed the rows of one nation."""
+    """The stored staging table of an earlier run, which had closed the rows of one nation."""
     closed = at("nation_name") == "NATION_3"
     rows = one_row_per_key(staging_source(spark, sf_dir, shipped_before=SHIPPED_BEFORE),
-                           STAGING_KEYS, "change_hash", "largest")
-    return rows.withColumns({
+                           STAGING_KEYS, "change_hash")
+    return stage(rows.withColumns({
         "start_date": instant(EARLIER_RUN),
         "end_date": F.when(closed, instant(EARLIER_RUN)),
         "creation_date": instant(EARLIER_RUN), "update_date": instant(EARLIER_RUN),
-        "change_hash": F.when(closed, deleted_hash()).otherwise(at("change_hash"))})
+        "change_hash": F.when(closed, deleted_hash()).otherwise(at("change_hash"))}), "staging-table")
 
 
 STAGING_SQL = f"""

@@ -25,22 +25,23 @@ def label_changes(new: DataFrame, old: DataFrame, key: str,
     changed row whose key is NULL is therefore new. Modified and unmodified rows
     are those of ``new``. An old row whose key was modified belongs to no class.
     Any number of rows may share a key. One shuffle of the distinct rows is used
-    twice: once for the keys that were modified, once for the rows themselves.
+    twice: once for the keys that were modified, once for the rows themselves. The
+    join on the key is NULL-safe only so that Spark adds no NOT NULL filter below
+    one of the two, which would make them differ; NULL keys are ruled out after it.
     """
     rows = row_membership(new, old)
     only_new = F.col(IN_LEFT) & ~F.col(IN_RIGHT)
-    only_old = F.col(IN_RIGHT) & ~F.col(IN_LEFT)
     changed = "__changed_key"
     changed_keys = (rows.groupBy(at(key).alias(changed))
                     .agg(F.max(only_new).alias("__new"), F.max(IN_RIGHT).alias("__old"))
-                    .filter(F.col("__new") & F.col("__old") & F.col(changed).isNotNull())
-                    .select(changed))
-    key_changed = F.col(changed).isNotNull()
+                    .filter(F.col("__new") & F.col("__old"))
+                    .select(changed, F.lit(True).alias("__hit")))
+    key_changed = F.col("__hit").isNotNull() & at(key).isNotNull()
     kind = (F.when(F.col(IN_LEFT) & F.col(IN_RIGHT), "unmodified")
             .when(only_new & key_changed, "modified")
             .when(only_new, "new")
-            .when(only_old & ~key_changed, "deleted"))
-    return (rows.join(changed_keys, at(key) == F.col(changed), "left_outer")
+            .when(~F.col(IN_LEFT) & ~key_changed, "deleted"))
+    return (rows.join(changed_keys, at(key).eqNullSafe(F.col(changed)), "left_outer")
             .withColumn(label, kind).filter(F.col(label).isNotNull())
             .select(*[at(c) for c in new.columns], label))
 

@@ -37,37 +37,46 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate key {hit.asDict()}")
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], prefer: str,
-                    on_duplicate: str = "error", null_safe: bool = False) -> DataFrame:
-    """At most one row per key, decided inside the plan.
-
-    ``error`` fails the job on a repeated key; ``largest`` keeps the row with the
-    largest ``prefer`` column (further columns break ties). Rows with a NULL key
-    stay as they are unless ``null_safe``. Grouping is by the key, as in the join
-    that follows, so that join needs no further exchange of this side; partial
-    aggregation folds repeated keys before the shuffle.
+def failing_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A relation without rows that fails the job it is part of when a key is repeated.
+
+    Reads and shuffles keys only, and in the same job as the rows they belong to.
+    """
+    counted = df.groupBy(*[at(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))
+    # The message holds the count, so the test cannot be moved below the aggregation.
+    message = F.concat(F.lit("duplicate source key: "),
+                       F.to_json(F.struct(*[at(k) for k in keys], "n_rows")))
+    repeated = F.when(F.col("n_rows") > 1, F.raise_error(message).cast("boolean"))
+    return counted.filter(repeated.otherwise(False))
+
+
+def split_keyless(df: DataFrame, keys: Sequence[str],
+                  null_safe: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose key can match another, and the others, which take no part in joins."""
+    if null_safe:
+        return df, None
+    return df.filter(~any_null(keys)), df.filter(any_null(keys))
+
+
+def unique_keyed(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
+    """Of the rows of one key, that with the largest ``prefer``; further columns break ties.
+
+    All rows must have a key. Partial aggregation folds hot keys before the shuffle.
     """
-    if on_duplicate not in ("error", "largest"):
-        raise ValueError(f"on_duplicate must be 'error' or 'largest', not {on_duplicate!r}")
-    key_columns = [at(k) for k in keys]
     rest = [c for c in df.columns if c not in keys]
-    whole = F.struct(*[at(c) for c in rest])
-    if on_duplicate == "error":
-        chosen = F.any_value(whole)
-    else:
-        comparable = [f.name for f in df.schema.fields if f.name in rest and f.name != prefer
-                      and f.dataType.typeName() not in ("map", "variant")]
-        chosen = F.max_by(whole, F.struct(at(prefer), *[at(c) for c in comparable]))
-    keyed = df if null_safe else df.filter(~any_null(keys))
-    grouped = keyed.groupBy(*key_columns).agg(chosen.alias("__row"),
-                                              F.count(F.lit(1)).alias("__n"))
-    if on_duplicate == "error":
-        message = F.concat(F.lit("duplicate source key: "),
-                           F.to_json(F.struct(*key_columns)))
-        grouped = grouped.filter(
-            F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
-    unique = grouped.select(*key_columns, "__row.*").select(*[at(c) for c in df.columns])
-    return unique if null_safe else unique.unionAll(df.filter(any_null(keys)))
+    comparable = [f.name for f in df.schema.fields if f.name in rest and f.name != prefer
+                  and f.dataType.typeName() not in ("map", "variant")]
+    largest = F.max_by(F.struct(*[at(c) for c in rest]),
+                       F.struct(at(prefer), *[at(c) for c in comparable]))
+    grouped = df.groupBy(*[at(k) for k in keys]).agg(largest.alias("__row"))
+    return (grouped.select(*[at(k) for k in keys], "__row.*")
+            .select(*[at(c) for c in df.columns]))
+
+
+def one_row_per_key(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
+    """``unique_keyed``, with rows that have a NULL key left as they are."""
+    keyed, keyless = split_keyless(df, keys)
+    return unique_keyed(keyed, keys, prefer).unionAll(keyless)
 
 
 def assign_surrogates(df: DataFrame, key: str, order_by: Sequence[str], start: int) -> DataFrame:

@@ -219,31 +219,41 @@ def _map_keys(df: DataFrame, column: str, max_columns: int) -> list:
 
 
 def nest_rows(df: DataFrame, group_by: Sequence[str], columns: Sequence[str], into: str,
-              part_col: str = "part", max_items: int = 100_000) -> DataFrame:
+              part_col: str = "part", max_items: int = 100_000,
+              broadcast_groups: int = 10_000, spread: int = 64) -> DataFrame:
     """Rows to lists of structs, in the order of the structs' fields.
 
     A group of up to ``max_items`` rows is one row with part 0. A larger group is
     dealt over as many parts as it needs, since no single row or task could hold
-    it; no row is left out. Group sizes come from a partial aggregation, and only
-    groups above the bound are kept for the look-up.
+    it; no row is left out. Groups are counted first, by a partial aggregation of
+    the keys. Usually none is too large and nothing else is done. A few are
+    broadcast; more than ``broadcast_groups`` are joined on the key and a number, so
+    that a hot key is spread over ``spread`` tasks.
     """
     keys = [at(g) for g in group_by]
-    parts = "__parts"
-    large = (df.groupBy(*[k.alias(f"__g{i}") for i, k in enumerate(keys)])
-             .agg(F.ceil(F.count(F.lit(1)) / max_items).cast("int").alias(parts))
+    parts, deal = "__parts", "__deal"
+    names = [f"__group_{i}" for i in range(len(keys))]
+    large = (df.groupBy(*[k.alias(n) for k, n in zip(keys, names)])
+             .agg(F.ceil(F.count(F.lit(1)) / max_items).cast("bigint").alias(parts))
              .filter(F.col(parts) > 1))
-    same = F.lit(True)
-    for i, key in enumerate(keys):
-        same = same & key.eqNullSafe(F.col(f"__g{i}"))
-    # The map task's number keeps copies of one row apart; it stays the same on a retry.
-    deal = F.xxhash64(*[at(c) for c in columns], F.spark_partition_id())
-    dealt = (df.select(*keys, *[at(c) for c in columns if c not in group_by],
-                       deal.alias("__deal"))
-             .join(large, same, "left_outer")
-             .withColumn(part_col, F.coalesce(F.pmod(F.col("__deal"), F.col(parts)), F.lit(0))
-                         .cast("int")))
+    n_large = large.count()
+    part = F.lit(0)
+    if n_large:
+        same = F.lit(True)
+        for key, name in zip(keys, names):
+            same = same & key.eqNullSafe(F.col(name))
+        # The map task's number keeps copies of one row apart; it is the same on a retry.
+        df = df.withColumn(deal, F.xxhash64(*[at(c) for c in columns], F.spark_partition_id()))
+        if n_large <= broadcast_groups:
+            df = df.join(F.broadcast(large), same, "left_outer")
+        else:
+            each = large.withColumn("__spread", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+            df = df.join(each, same & (F.pmod(at(deal), F.lit(spread)) == F.col("__spread")),
+                         "left_outer")
+        # Higher bits choose the part, as the lowest may have chosen the task.
+        part = F.coalesce(F.pmod(F.shiftright(at(deal), 16), at(parts)), F.lit(0))
     items = F.sort_array(F.collect_list(F.struct(*[at(c) for c in columns])))
-    return dealt.groupBy(*keys, F.col(part_col)).agg(items.alias(into))
+    return df.groupBy(*keys, part.cast("int").alias(part_col)).agg(items.alias(into))
 
 
 def to_documents(df: DataFrame, into: str = "document",

@@ -6,7 +6,8 @@ state, to be written as the next version of the dataset.
 The target is always the streamed side of an outer or semi join and the source
 holds one row per key. A small source is broadcast by Spark and the target is not
 shuffled; otherwise adaptive execution may split a target partition that a hot
-key (or a NULL key) has made large, which it cannot do for a full outer join.
+key has made large, which it cannot do for a full outer join. Rows with a NULL
+key match nothing, so they take no part in any join.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.dates import instant
 from tidemark.functions.hashing import deleted_hash
 from tidemark.operators.columns import at
-from tidemark.operators.keys import one_row_per_key
+from tidemark.operators.keys import failing_duplicates, split_keyless, unique_keyed
 
 SOURCE = "__source_"
 MATCHED = "__matched"
@@ -40,23 +41,43 @@ def _same_key(keys: Sequence[str], null_safe: bool) -> Column:
 def _match(target: DataFrame, source: DataFrame, keys: Sequence[str],
            null_safe: bool = False) -> DataFrame:
     """Every target row with its source row, if any, and a flag that tells."""
+    keyed, keyless = split_keyless(target, keys, null_safe)
     marked = _prefixed(source).withColumn(MATCHED, F.lit(True))
-    return (target.join(marked, _same_key(keys, null_safe), "left_outer")
-            .withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(False))))
-
-
-def _unmatched_source(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                      null_safe: bool = False) -> DataFrame:
-    """Source rows without a target row.
+    joined = (keyed.join(marked, _same_key(keys, null_safe), "left_outer")
+              .withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(False))))
+    if keyless is None:
+        return joined
+    alone = [F.lit(None).cast(f.dataType).alias(SOURCE + f.name) for f in source.schema.fields]
+    return joined.unionAll(keyless.select("*", *alone, F.lit(False).alias(MATCHED)))
+
+
+def _prepared(source: DataFrame, keys: Sequence[str], hash_col: str, on_duplicate: str,
+              null_safe: bool) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
+    """Source rows for the joins, all rows with a key, rows without, and the key check."""
+    raw, keyless = split_keyless(source, keys, null_safe)
+    if on_duplicate == "largest":
+        return unique_keyed(raw, keys, hash_col), raw, keyless, None
+    if on_duplicate == "error":
+        return raw, raw, keyless, failing_duplicates(raw, keys)
+    if on_duplicate == "unique":
+        return raw, raw, keyless, None
+    raise ValueError(f"on_duplicate must be error, largest or unique, not {on_duplicate!r}")
+
+
+def _unmatched_source(target: DataFrame, keyed: DataFrame, raw: DataFrame,
+                      keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Rows of ``keyed`` without a target row.
 
     Only key columns of the target are read. They are made distinct first, so the
     partial aggregation folds hot keys; Spark moves the semi join with a small
-    source below that aggregation, and then no target row is shuffled.
+    source below that aggregation, and then no target row is shuffled. The semi
+    join takes its keys from the ``raw`` source, so the choice of one row per key
+    is not made twice.
     """
-    condition = _same_key(keys, null_safe)
-    known = (target.select(*[at(k) for k in keys]).distinct()
-             .join(_prefixed(source.select(*[at(k) for k in keys])), condition, "left_semi"))
-    return _prefixed(source).join(known, condition, "left_anti")
+    columns, condition = [at(k) for k in keys], _same_key(keys, null_safe)
+    known = (target.select(*columns).distinct()
+             .join(_prefixed(raw.select(*columns).distinct()), condition, "left_semi"))
+    return _prefixed(keyed).join(known, condition, "left_anti")
 
 
 def _closing(end_col: str, restamp_closed: bool) -> Column:
@@ -90,16 +111,21 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  action_col: str | None = None) -> DataFrame:
     """Updates matched rows whose hash differs and inserts source rows without a match.
 
+    Repeated source keys fail the job (``error``), are settled in favour of the
+    largest hash (``largest``), or are known not to occur (``unique``). The first and
+    the last join the source as it is; prefer them, over a source made unique and
+    staged beforehand, when target keys may be hot.
+
     Columns are mapped by name; target columns that the source lacks stay on update
     and are NULL on insert. A NULL hash on either side means no update, and a NULL
     key matches nothing, so such source rows are inserted each time (``null_safe``
     makes NULL keys equal). ``action_col`` adds ``insert``, ``update`` or ``same``.
     """
-    source = one_row_per_key(source, keys, hash_col, on_duplicate, null_safe)
-    return _merged(_match(target, source, keys, null_safe),
-                   _unmatched_source(target, source, keys, null_safe),
-                   target, source, keys, as_of, at(hash_col), hash_col, {}, stamp_on_update,
-                   stamp_on_insert, keep_on_update, action_col)
+    keyed, raw, keyless, check = _prepared(source, keys, hash_col, on_duplicate, null_safe)
+    return _merged(_match(target, keyed, keys, null_safe),
+                   _unmatched_source(target, keyed, raw, keys, null_safe), keyless, check,
+                   target, source.columns, keys, as_of, at(hash_col), hash_col, {},
+                   stamp_on_update, stamp_on_insert, keep_on_update, action_col)
 
 
 def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -114,18 +140,19 @@ def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     A row closed by an earlier run carries the deleted hash, so its key coming
     back counts as a change and opens it again.
     """
-    source = one_row_per_key(source, keys, hash_col, on_duplicate)
+    keyed, raw, keyless, check = _prepared(source, keys, hash_col, on_duplicate, False)
     closing = _closing(end_col, restamp_closed)
     closed = {end_col: instant(as_of), update_col: instant(as_of), hash_col: deleted_hash()}
     after_close = {c: F.when(closing, v).otherwise(at(c)) for c, v in closed.items()}
-    return _merged(_match(target, source, keys), _unmatched_source(target, source, keys),
-                   target, source, keys, as_of, after_close[hash_col], hash_col, after_close,
-                   (update_col,), stamp_on_insert, keep_on_update, action_col,
+    return _merged(_match(target, keyed, keys), _unmatched_source(target, keyed, raw, keys),
+                   keyless, check, target, source.columns, keys, as_of, after_close[hash_col], hash_col,
+                   after_close, (update_col,), stamp_on_insert, keep_on_update, action_col,
                    closing & ~F.col(MATCHED))
 
 
-def _merged(matched: DataFrame, inserted: DataFrame, target: DataFrame, source: DataFrame,
-            keys: Sequence[str], as_of: datetime | str, current_hash: Column, hash_col: str,
+def _merged(matched: DataFrame, inserted: DataFrame, keyless: DataFrame | None,
+            check: DataFrame | None, target: DataFrame, source_columns: Sequence[str], keys: Sequence[str],
+            as_of: datetime | str, current_hash: Column, hash_col: str,
             current: dict[str, Column], stamp_on_update: Sequence[str],
             stamp_on_insert: Sequence[str], keep_on_update: Sequence[str],
             action_col: str | None, closed_now: Column | None = None) -> DataFrame:
@@ -139,14 +166,14 @@ def _merged(matched: DataFrame, inserted: DataFrame, target: DataFrame, source:
         before = current.get(name, at(name))
         if name in stamp_on_update:
             return F.when(changed, now).otherwise(before).cast(types[name]).alias(name)
-        if name in untouched or name not in source.columns:
+        if name in untouched or name not in source_columns:
             return before.alias(name)
         return (F.when(changed, at(SOURCE + name)).otherwise(before)
                 .cast(types[name]).alias(name))
 
     def fresh(name: str) -> Column:
         value = now if name in stamp_on_insert else (
-            at(SOURCE + name) if name in source.columns else F.lit(None))
+            at(SOURCE + name) if name in source_columns else F.lit(None))
         return value.cast(types[name]).alias(name)
 
     kept = [updated(c) for c in target.columns]
@@ -157,4 +184,11 @@ def _merged(matched: DataFrame, inserted: DataFrame, target: DataFrame, source:
             action = action.when(closed_now, "close")
         kept.append(action.otherwise("same").alias(action_col))
         added.append(F.lit("insert").alias(action_col))
-    return matched.select(*kept).unionAll(inserted.select(*added))
+    result = matched.select(*kept).unionAll(inserted.select(*added))
+    if keyless is not None:
+        result = result.unionAll(_prefixed(keyless).select(*added))
+    if check is not None:
+        # Without rows, or else the job fails; counted among the inserted rows.
+        nothing = [F.lit(None).cast(types[c]).alias(c) for c in target.columns]
+        result = result.unionAll(check.select(*nothing, *added[len(nothing):]))
+    return result

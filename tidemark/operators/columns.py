@@ -30,9 +30,14 @@ def is_array_or_map(dtype: T.DataType) -> bool:
     return is_array(dtype) or is_map(dtype)
 
 
+def quoted(name: str) -> str:
+    """A column's literal name, dots included, as an identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def at(name: str) -> Column:
-    """A top-level column by its literal name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A top-level column by its literal name."""
+    return F.col(quoted(name))
 
 
 def distinct_names(names: Sequence[str], what: str) -> None:

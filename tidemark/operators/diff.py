@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.columns import at
+from tidemark.operators.columns import at, quoted
 from tidemark.operators.setops import IN_LEFT, IN_RIGHT, row_membership
 
 
@@ -43,7 +43,7 @@ def label_changes(new: DataFrame, old: DataFrame, key: str,
             .when(~F.col(IN_LEFT) & ~key_changed, "deleted"))
     return (rows.join(changed_keys, at(key).eqNullSafe(F.col(changed)), "left_outer")
             .withColumn(label, kind).filter(F.col(label).isNotNull())
-            .select(*[at(c) for c in new.columns], label))
+            .select(*[quoted(c) for c in new.columns], label))
 
 
 def diff_snapshots(new: DataFrame, old: DataFrame, key: str) -> SnapshotDiff:
@@ -62,7 +62,7 @@ def label_changes_by_hash(new: DataFrame, old: DataFrame, key: str, hash_col: st
     deleted keys. Check the keys first (``keys.require_unique``); otherwise use
     ``label_changes``.
     """
-    n, o = new.alias("n"), old.select(*[at(c) for c in new.columns]).alias("o")
+    n, o = new.alias("n"), old.select(*[quoted(c) for c in new.columns]).alias("o")
     def side(name: str, column: str):
         return F.col(f"{name}.`{column}`")
     gone, came = side("n", key).isNull(), side("o", key).isNull()

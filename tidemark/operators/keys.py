@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.columns import at
+from tidemark.operators.columns import at, quoted
 from tidemark.session import shared_folder
 
 # Fixed value: the first surrogate key of an empty dimension.
@@ -14,17 +14,14 @@ FIRST_SURROGATE = 250_000
 
 
 def any_null(keys: Sequence[str]) -> Column:
-    condition = F.lit(False)
-    for key in keys:
-        condition = condition | at(key).isNull()
-    return condition
+    return F.expr(" OR ".join(f"{quoted(k)} IS NULL" for k in keys))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_as: str = "n_rows",
                    null_safe: bool = False) -> DataFrame:
     """Keys held by more than one row. NULL keys match nothing, so they do not count."""
     rows = df if null_safe else df.filter(~any_null(keys))
-    return (rows.groupBy(*[at(k) for k in keys])
+    return (rows.groupBy(*[quoted(k) for k in keys])
             .agg(F.count(F.lit(1)).alias(count_as)).filter(F.col(count_as) > 1))
 
 
@@ -42,7 +39,7 @@ def failing_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Reads and shuffles keys only, and in the same job as the rows they belong to.
     """
-    counted = df.groupBy(*[at(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))
     # The message holds the count, so the test cannot be moved below the aggregation.
     message = F.concat(F.lit("duplicate source key: "),
                        F.to_json(F.struct(*[at(k) for k in keys], "n_rows")))
@@ -63,14 +60,14 @@ def unique_keyed(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
 
     All rows must have a key. Partial aggregation folds hot keys before the shuffle.
     """
-    rest = [c for c in df.columns if c not in keys]
-    comparable = [f.name for f in df.schema.fields if f.name in rest and f.name != prefer
+    rest = [f for f in df.schema.fields if f.name not in keys]
+    comparable = [f.name for f in rest if f.name != prefer
                   and f.dataType.typeName() not in ("map", "variant")]
-    largest = F.max_by(F.struct(*[at(c) for c in rest]),
-                       F.struct(at(prefer), *[at(c) for c in comparable]))
-    grouped = df.groupBy(*[at(k) for k in keys]).agg(largest.alias("__row"))
-    return (grouped.select(*[at(k) for k in keys], "__row.*")
-            .select(*[at(c) for c in df.columns]))
+    largest = F.max_by(F.struct(*[quoted(f.name) for f in rest]),
+                       F.struct(quoted(prefer), *[quoted(c) for c in comparable]))
+    by = [quoted(k) for k in keys]
+    return (df.groupBy(*by).agg(largest.alias("__row")).select(*by, "__row.*")
+            .select(*[quoted(c) for c in df.columns]))
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:

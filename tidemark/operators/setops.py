@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.columns import at
+from tidemark.operators.columns import quoted
 
 IN_LEFT, IN_RIGHT = "__in_left", "__in_right"
 
 
 def row_membership(left: DataFrame, right: DataFrame) -> DataFrame:
     """Each distinct row once, with two flags telling the sides that hold it."""
-    columns = [at(c) for c in left.columns]
+    columns = [quoted(c) for c in left.columns]
     def tagged(df: DataFrame, in_left: bool) -> DataFrame:
         return df.select(*columns, F.lit(in_left).alias(IN_LEFT),
                          F.lit(not in_left).alias(IN_RIGHT))

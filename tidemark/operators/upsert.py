@@ -15,27 +15,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.dates import instant
 from tidemark.functions.hashing import deleted_hash
-from tidemark.operators.columns import at
+from tidemark.operators.columns import at, quoted
 from tidemark.operators.keys import failing_duplicates, split_keyless, unique_keyed
 
 SOURCE = "__source_"
-MATCHED = "__matched"
+MATCHED, CLOSING, CHANGED = "__matched", "__closing", "__changed"
 
 
 def _prefixed(df: DataFrame) -> DataFrame:
-    return df.select(*[at(c).alias(SOURCE + c) for c in df.columns])
+    return df.toDF(*[SOURCE + c for c in df.columns])
 
 
 def _same_key(keys: Sequence[str], null_safe: bool) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        left, right = at(key), at(SOURCE + key)
-        condition = condition & (left.eqNullSafe(right) if null_safe else left == right)
-    return condition
+    operator = "<=>" if null_safe else "="
+    return F.expr(" AND ".join(f"{quoted(k)} {operator} {quoted(SOURCE + k)}" for k in keys))
 
 
 def _match(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -51,19 +48,6 @@ def _match(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return joined.unionAll(keyless.select("*", *alone, F.lit(False).alias(MATCHED)))
 
 
-def _prepared(source: DataFrame, keys: Sequence[str], hash_col: str, on_duplicate: str,
-              null_safe: bool) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
-    """Source rows for the joins, all rows with a key, rows without, and the key check."""
-    raw, keyless = split_keyless(source, keys, null_safe)
-    if on_duplicate == "largest":
-        return unique_keyed(raw, keys, hash_col), raw, keyless, None
-    if on_duplicate == "error":
-        return raw, raw, keyless, failing_duplicates(raw, keys)
-    if on_duplicate == "unique":
-        return raw, raw, keyless, None
-    raise ValueError(f"on_duplicate must be error, largest or unique, not {on_duplicate!r}")
-
-
 def _unmatched_source(target: DataFrame, keyed: DataFrame, raw: DataFrame,
                       keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Rows of ``keyed`` without a target row.
@@ -74,15 +58,20 @@ def _unmatched_source(target: DataFrame, keyed: DataFrame, raw: DataFrame,
     join takes its keys from the ``raw`` source, so the choice of one row per key
     is not made twice.
     """
-    columns, condition = [at(k) for k in keys], _same_key(keys, null_safe)
+    columns, condition = [quoted(k) for k in keys], _same_key(keys, null_safe)
     known = (target.select(*columns).distinct()
              .join(_prefixed(raw.select(*columns).distinct()), condition, "left_semi"))
     return _prefixed(keyed).join(known, condition, "left_anti")
 
 
-def _closing(end_col: str, restamp_closed: bool) -> Column:
-    is_open = at(end_col).isNull()
-    return (~F.col(MATCHED) | ~is_open) if restamp_closed else (~F.col(MATCHED) & is_open)
+def _close(matched: DataFrame, as_of: datetime | str, end_col: str, update_col: str,
+           hash_col: str, restamp_closed: bool) -> DataFrame:
+    """Stamps the rows to be closed and flags them."""
+    is_open, gone = at(end_col).isNull(), ~F.col(MATCHED)
+    closing = gone | ~is_open if restamp_closed else gone & is_open
+    stamps = {end_col: instant(as_of), update_col: instant(as_of), hash_col: deleted_hash()}
+    return matched.withColumn(CLOSING, closing).withColumns(
+        {c: F.when(F.col(CLOSING), v).otherwise(at(c)) for c, v in stamps.items()})
 
 
 def soft_delete(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -94,12 +83,10 @@ def soft_delete(target: DataFrame, source: DataFrame, keys: Sequence[str],
     By default only open rows are closed. With ``restamp_closed`` every row that is
     already closed is stamped again on each run, its key in the source or not.
     """
-    live = source.select(*[at(k) for k in keys]).distinct()
-    stamps = {end_col: instant(as_of), update_col: instant(as_of), hash_col: deleted_hash()}
-    closing = _closing(end_col, restamp_closed)
-    return _match(target, live, keys).select(*[
-        F.when(closing, stamps[c]).otherwise(at(c)).alias(c) if c in stamps else at(c)
-        for c in target.columns])
+    live = source.select(*[quoted(k) for k in keys]).distinct()
+    closed = _close(_match(target, live, keys), as_of, end_col, update_col, hash_col,
+                    restamp_closed)
+    return closed.select(*[quoted(c) for c in target.columns])
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -121,11 +108,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     key matches nothing, so such source rows are inserted each time (``null_safe``
     makes NULL keys equal). ``action_col`` adds ``insert``, ``update`` or ``same``.
     """
-    keyed, raw, keyless, check = _prepared(source, keys, hash_col, on_duplicate, null_safe)
-    return _merged(_match(target, keyed, keys, null_safe),
-                   _unmatched_source(target, keyed, raw, keys, null_safe), keyless, check,
-                   target, source.columns, keys, as_of, at(hash_col), hash_col, {},
-                   stamp_on_update, stamp_on_insert, keep_on_update, action_col)
+    return _next_state(target, source, keys, as_of, None, hash_col=hash_col,
+                       stamp_on_update=stamp_on_update, stamp_on_insert=stamp_on_insert,
+                       keep_on_update=keep_on_update, on_duplicate=on_duplicate,
+                       null_safe=null_safe, action_col=action_col)
 
 
 def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -138,57 +124,65 @@ def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """``soft_delete`` followed by ``merge_upsert`` with the same source, in one join.
 
     A row closed by an earlier run carries the deleted hash, so its key coming
-    back counts as a change and opens it again.
+    back counts as a change and opens it again. ``action_col`` may also say ``close``.
     """
-    keyed, raw, keyless, check = _prepared(source, keys, hash_col, on_duplicate, False)
-    closing = _closing(end_col, restamp_closed)
-    closed = {end_col: instant(as_of), update_col: instant(as_of), hash_col: deleted_hash()}
-    after_close = {c: F.when(closing, v).otherwise(at(c)) for c, v in closed.items()}
-    return _merged(_match(target, keyed, keys), _unmatched_source(target, keyed, raw, keys),
-                   keyless, check, target, source.columns, keys, as_of, after_close[hash_col], hash_col,
-                   after_close, (update_col,), stamp_on_insert, keep_on_update, action_col,
-                   closing & ~F.col(MATCHED))
-
-
-def _merged(matched: DataFrame, inserted: DataFrame, keyless: DataFrame | None,
-            check: DataFrame | None, target: DataFrame, source_columns: Sequence[str], keys: Sequence[str],
-            as_of: datetime | str, current_hash: Column, hash_col: str,
-            current: dict[str, Column], stamp_on_update: Sequence[str],
-            stamp_on_insert: Sequence[str], keep_on_update: Sequence[str],
-            action_col: str | None, closed_now: Column | None = None) -> DataFrame:
-    """Puts together the rows that were there and the rows that are new."""
-    now = instant(as_of)
-    changed = F.col(MATCHED) & (current_hash != at(SOURCE + hash_col))
-    untouched = {*keys, *keep_on_update}
-    types = {f.name: f.dataType for f in target.schema.fields}
-
-    def updated(name: str) -> Column:
-        before = current.get(name, at(name))
+    def close(matched: DataFrame) -> DataFrame:
+        return _close(matched, as_of, end_col, update_col, hash_col, restamp_closed)
+    return _next_state(target, source, keys, as_of, close, hash_col=hash_col,
+                       stamp_on_update=(update_col,), stamp_on_insert=stamp_on_insert,
+                       keep_on_update=keep_on_update, on_duplicate=on_duplicate,
+                       null_safe=False, action_col=action_col)
+
+
+def _next_state(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                as_of: datetime | str, close, *, hash_col: str,
+                stamp_on_update: Sequence[str], stamp_on_insert: Sequence[str],
+                keep_on_update: Sequence[str], on_duplicate: str, null_safe: bool,
+                action_col: str | None) -> DataFrame:
+    """Rows that were there, closed and updated, together with rows that are new."""
+    if on_duplicate not in ("error", "largest", "unique"):
+        raise ValueError(f"on_duplicate must be error, largest or unique, not {on_duplicate!r}")
+    raw, keyless = split_keyless(source, keys, null_safe)
+    keyed = unique_keyed(raw, keys, hash_col) if on_duplicate == "largest" else raw
+    types: dict[str, T.DataType] = {f.name: f.dataType for f in target.schema.fields}
+    given = {f.name: f.dataType for f in source.schema.fields}
+    now = f"TIMESTAMP_NTZ'{as_of}'"
+    fixed = {*keys, *keep_on_update}
+
+    def from_source(name: str) -> str:
+        column = quoted(SOURCE + name)
+        return column if given[name] == types[name] else (
+            f"CAST({column} AS {types[name].simpleString()})")
+
+    def updated(name: str) -> str:
         if name in stamp_on_update:
-            return F.when(changed, now).otherwise(before).cast(types[name]).alias(name)
-        if name in untouched or name not in source_columns:
-            return before.alias(name)
-        return (F.when(changed, at(SOURCE + name)).otherwise(before)
-                .cast(types[name]).alias(name))
+            return f"if({CHANGED}, {now}, {quoted(name)}) AS {quoted(name)}"
+        if name in fixed or name not in given:
+            return quoted(name)
+        return f"if({CHANGED}, {from_source(name)}, {quoted(name)}) AS {quoted(name)}"
 
-    def fresh(name: str) -> Column:
+    def fresh(name: str) -> str:
         value = now if name in stamp_on_insert else (
-            at(SOURCE + name) if name in source_columns else F.lit(None))
-        return value.cast(types[name]).alias(name)
+            from_source(name) if name in given
+            else f"CAST(NULL AS {types[name].simpleString()})")
+        return f"{value} AS {quoted(name)}"
 
-    kept = [updated(c) for c in target.columns]
-    added = [fresh(c) for c in target.columns]
+    kept, added = [updated(c) for c in types], [fresh(c) for c in types]
     if action_col:
-        action = F.when(changed, "update")
-        if closed_now is not None:
-            action = action.when(closed_now, "close")
-        kept.append(action.otherwise("same").alias(action_col))
-        added.append(F.lit("insert").alias(action_col))
-    result = matched.select(*kept).unionAll(inserted.select(*added))
+        closed = f"WHEN {CLOSING} AND NOT {MATCHED} THEN 'close'" if close else ""
+        kept.append(f"CASE WHEN {CHANGED} THEN 'update' {closed} ELSE 'same' END "
+                    f"AS {quoted(action_col)}")
+        added.append(f"'insert' AS {quoted(action_col)}")
+    matched = _match(target, keyed, keys, null_safe)
+    matched = (close(matched) if close else matched).withColumn(
+        CHANGED, F.expr(f"{MATCHED} AND {quoted(hash_col)} <> {quoted(SOURCE + hash_col)}"))
+    inserted = _unmatched_source(target, keyed, raw, keys, null_safe)
+    result = matched.selectExpr(*kept).unionAll(inserted.selectExpr(*added))
     if keyless is not None:
-        result = result.unionAll(_prefixed(keyless).select(*added))
-    if check is not None:
+        result = result.unionAll(_prefixed(keyless).selectExpr(*added))
+    if on_duplicate == "error":
         # Without rows, or else the job fails; counted among the inserted rows.
-        nothing = [F.lit(None).cast(types[c]).alias(c) for c in target.columns]
-        result = result.unionAll(check.select(*nothing, *added[len(nothing):]))
+        nothing = [f"CAST(NULL AS {t.simpleString()}) AS {quoted(c)}" for c, t in types.items()]
+        check = failing_duplicates(raw, keys)
+        result = result.unionAll(check.selectExpr(*nothing, *added[len(nothing):]))
     return result

@@ -77,15 +77,16 @@ def flatten_array_child(spark, sf_dir):
 
 
 @query("flatten_array_grandchild", f"""WITH {_DOCS_SQL}
-SELECT doc_id, lines_text, count(*) AS n_words,
+SELECT doc_id, lines_shape_chars, count(*) AS n_words,
        CAST(sum(length(word)) AS BIGINT) AS n_word_chars, CAST(max(pos) AS INTEGER) AS last_pos
-FROM (SELECT doc_id, lines_text, unnest(string_split(lines_text, ' ')) AS word,
+FROM (SELECT doc_id, CAST(length(lines_text) AS INTEGER) AS lines_shape_chars,
+             unnest(string_split(lines_text, ' ')) AS word,
              unnest(range(len(string_split(lines_text, ' ')))) AS pos FROM line_rows)
-GROUP BY doc_id, lines_text""")
+GROUP BY doc_id, lines_shape_chars""")
 def flatten_array_grandchild(spark, sf_dir):
     words = split_tables(nested_documents(spark, sf_dir), outer=False)[
         "root_lines_lines_shape_words"]
-    return words.groupBy("doc_id", "lines_text").agg(
+    return words.groupBy("doc_id", "lines_shape_chars").agg(
         F.count(F.lit(1)).alias("n_words"),
         F.sum(F.length("lines_shape_words")).alias("n_word_chars"),
         F.max("lines_shape_words_pos").alias("last_pos"))
@@ -145,15 +146,15 @@ def explode_all(spark, sf_dir):
 
 
 @query("flatten_n", f"""WITH {_DOCS_SQL}
-SELECT doc_id, meta_lang, meta_origin_source, meta_origin_chars, lines_text, lines_shape_chars,
+SELECT doc_id, meta_lang, meta_origin_source, meta_origin_chars, lines_shape_chars,
        count(*) AS n_words, CAST(coalesce(sum(length(word)), -1) AS BIGINT) AS n_word_chars
-FROM (SELECT l.*, w.word FROM (SELECT *, row_number() OVER () AS rid FROM lines_outer) l
+FROM (SELECT l.*, w.word FROM lines_outer l
       LEFT JOIN LATERAL (SELECT unnest(string_split(l.lines_text, ' ')) AS word) w ON TRUE)
 GROUP BY ALL""")
 def flatten_n(spark, sf_dir):
     flat = flatten_levels(nested_documents(spark, sf_dir).drop("tags"), 2)
     return _or_minus_one(flat.groupBy(
-        "doc_id", "meta_lang", "meta_origin_source", "meta_origin_chars", "lines_text",
+        "doc_id", "meta_lang", "meta_origin_source", "meta_origin_chars",
         "lines_shape_chars").agg(
             F.count(F.lit(1)).alias("n_words"),
             F.sum(F.length("lines_shape_words")).alias("n_word_chars")),

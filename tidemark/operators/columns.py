@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.values import blank_to_null
+from tidemark.functions.values import blank_to_null, required
 
 # Characters that may not stand in a column name.
 ILLEGAL_IN_NAMES = "& ,;{}()\n\t=:./#-"
@@ -83,6 +83,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def require_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows; the job that computes them fails when one of the columns is NULL."""
+    return df.select(*[
+        required(at(f.name), f.dataType, f"{f.name} is NULL").alias(f.name)
+        if f.name in columns else quoted(f.name) for f in df.schema.fields])
+
+
 def _value_counts(df: DataFrame) -> list[Column]:
     return [F.count(at(c)).alias(c) for c in df.columns]
 

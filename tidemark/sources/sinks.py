@@ -33,6 +33,18 @@ def write_sink(df: DataFrame, fmt: str, mode: str = "error",
     writer.save(path) if path is not None else writer.save()
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
+                   mode: str = "error") -> None:
+    """A catalog table bucketed and sorted by the keys of its upserts.
+
+    Read with ``spark.table``, it is not shuffled again when it is joined on those
+    keys, given at least as many buckets as the session has shuffle partitions.
+    Suits tables whose keys are unique; a hot key would make a hot bucket.
+    """
+    (df.repartition(buckets, *keys).write.mode(mode).format("parquet")
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+
+
 def load_kind(load_type: str) -> str:
     """``full`` or ``incr``, whatever the case of the given text."""
     kind = load_type.strip().lower()

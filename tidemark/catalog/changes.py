@@ -20,6 +20,7 @@ from tidemark.operators.keys import assign_surrogates, duplicate_keys, one_row_p
 from tidemark.operators.setops import rows_except, rows_intersect, union_by_name
 from tidemark.operators.upsert import merge_upsert, soft_delete
 from tidemark.plans.jobs import dimension_state, staging_state
+from tidemark.sources.sinks import stage
 
 
 def _nulled_orders(spark, sf_dir):
@@ -215,7 +216,7 @@ SELECT * FROM ({staging_source_sql()})
 QUALIFY row_number() OVER (PARTITION BY {', '.join(STAGING_KEYS)} ORDER BY change_hash DESC) = 1
 """)
 def merge_one_per_key(spark, sf_dir):
-    return one_row_per_key(staging_source(spark, sf_dir), STAGING_KEYS, "change_hash")
+    return one_row_per_key(stage(staging_source(spark, sf_dir)), STAGING_KEYS, "change_hash")
 
 
 _STAGING_RUN_SQL = f"""

@@ -144,8 +144,8 @@ SHIPPED_BEFORE, SHIPPED_FROM = "2001-01-01 00:00:00", "1995-07-01 00:00:00"
 def staging_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored staging table of an earlier run, which had closed the rows of one nation."""
     closed = at("nation_name") == "NATION_3"
-    rows = one_row_per_key(staging_source(spark, sf_dir, shipped_before=SHIPPED_BEFORE),
-                           STAGING_KEYS, "change_hash")
+    earlier = stage(staging_source(spark, sf_dir, shipped_before=SHIPPED_BEFORE), "earlier-source")
+    rows = one_row_per_key(earlier, STAGING_KEYS, "change_hash")
     return stage(rows.withColumns({
         "start_date": instant(EARLIER_RUN),
         "end_date": F.when(closed, instant(EARLIER_RUN)),

@@ -47,7 +47,10 @@ def label_changes(new: DataFrame, old: DataFrame, key: str,
 
 
 def diff_snapshots(new: DataFrame, old: DataFrame, key: str) -> SnapshotDiff:
-    """The four classes as four DataFrames over one labelled plan."""
+    """The four classes as four DataFrames over one labelled plan.
+
+    To write several of them, stage ``label_changes`` once and filter that instead.
+    """
     labelled = label_changes(new, old, key, label="__class")
     def only(kind: str) -> DataFrame:
         return labelled.filter(F.col("__class") == kind).drop("__class")

@@ -58,20 +58,22 @@ def split_keyless(df: DataFrame, keys: Sequence[str],
 def unique_keyed(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
     """Of the rows of one key, that with the largest ``prefer``; further columns break ties.
 
-    All rows must have a key. Partial aggregation folds hot keys before the shuffle.
+    All rows must have a key. Spark applies the limit of one row per key in the map
+    tasks already, so a hot key shuffles one row per task.
     """
-    rest = [f for f in df.schema.fields if f.name not in keys]
-    comparable = [f.name for f in rest if f.name != prefer
+    comparable = [f.name for f in df.schema.fields if f.name not in (*keys, prefer)
                   and f.dataType.typeName() not in ("map", "variant")]
-    largest = F.max_by(F.struct(*[quoted(f.name) for f in rest]),
-                       F.struct(quoted(prefer), *[quoted(c) for c in comparable]))
-    by = [quoted(k) for k in keys]
-    return (df.groupBy(*by).agg(largest.alias("__row")).select(*by, "__row.*")
-            .select(*[quoted(c) for c in df.columns]))
+    best = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(
+        *[at(c).desc() for c in (prefer, *comparable)])
+    return (df.withColumn("__rank", F.row_number().over(best))
+            .filter(F.col("__rank") == 1).drop("__rank"))
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
-    """``unique_keyed``, with rows that have a NULL key left as they are."""
+    """``unique_keyed``, with rows that have a NULL key left as they are.
+
+    Reads its input twice; stage one that is costly to compute.
+    """
     keyed, keyless = split_keyless(df, keys)
     return unique_keyed(keyed, keys, prefer).unionAll(keyless)
 

@@ -49,18 +49,21 @@ def _match(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def _unmatched_source(target: DataFrame, keyed: DataFrame, raw: DataFrame,
-                      keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+                      keys: Sequence[str], null_safe: bool, delta: bool) -> DataFrame:
     """Rows of ``keyed`` without a target row.
 
-    Only key columns of the target are read. They are made distinct first, so the
-    partial aggregation folds hot keys; Spark moves the semi join with a small
-    source below that aggregation, and then no target row is shuffled. The semi
-    join takes its keys from the ``raw`` source, so the choice of one row per key
+    Only key columns of the target are read, and made distinct before their
+    shuffle, so the partial aggregation folds hot keys. For a ``delta`` they are
+    first reduced to keys of the source: Spark moves a semi join with a small
+    source below that aggregation, and then no other target key is shuffled. It
+    takes its keys from the ``raw`` source, so that the choice of one row per key
     is not made twice.
     """
     columns, condition = [quoted(k) for k in keys], _same_key(keys, null_safe)
-    known = (target.select(*columns).distinct()
-             .join(_prefixed(raw.select(*columns).distinct()), condition, "left_semi"))
+    known = target.select(*columns).distinct()
+    if delta:
+        wanted = _prefixed(raw.select(*columns).distinct())
+        known = known.join(wanted, condition, "left_semi")
     return _prefixed(keyed).join(known, condition, "left_anti")
 
 
@@ -94,7 +97,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  stamp_on_update: Sequence[str] = ("update_date",),
                  stamp_on_insert: Sequence[str] = ("start_date", "creation_date", "update_date"),
                  keep_on_update: Sequence[str] = ("start_date", "creation_date"),
-                 on_duplicate: str = "error", null_safe: bool = False,
+                 on_duplicate: str = "error", null_safe: bool = False, delta: bool = True,
                  action_col: str | None = None) -> DataFrame:
     """Updates matched rows whose hash differs and inserts source rows without a match.
 
@@ -107,11 +110,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     and are NULL on insert. A NULL hash on either side means no update, and a NULL
     key matches nothing, so such source rows are inserted each time (``null_safe``
     makes NULL keys equal). ``action_col`` adds ``insert``, ``update`` or ``same``.
+
+    ``delta`` says that the source is small beside the target. It only decides the
+    plan; set it to False for a source of about the target's size.
     """
     return _next_state(target, source, keys, as_of, None, hash_col=hash_col,
                        stamp_on_update=stamp_on_update, stamp_on_insert=stamp_on_insert,
                        keep_on_update=keep_on_update, on_duplicate=on_duplicate,
-                       null_safe=null_safe, action_col=action_col)
+                       null_safe=null_safe, delta=delta, action_col=action_col)
 
 
 def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -121,7 +127,7 @@ def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 keep_on_update: Sequence[str] = ("start_date", "creation_date"),
                 on_duplicate: str = "error", restamp_closed: bool = False,
                 action_col: str | None = None) -> DataFrame:
-    """``soft_delete`` followed by ``merge_upsert`` with the same source, in one join.
+    """``soft_delete`` and then ``merge_upsert`` with the same whole snapshot, in one join.
 
     A row closed by an earlier run carries the deleted hash, so its key coming
     back counts as a change and opens it again. ``action_col`` may also say ``close``.
@@ -131,14 +137,14 @@ def sync_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return _next_state(target, source, keys, as_of, close, hash_col=hash_col,
                        stamp_on_update=(update_col,), stamp_on_insert=stamp_on_insert,
                        keep_on_update=keep_on_update, on_duplicate=on_duplicate,
-                       null_safe=False, action_col=action_col)
+                       null_safe=False, delta=False, action_col=action_col)
 
 
 def _next_state(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 as_of: datetime | str, close, *, hash_col: str,
                 stamp_on_update: Sequence[str], stamp_on_insert: Sequence[str],
                 keep_on_update: Sequence[str], on_duplicate: str, null_safe: bool,
-                action_col: str | None) -> DataFrame:
+                delta: bool, action_col: str | None) -> DataFrame:
     """Rows that were there, closed and updated, together with rows that are new."""
     if on_duplicate not in ("error", "largest", "unique"):
         raise ValueError(f"on_duplicate must be error, largest or unique, not {on_duplicate!r}")
@@ -176,7 +182,7 @@ def _next_state(target: DataFrame, source: DataFrame, keys: Sequence[str],
     matched = _match(target, keyed, keys, null_safe)
     matched = (close(matched) if close else matched).withColumn(
         CHANGED, F.expr(f"{MATCHED} AND {quoted(hash_col)} <> {quoted(SOURCE + hash_col)}"))
-    inserted = _unmatched_source(target, keyed, raw, keys, null_safe)
+    inserted = _unmatched_source(target, keyed, raw, keys, null_safe, delta)
     result = matched.selectExpr(*kept).unionAll(inserted.selectExpr(*added))
     if keyless is not None:
         result = result.unionAll(_prefixed(keyless).selectExpr(*added))

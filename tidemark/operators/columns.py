@@ -90,14 +90,11 @@ def require_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if f.name in columns else quoted(f.name) for f in df.schema.fields])
 
 
-def _value_counts(df: DataFrame) -> list[Column]:
-    return [F.count(at(c)).alias(c) for c in df.columns]
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """One row per column: rows seen and values that are not NULL, in one pass."""
     total = "rows seen"
-    counts = df.agg(F.count(F.lit(1)).alias(total), *_value_counts(df))
+    counts = df.agg(F.count(F.lit(1)).alias(total),
+                    *[F.count(at(c)).alias(c) for c in df.columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), at(total).alias("n_rows"),
                                at(c).alias("n_values")) for c in df.columns])
     return counts.select(F.inline(pairs))
@@ -109,13 +106,17 @@ def column_bounds(df: DataFrame, column: str) -> DataFrame:
 
 
 def drop_null_columns(df: DataFrame, how: str = "all") -> DataFrame:
-    """Drops columns that are NULL in all rows (``all``) or in at least one (``any``)."""
+    """Drops columns that are NULL in all rows (``all``) or in at least one (``any``).
+
+    One pass counts the values of the columns that may hold NULLs.
+    """
     if how not in ("all", "any"):
         raise ValueError(f"how must be 'all' or 'any', not {how!r}")
-    *values, rows = df.agg(*_value_counts(df), F.count(F.lit(1)).alias("rows seen")).first()
+    nullable = [f.name for f in df.schema.fields if f.nullable]
+    *values, rows = df.agg(*[F.count(at(c)) for c in nullable], F.count(F.lit(1))).first()
+    found = {**dict.fromkeys(df.columns, rows), **dict(zip(nullable, values))}
     least = rows if how == "any" else 1
-    kept = [c for c, n in zip(df.columns, values) if n >= least]
-    return df.select(*[at(c) for c in kept])
+    return df.select(*[quoted(c) for c in df.columns if found[c] >= least])
 
 
 def clean_name(name: str) -> str:

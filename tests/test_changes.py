@@ -154,7 +154,7 @@ def test_merge_twice_changes_nothing(state, source, rows):
 
 def test_merge_maps_by_name(spark, rows):
     target = spark.createDataFrame([(1, "a", "t", "h")], "k int, v string, own string, hash string")
-    source = spark.createDataFrame([("g", "b", 1), ("f", "c", 2)], "hash string, v string, k int")
+    source = spark.createDataFrame([("g", "b", 1), ("f", "c", 2)], "hash string, V string, k int")
     merged = merge_upsert(target, source, ["k"], AS_OF, hash_col="hash", stamp_on_update=(),
                           stamp_on_insert=(), keep_on_update=())
     assert rows(merged) == [(1, "b", "t", "g"), (2, "c", None, "f")]

@@ -9,12 +9,15 @@ an embedded in-memory one, which only the driver's own process can see.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import query, table
 from tidemark.functions.dates import instant
 from tidemark.operators.columns import at
+from tidemark.plans.control import advance_window, create_control
+from tidemark.plans.jobs import ingest_described
 from tidemark.session import scratch_path
 from tidemark.sources import jdbc
 from tidemark.sources.publish import (
@@ -255,6 +258,39 @@ def sink_jdbc(spark, sf_dir):
     return jdbc.read_table(spark, database, relation)
 
 
+@query("ingest_described", """
+SELECT event_id, user_id, event_type, date_trunc('second', ts) AS ts FROM events
+WHERE ts > TIMESTAMP '2024-01-15 00:00:00'""")
+def ingest_described_events(spark, sf_dir):
+    """An incremental load of a database table, described by a specification."""
+    database, relation = _loaded(spark, sf_dir, "events")
+    control = scratch_path(spark, "control")
+    create_control(spark, control)
+    advance_window(spark, control, "app.events", datetime(2024, 1, 15))
+    spec = {
+        "environment": {"test": {"dynamic_vars": {
+            "$url": database.url, "$relation": relation, "$bucket": "landing"}}},
+        "Source2Target": {
+            "sources": {"app": {"app.events": {
+                "sourcequery": 'SELECT "event_id", "user_id", "event_type", "ts" FROM $relation '
+                               """WHERE "ts" > {{ts '{}'}}""",
+                "load_type": "Incr", "jdbcUrl": "$url",
+                "connectionProperties": {"driver": database.driver},
+                "partition_flag": "Y",
+                "partition_info": {"partition_column": '"event_id"', "num_partitions": 8,
+                                   "fetch_size": 1000, "part_col_datatype": "int"}}}},
+            "targets": {"s3": {"app.events": {
+                "target_bucket_name": "$bucket", "target_key_name": "incr/app/events/",
+                "target_partition_by": None, "target_write_mode": "overwrite",
+                "target_file_format": "parquet",
+                "writer_spark_options": {"target_compression_type": "snappy"}}}}}}
+    path = ingest_described(spark, spec, "app", "app.events", environment="test",
+                            control_path=control, as_of=datetime(2024, 1, 31),
+                            root=scratch_path(spark, "store") + "/")
+    return spark.read.parquet(path).withColumn(
+        "ts", F.date_trunc("second", "ts").cast("timestamp_ntz"))
+
+
 @query("publish_swap", """
 SELECT 'while loading' AS seen, s_suppkey, s_nationkey FROM supplier UNION ALL
 SELECT 'after commit', s_suppkey, s_nationkey + 100 FROM supplier""")

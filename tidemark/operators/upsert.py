@@ -148,6 +148,8 @@ def _next_state(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Rows that were there, closed and updated, together with rows that are new."""
     if on_duplicate not in ("error", "largest", "unique"):
         raise ValueError(f"on_duplicate must be error, largest or unique, not {on_duplicate!r}")
+    spelled = {c.lower(): c for c in target.columns}
+    source = source.toDF(*[spelled.get(c.lower(), c) for c in source.columns])
     raw, keyless = split_keyless(source, keys, null_safe)
     keyed = unique_keyed(raw, keys, hash_col) if on_duplicate == "largest" else raw
     types: dict[str, T.DataType] = {f.name: f.dataType for f in target.schema.fields}

@@ -63,10 +63,11 @@ def load_path(base: str, load_type: str, as_of: datetime) -> str:
 
 def write_load(df: DataFrame, base: str, load_type: str, as_of: datetime,
                fmt: str = "parquet", mode: str = "overwrite",
-               options: dict[str, str] | None = None) -> str:
+               options: dict[str, str] | None = None,
+               partition_by: Sequence[str] = ()) -> str:
     """Writes one load; overwriting an incremental one replaces its own hour only."""
     path = load_path(base, load_type, as_of)
-    write_sink(df, fmt, mode, options, path=path)
+    write_sink(df, fmt, mode, options, path=path, partition_by=partition_by)
     return path
 
 

@@ -182,6 +182,7 @@ def test_control_windows(spark, tmp_path):
     df = spark.createDataFrame([(1, datetime(2023, 12, 25)), (2, datetime(2023, 12, 26)),
                                 (3, datetime(2024, 5, 1))], "id int, ts timestamp_ntz")
     assert [r.id for r in look_back(df, control, "j", "ts").collect()] == [2, 3]
+    assert look_back(df, control, "other", "ts").count() == 3
     assert look_back(df, control, "unknown", "ts").count() == 0
 
 

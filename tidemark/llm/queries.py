@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.langid import identify
+from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.mixing import mix_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +65,38 @@ FROM sizes s JOIN reach r ON r.node = s.doc_id GROUP BY s.doc_id, s.n_shingles
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups on two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source."""
+    return mix_sources(table(spark, sf_dir, "documents")).documents
+
+
+_LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, translate(trim(line, e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS k FROM (
+    SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line FROM (
+      SELECT doc_id, string_split(coalesce(text, ''), e'\n') AS l FROM documents))),
+keys AS (SELECT k, min(doc_id) AS first, max(doc_id) AS last FROM lines WHERE length(k) >= 10 GROUP BY k),
+marked AS (
+  SELECT l.*, coalesce(first < last AND doc_id <> first, false) AS gone
+  FROM lines l LEFT JOIN keys USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, e'\n' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op6_lines", _LINES_SQL)
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines held by several documents."""
+    return (drop_repeated_lines(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, sf_dir, "documents"))

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.chat import format_chats
+from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.fingerprints import fingerprint_versions
 from tidemark.llm.langid import identify
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.pii import find_personal_data
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +104,76 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return identify(table(spark, sf_dir, "documents"))
+
+
+_LEAKS_SQL = r"""
+WITH cut AS (
+  SELECT item_id, trim(text, e' \t\n\x0b\x0c\r') AS t,
+    length(t) - length(regexp_extract(t, '[^\n]*$')) AS head FROM benchmark),
+plain AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, item_id, substr(t, 1, head) FROM cut
+  UNION ALL SELECT 2, item_id, substr(t, head + 1) FROM cut),
+words AS (
+  SELECT kind, id, list_filter(string_split_regex(lower(text), '[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+'),
+    lambda x: x <> '') AS w FROM plain WHERE text IS NOT NULL),
+parts AS (SELECT kind, id, least(5, len(w)) AS n, w FROM words WHERE kind > 0),
+grams AS (
+  SELECT DISTINCT kind, id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT kind, id, n, w, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS i FROM parts)),
+held AS (
+  SELECT DISTINCT id AS doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT id, w, n, unnest(range(1, CAST(greatest(len(w) - n + 2, 1) AS BIGINT))) AS i
+    FROM words, (SELECT DISTINCT n FROM grams) WHERE kind = 0)),
+shares AS (
+  SELECT doc_id, g.id AS item_id, kind, count(*) AS k FROM grams g JOIN held h ON h.n = g.n AND h.g = g.g
+  GROUP BY ALL),
+sizes AS (SELECT kind, id AS item_id, count(*) AS m FROM grams GROUP BY ALL),
+rated AS (SELECT doc_id, s.item_id, s.kind, k / m AS share FROM shares s JOIN sizes z
+  ON s.item_id = z.item_id AND s.kind = z.kind)
+SELECT q.doc_id, q.item_id, q.share AS question_overlap, a.share AS answer_overlap
+FROM rated q JOIN rated a ON q.kind = 1 AND a.kind = 2 AND q.doc_id = a.doc_id AND q.item_id = a.item_id
+WHERE q.share >= 0.7 AND a.share >= 0.7
+"""
+
+
+@query("op1_decontaminate", _LEAKS_SQL)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items."""
+    return (contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "item_id", "question_overlap", "answer_overlap"))
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+_CHAT_SQL = r"""
+WITH chats AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(length(role) || ':' || role || length(text) || ':' || text || e'\x1e', ''
+      ORDER BY turn, role, text) AS told,
+    string_agg('<|im_start|>' || replace(replace(role, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')
+      || e'\n' || replace(replace(text, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')
+      || e'<|im_end|>\n', '' ORDER BY turn, role, text) AS rendered
+  FROM conversations GROUP BY conv_id),
+whole AS (
+  SELECT told, min(conv_id) AS conv_id, min(n_turns) AS n_turns, count(*) AS n_records,
+    min(rendered) AS rendered FROM chats GROUP BY told)
+SELECT conv_id, n_turns, n_records, rendered FROM whole w WHERE NOT EXISTS (
+  SELECT 1 FROM whole o WHERE o.n_turns > w.n_turns AND starts_with(o.told, w.told))
+"""
+
+
+@query("op3_chat", _CHAT_SQL)
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered."""
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint_versions(table(spark, sf_dir, "documents"))

@@ -1,0 +1,114 @@
+"""Repeated passages against a brute-force count of all strings of that length."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tidemark.llm.repeats import (
+    earlier_and_later, remove_repeats, share_prefix, smaller_before, suffix_array,
+)
+
+
+def brute(docs, length, keep_first):
+    """What must be left of each (id, text), ids being distinct."""
+    begins = defaultdict(list)
+    order = sorted(docs, key=lambda d: (d[0] is None, d[0] or 0))
+    for d, (_, text) in enumerate(order):
+        data = (text or "").encode()
+        for i in range(len(data) - length + 1):
+            begins[data[i:i + length]].append((d, i))
+    out = []
+    for d, (doc_id, text) in enumerate(order):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            places = begins[data[i:i + length]]
+            if (places[0] != (d, i)) if keep_first else len(places) > 1:
+                gone[i:i + length] = b"\1" * length
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        n_spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((doc_id, len(data), sum(gone), n_spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefé") for _ in range(rng.randint(1, 6)))
+    shared = [" ".join(word() for _ in range(40)) for _ in range(3)]
+    docs = []
+    for i in range(40):
+        parts = [" ".join(word() for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        text = parts[0] + rng.choice(shared + [""]) + parts[1] + rng.choice(shared + [""]) + parts[2]
+        docs.append((i, text))
+    base = docs[3][1]
+    for i in range(40, 60):
+        at = rng.randint(0, len(base))
+        docs.append((i, base[:at] + word() + base[at + rng.randint(0, 3):]))
+    return docs + [(60, None), (61, ""), (62, "x" * 500), (63, "ab" * 130), (64, docs[0][1]),
+                   (65, docs[0][1]), (None, docs[7][1])]
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+@pytest.mark.parametrize("seed,length", [(1, 40), (2, 64)])
+def test_same_bytes_go_as_by_brute_force(spark, seed, length, keep_first):
+    docs = corpus(seed)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = remove_repeats(df, length, keep_first).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute(docs, length, keep_first)
+
+
+def test_groups_larger_than_a_block(spark, monkeypatch):
+    docs = corpus(3)
+    monkeypatch.setattr("tidemark.llm.repeats.BLOCK_CONTEXTS", 4)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = remove_repeats(df, 40, False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute(docs, 40, False)
+
+
+def test_a_very_long_text(spark):
+    rng = np.random.default_rng(5)
+    text = "".join(map(chr, rng.integers(97, 123, 3_000_000)))
+    text = text[:2_500_000] + "!" + text[1_000_000:1_000_700] + "?" + text[2_500_000:]
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = remove_repeats(df, 400, False).first()
+    assert (row["n_removed"], row["n_spans"]) == (1400, 2)
+    assert remove_repeats(df, 400, True).first()["n_removed"] == 700
+
+
+def test_extra_columns_copies_and_empty_tables(spark):
+    text = "0123456789" * 3 + "z"
+    df = spark.createDataFrame([(1, text, 5, "a"), (1, text, 6, "b")],
+                               "doc_id int, text string, row int, place string")
+    got = [r["n_removed"] for r in remove_repeats(df, 20, False).collect()]
+    assert got == [len(text), len(text)]
+    assert remove_repeats(df.limit(0), 20).count() == 0
+
+
+def test_suffix_order_and_neighbours():
+    text = b"banana bandana banana"
+    data = np.append(np.frombuffer(text, np.uint8).astype(np.int64) + 1, 0)
+    order, ranks = suffix_array(data, 30)
+    assert [text[i:] for i in order if i < len(text)] == sorted(text[i:] for i in range(len(text)))
+    for length in (8, 13, 14, 20):
+        shared = share_prefix(order, ranks, length)
+        for k, (a, b) in enumerate(zip(order, order[1:])):
+            x, y = text[a:a + length], text[b:b + length]
+            if len(x) == len(y) == length:
+                assert shared[k] == (x == y)
+    earlier, later = earlier_and_later([text + b" ban"], [np.arange(len(text) + 4)], 8)
+    text += b" ban"
+    places = {i: [j for j in range(len(text) - 7) if text[j:j + 8] == text[i:i + 8]]
+              for i in range(len(text) - 7)}
+    assert np.flatnonzero(earlier[0]).tolist() == [i for i, p in places.items() if min(p) < i]
+    assert np.flatnonzero(later[0]).tolist() == [i for i, p in places.items() if max(p) > i]
+
+
+def test_smaller_values_before_in_a_run():
+    values = np.array([5, 7, 3, 4, 1, 9, 2])
+    tied = np.array([False, True, True, True, False, True, True])
+    assert smaller_before(values, tied).tolist() == [False, True, False, True, False, True, True]

@@ -14,6 +14,7 @@ from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.pii import find_personal_data
+from tidemark.llm.repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,3 +178,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
+@query("op9_repeats")
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes that begin more than once, all copies removed."""
+    return (remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_first=False)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))

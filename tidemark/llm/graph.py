@@ -31,15 +31,13 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
         large = (both.filter("v > u").join(least, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
         large = scratch.write(large, f"{name}-large-{turn}")
-        lowest = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")),
-                               f"{name}-lowest-{turn}")
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(lowest, "u")
                  .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
                          .alias("x")).select("x.u", "x.v").filter("u <> v").distinct())
         links_next = scratch.write(small, f"{name}-{turn + 1}")
-        scratch.release(f"{name}-{turn}", f"{name}-least-{turn}", f"{name}-large-{turn}",
-                        f"{name}-lowest-{turn}")
+        scratch.release(f"{name}-{turn}", f"{name}-least-{turn}", f"{name}-large-{turn}")
         links, turn, now = links_next, turn + 1, _summary(links_next)
         if now == seen:
             break

@@ -22,6 +22,8 @@ HASHES = BANDS * ROWS
 PER_LONG = 64 // BITS
 #: Six standard deviations of the estimate below the threshold: what is dropped unseen.
 SLACK = 0.23
+#: Nodes in a block of neighbours that are compared with each other.
+BLOCK_NODES = 128
 
 SIGNATURE = ("doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, "
              "sig array<bigint>")
@@ -139,29 +141,67 @@ def may_reach(a: Column, b: Column, percent: int) -> Column:
     return agreement(a, b) >= F.lit(int(HASHES * (chance + (1 - chance) * least)))
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int,
-           scratch: Scratch, name: str) -> DataFrame:
-    """Of the candidate pairs ``(u, v)`` those that are confirmed on their full sets."""
-    left = reps.select(F.col("node").alias("u"), F.col("sig").alias("sig_u"),
-                       F.col("n_shingles").alias("n_u"))
-    right = reps.select(F.col("node").alias("v"), F.col("sig").alias("sig_v"),
-                        F.col("n_shingles").alias("n_v"))
-    near = (pairs.join(left, "u").join(right, "v")
-            .filter(may_reach(F.col("sig_u"), F.col("sig_v"), percent))
-            .filter(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-            .select("u", "v").distinct())
-    near = scratch.write(near, f"{name}-near")
-    needed = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    sets = (picked(docs, "doc_id", "text").join(needed, "doc_id", "left_semi")
-            .mapInArrow(_sets(n), "node bigint, shingles binary"))
-    sets = scratch.write(sets, f"{name}-sets")
-    full = (near.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("s_v")), "v")
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the candidate pairs ``(u, v)`` those that are links by their full sets."""
+    full = (pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("s_v")), "v")
             .join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("s_u")), "u")
             .select("u", "v", "s_u", "s_v"))
-    links = scratch.write(full.mapInArrow(_confirm(percent), "u bigint, v bigint"),
-                          f"{name}-links")
-    scratch.release(f"{name}-sets")
-    return links
+    return full.mapInArrow(_confirm(percent), "u bigint, v bigint")
+
+
+def _across(percent: int):
+    """Links between two blocks of a hub's neighbours, of different components so far."""
+    def run(table: pa.Table) -> pa.Table:
+        node, label = (table[c].to_numpy() for c in ("node", "label"))
+        left = table["left"].to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        known, place = np.unique(np.concatenate(sets), return_inverse=True)
+        held = np.zeros((len(sets), len(known)), np.float32)
+        held[np.repeat(np.arange(len(sets)), sizes), place] = 1
+        rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
+        shared = (held[rows] @ held[cols].T).astype(np.int64)
+        both = sizes[rows][:, None] + sizes[cols][None, :] - shared
+        good = (100 * shared >= percent * both) & (label[rows][:, None] != label[cols][None, :])
+        i, j = np.nonzero(good)
+        return pa.table({"u": node[rows[i]], "v": node[cols[j]]})
+    return run
+
+
+def _renamed(sig: DataFrame, side: str) -> DataFrame:
+    return sig.select(*[F.col(c).alias(side if c == "node" else f"{c}_{side}")
+                        for c in sig.columns])
+
+
+def _links_across(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
+                  scratch: Scratch) -> DataFrame:
+    """Links between neighbours of one hub that the comparison with the hub left apart.
+
+    Those outside the hub's largest component are compared with all its neighbours. Both are
+    dealt into blocks of about ``BLOCK_NODES``, and each pair of blocks is a group of its own.
+    """
+    around = stars.join(labels, "node", "left").select(
+        "hub", "node", F.coalesce("label", "node").alias("label"))
+    around = scratch.write(around, "around")
+    mixed = (around.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("hub")
+             .agg(F.max_by("label", F.struct("size", "label")).alias("main"),
+                  F.sum("size").alias("all_nodes"), F.max("size").alias("main_nodes"))
+             .filter("all_nodes > main_nodes"))
+    mixed = mixed.select("hub", "main", *[
+        F.ceil(x / BLOCK_NODES).alias(name) for name, x in
+        (("left_blocks", F.col("all_nodes") - F.col("main_nodes")),
+         ("right_blocks", F.col("all_nodes")))])
+    near = around.join(scratch.write(mixed, "mixed"), "hub")
+    block = lambda n: F.pmod(F.xxhash64("node"), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    dealt = near.filter("label <> main").select(
+        "hub", "node", "label", F.lit(True).alias("left"), block(F.col("left_blocks")).alias("a"),
+        every(F.col("right_blocks")).alias("b"))
+    dealt = dealt.unionByName(near.select(
+        "hub", "node", "label", F.lit(False).alias("left"), every(F.col("left_blocks")).alias("a"),
+        block(F.col("right_blocks")).alias("b")))
+    return (dealt.join(sets, "node").groupBy("hub", "a", "b")
+            .applyInArrow(_across(percent), "u bigint, v bigint"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -176,11 +216,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     No rows give no rows.
 
     Rows with equal sets are one class, found by digest and represented by the smallest id. Band
-    keys are compared among representatives. In a bucket all are first compared with its smallest
-    id only, so that a bucket of many near copies costs as many pairs as it has members. Then
-    only members that are still in different components are compared with each other, by an
-    estimate inside the join; what it can't exclude is confirmed. Nothing is capped.
-    At 40 bands of 4 minima a link is missed with a chance below 1e-9.
+    keys are compared among representatives. In a bucket all are compared with its hub only, the
+    member that shares most buckets, so a bucket of many near copies costs as many pairs as it
+    has members. Only neighbours of a hub that are still in different components are then
+    compared with each other, block by block inside the tasks, which give away links and no
+    pairs. Nothing is capped. At 40 bands of 4 minima a link is missed with a chance below 1e-9.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
@@ -190,43 +230,35 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     reps = scratch.write(full.join(classes, "digest").filter("doc_id = node")
                          .select("node", "n_shingles", "bands", "sig"), "reps")
     members = reps.select("node", F.explode("bands").alias("bucket"))
-    shared = (members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-              .filter("hub < top").select("bucket", "hub"))
+    shared = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+              .filter("size > 1"))
     shared = scratch.write(shared, "shared")
     crowd = scratch.write(members.join(shared, "bucket"), "crowd")
-    stars = scratch.write(crowd.filter("node <> hub")
-                          .select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(),
-                          "stars")
+    degree = scratch.write(crowd.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    hubs = (crowd.join(degree, "node").groupBy("bucket")
+            .agg(F.max(F.struct(F.col("degree"), F.bitwise_not("node").alias("node"))).alias("hub"))
+            .select("bucket", F.bitwise_not("hub.node").alias("hub")))
+    hubs = scratch.write(hubs, "hubs")
+    stars = scratch.write(crowd.join(hubs, "bucket").filter("node <> hub").select("hub", "node")
+                          .distinct(), "stars")
+    scratch.release("shared", "crowd", "degree", "hubs")
+    needed = stars.select(F.explode(F.array("hub", "node")).alias("doc_id")).distinct()
+    sets = scratch.write(picked(docs, "doc_id", "text").join(needed, "doc_id", "left_semi")
+                         .mapInArrow(_sets(n), "node bigint, shingles binary"), "sets")
+
     sig = reps.select("node", "n_shingles", "sig")
-    links = _links(stars, sig, docs, n, percent, scratch, "first")
+    near = (stars.select(F.col("hub").alias("u"), F.col("node").alias("v"))
+            .join(_renamed(sig, "u"), "u").join(_renamed(sig, "v"), "v")
+            .filter(100 * F.least("n_shingles_u", "n_shingles_v")
+                    >= percent * F.greatest("n_shingles_u", "n_shingles_v"))
+            .filter(may_reach(F.col("sig_u"), F.col("sig_v"), percent)).select("u", "v").distinct())
+    links = scratch.write(_confirmed(scratch.write(near, "near"), sets, percent), "links")
     labels = scratch.write(components(links, scratch), "labels")
 
-    placed = (crowd.join(labels, "node", "left")
-              .select("bucket", "node", F.coalesce("label", "node").alias("label")))
-    placed = scratch.write(placed, "placed")
-    mixed = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-             .groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("main"),
-                                    F.count(F.lit(1)).alias("n_labels"))
-             .filter("n_labels > 1").select("bucket", "main"))
-    mixed = scratch.write(mixed, "mixed")
-    open_ = scratch.write(placed.join(mixed, "bucket").join(sig, "node"), "open")
-    left, right = (open_.select("bucket", "main", *[F.col(c).alias(f"{c}_{s}") for c in
-                                                    ("node", "label", "sig", "n_shingles")])
-                   for s in "ab")
-    across = (left.filter("label_a <> main").join(right.drop("main"), "bucket")
-              .filter((F.col("label_a") != F.col("label_b"))
-                      & ((F.col("label_b") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
-                      & (100 * F.least("n_shingles_a", "n_shingles_b")
-                         >= percent * F.greatest("n_shingles_a", "n_shingles_b"))
-                      & may_reach(F.col("sig_a"), F.col("sig_b"), percent))
-              .select(F.least("node_a", "node_b").alias("u"),
-                      F.greatest("node_a", "node_b").alias("v")).distinct()
-              .join(stars, ["u", "v"], "left_anti"))
-    across = scratch.write(across, "across")
-    if not across.isEmpty():
-        more = _links(across, sig, docs, n, percent, scratch, "second")
+    more = scratch.write(_links_across(stars, labels, sets, percent, scratch), "links-across")
+    if not more.isEmpty():
         labels = scratch.write(components(links.unionByName(more), scratch, "again"), "labels-all")
-    scratch.release("crowd", "placed", "open")
+    scratch.release("sets", "stars", "reps")
 
     named = (classes.join(labels, "node", "left")
              .select("digest", F.coalesce("label", "node").alias("component")))

@@ -15,6 +15,7 @@ from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.pii import find_personal_data
 from tidemark.llm.repeats import remove_repeats
+from tidemark.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -185,3 +186,28 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 400 bytes that begin more than once, all copies removed."""
     return (remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_first=False)
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+_WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (
+  SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d),
+bits AS (
+  SELECT *, list_transform(range(0, 32), lambda i: CAST(('0x' || h[(i * 5) // 4 + 1:(i * 5) // 4 + 2]) AS INTEGER)) AS x
+  FROM f)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((x[i + 1] >> (3 - (i * 5) % 4)) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits
+"""
+
+
+@query("op5_warc", _WARC_SQL)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back from the archives."""
+    return (archive_pages(table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))

@@ -1,0 +1,79 @@
+"""Personal data against the patterns as they are stated."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from tidemark.llm.pii import base_spans, find_personal_data, luhn
+from tidemark.llm.queries import QUERIES
+
+KINDS = ("email", "ip", "card", "phone")
+STATED = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def stated(text):
+    out = []
+    for k, kind in enumerate(KINDS):
+        for m in re.finditer(STATED[kind], text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": all(int(p) <= 255 for p in m.group().split("."))
+                  if kind == "ip" else True, "card": 12 <= len(digits) <= 19 and luhn(digits),
+                  "phone": 9 <= len(digits) <= 15}[kind]
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_linear_scan_finds_what_the_patterns_find():
+    rng = random.Random(2)
+    bits = ["a", "b.c", "@", ".", "-", "+", " ", "(", ")", "12", "4111111111111111", "255", "256",
+            "1.2.3.4", "é", "\n", "x@y.z", "+1 (555) 555-0100", "00", "%", "_"]
+    for _ in range(6000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert base_spans(text) == stated(text), text
+    assert luhn("4111111111111111") and not luhn("4111111111111112")
+    assert base_spans(None) == base_spans("") == []
+
+
+def test_very_long_runs_are_linear():
+    for unit in ("a", "1", "1.", "+1 ", "a@", "a.b@c", "1 "):
+        base_spans(unit * 300_000)
+
+
+def test_query_over_all_documents(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in QUERIES["op2_personal_data"](spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        spans, r = stated(d["text"]), got[d["doc_id"]]
+        label = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        assert r["base_sha256"] == hashlib.sha256(label.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(x[1] == i for x in spans) for i in range(4)]
+        listed = [x for x in r["spans"].split(",") if x]
+        assert [x for x in listed if not x.startswith("id:")] == [x for x in label.split(",") if x]
+
+
+@pytest.fixture
+def badges(spark):
+    """Mails after one phrase teach it; badge numbers after the same phrase are found."""
+    rows = [(i, f"please write to anna{i}@mail.example.com soon", "x") for i in range(30)]
+    rows += [(50, "please write to K7-4471-QX soon", "y"), (51, "we sold 123456 boxes", "z"),
+             (52, None, "z"), (53, "", "z"), (54, "please write to K7-4471-QX soon", "y"),
+             (54, "please write to K7-4471-QX soon", "y"), (None, "mail me at a@b.co", "q")]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, pattern string")
+
+
+def test_contexts_reveal_unseen_identifiers(badges):
+    got = [(r["doc_id"], r["spans"], r["n_found"]) for r in find_personal_data(badges).collect()]
+    found = sorted(x for x in got if x[2])
+    assert found == [(50, "id:16:26", 1), (54, "id:16:26", 1), (54, "id:16:26", 1)]
+    assert (51, "", 0) in got and (52, "", 0) in got and (None, "email:11:17", 0) in got
+    assert len(got) == badges.count()
+    assert find_personal_data(badges.limit(0)).count() == 0

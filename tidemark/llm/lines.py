@@ -9,12 +9,11 @@ keys first; keys that the filter of their shard doesn't know are new and skip th
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm import cuckoo
@@ -171,14 +170,16 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*[batch.schema.names[i] for i in rest], "n_lines", "n_dropped", "kept_text"])
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 2) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 2,
+                        carry: Sequence[str] = ()) -> DataFrame:
     """Lines that several documents hold stay only in the document with the smallest id.
 
     ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are ignored. Texts are split
     at \\n, NULL and empty ones being one empty line. A line's key is the line without white
     space at its ends, A-Z lower-cased; keys below ``min_chars`` code points are left alone.
-    Returns for every row ``doc_id, text, n_lines, n_dropped, kept_text``. Rows of one id are one
-    document; a NULL id counts as larger than all others. No rows give no rows.
+    Returns for every row ``doc_id, n_lines, n_dropped, kept_text``, with ``carry`` also those
+    columns as the struct ``carried``. Rows of one id are one document; a NULL id counts as larger
+    than all others. No rows give no rows.
 
     The documents are inserted in ``batches`` parts, chosen by a hash of the id, as they would
     come in day by day. Hot lines are folded in the map tasks before any shuffle; the join that
@@ -198,11 +199,12 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 2)
     gone = LineIndex(all_refs.drop("part"), index.counts, index.filters, scratch).dropped()
     gone = scratch.write(gone, "gone")
     scratch.release("references", "batch", "probed", "met", "counts", "filters", "shared")
-    rows = picked(docs, "doc_id", "text").select(
-        F.col("doc_id"), F.col("text").alias("__text"), _order(F.col("doc_id")).alias("doc"),
-        _row(F.col("text")).alias("row"))
-    joined = (rows.join(gone, ["doc", "row"], "left")
-              .select("doc_id", F.col("gone").alias("__gone"), "__text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(_kept, f"doc_id {kind}, n_lines bigint, n_dropped bigint, "
-                                    "kept_text string")
+    taken = [F.struct(*[docs[f"`{c}`"] for c in carry]).alias("carried")] if carry else []
+    rows = docs.select(docs["doc_id"], docs["text"].alias("__text"),
+                       _order(docs["doc_id"]).alias("doc"), _row(docs["text"]).alias("row"), *taken)
+    joined = rows.join(gone, ["doc", "row"], "left").select(
+        "doc_id", *(["carried"] if carry else []), F.col("gone").alias("__gone"), "__text")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields
+              if f.name not in ("__gone", "__text")]
+    return joined.mapInArrow(_kept, ", ".join(fields) + ", n_lines bigint, n_dropped bigint, "
+                                                        "kept_text string")

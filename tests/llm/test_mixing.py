@@ -1,5 +1,6 @@
 """Targets against plain arithmetic; blocks and permutations by their laws."""
 
+import re
 from collections import defaultdict
 from fractions import Fraction
 
@@ -36,7 +37,7 @@ def docs(spark):
 
 def test_targets_sizes_and_limits(spark, docs):
     got = mix_sources(docs).documents.collect()
-    want = [(r["doc_id"], len((r["text"] or "").replace(" ", "_").split()), r["source"])
+    want = [(r["doc_id"], len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")), r["source"])
             for r in docs.collect()]
     assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted((str(d), n) for d, n, _ in want)
     sizes, source_of = defaultdict(int), {}

@@ -69,7 +69,7 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), percent
         "taken_before": F.coalesce(F.sum("full").over(to_here), F.lit(0)).cast("decimal(38,0)"),
         "w_left": F.sum("w").over(from_here).cast("decimal(38,0)")})
     per = per.withColumn("is_full", F.col("full") * 100 * F.col("w_left")
-                         >= w * (F.col("pool") - 100 * F.col("taken_before")))
+                         <= w * (F.col("pool") - 100 * F.col("taken_before")))
     whole = by_fill.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     filled = F.coalesce(F.sum(F.when(F.col("is_full"), F.col("full"))).over(whole), F.lit(0))
     open_w = F.sum(F.when(~F.col("is_full"), F.col("w"))).over(whole)

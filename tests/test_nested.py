@@ -9,8 +9,8 @@ from tidemark.operators.columns import (
     typed_projection,
 )
 from tidemark.operators.nested import (
-    explode_arrays, flatten_level, flatten_levels, inline_tables, nest_rows, normalize_any,
-    normalize_path, rejoin_tables, split_tables, to_documents, widen_arrays,
+    explode_arrays, flatten_level, flatten_levels, inline_tables, measure_arrays, nest_rows,
+    normalize_any, normalize_path, rejoin_tables, split_tables, to_documents, widen_arrays,
 )
 
 ARRAYS = "id int, xs array<int>"
@@ -67,7 +67,7 @@ def test_flatten_builds_without_jobs(spark):
 def test_rejoin_keeps_parents_with_nulls(spark, rows):
     df = spark.createDataFrame([(1, None, [1, 2], ["a"]), (None, "x", [], None)],
                                "id int, note string, xs array<int>, ys array<string>")
-    joined = rejoin_tables(split_tables(df), ["id"])
+    joined = rejoin_tables(split_tables(df, keep_positions=True), ["id"])
     assert rows(joined, "id", "note", "xs", "ys") == [
         (1, None, 1, "a"), (1, None, 2, "a"), (None, "x", None, None)]
     assert rows(joined, *sorted(joined.columns)) == \
@@ -147,19 +147,56 @@ def test_widen_arrays(spark, rows):
     assert wide.columns == ["id", "a_0_n", "a_0_t_0", "a_0_t_1", "a_1_n", "m_j", "m_k"]
     assert rows(wide) == [(1, 5, "x", None, 6, None, 1), (2, None, None, None, None, 2, None),
                           (3, 7, "y", "z", None, None, None)]
-    with pytest.raises(ValueError, match="columns"):
-        widen_arrays(df, max_columns=3)
 
 
-@pytest.mark.parametrize("broadcast_groups", [100, 0])
-def test_nest_splits_large_groups_and_loses_nothing(spark, rows, broadcast_groups):
-    df = spark.range(1000).repartition(5).select(
+def test_widen_arrays_with_given_widths(spark, rows):
+    df = spark.createDataFrame([(1, [5, 6], {7: "x"})], "id int, a array<int>, m map<int, string>")
+    assert rows(widen_arrays(df, {"a": 3}, {"m": ["7", "8"]})) == [(1, 5, 6, None, "x", None)]
+    with pytest.raises(Exception, match="more than 1 elements"):
+        widen_arrays(df, {"a": 1}, {}).collect()
+
+
+def test_widen_reads_its_input_once(spark):
+    assert measure_arrays(spark.createDataFrame(
+        [({"k": [1, 2]}, [[3], [4, 5, 6]])], "m map<string, array<int>>, x array<array<int>>")) == (
+        {"m_k": 2, "x": 2, "x_0": 1, "x_1": 3}, {"m": ["k"]})
+
+
+def test_tables_of_one_name_fail(spark):
+    with pytest.raises(ValueError, match="clash"):
+        split_tables(spark.createDataFrame([], "a array<array<int>>, a_a array<int>"))
+
+
+def test_brackets_and_quotes_leave_flattened_names(spark):
+    df = spark.createDataFrame([], "`a[0]` struct<`b\"`: int>")
+    assert split_tables(df)["root"].columns == ["a_0__b_"]
+
+
+def test_rejoin_keeps_grandchildren_with_their_parent(spark, rows):
+    df = spark.createDataFrame([(1, [("p", [1, 2]), ("q", [3]), ("r", None)]), (2, None)],
+                               "id int, a array<struct<n: string, xs: array<int>>>")
+    joined = rejoin_tables(split_tables(df, keep_positions=True), ["id"])
+    assert rows(joined, *sorted(joined.columns)) == rows(inline_tables(df), *sorted(joined.columns))
+    assert joined.count() == 5
+    with pytest.raises(ValueError, match="keep_positions"):
+        rejoin_tables(split_tables(df), ["id"])
+
+
+def test_json_over_several_lines_is_embedded(spark, rows):
+    df = spark.createDataFrame([('{\n "a":\n1}\n',), ('[1,\n2]',)], "j string")
+    assert rows(to_documents(df, json_columns=["j"])) == [('{"j":[1,2]}',), ('{"j":{"a":1}}',)]
+
+
+@pytest.mark.parametrize("layout", [1, 5, 13])
+def test_nest_splits_large_groups_and_loses_nothing(spark, rows, layout):
+    df = spark.range(1000).repartition(layout).select(
         F.when(F.col("id") < 700, "hot").when(F.col("id") < 710, None)
         .otherwise(F.col("id").cast("string")).alias("g"),
         (F.col("id") % 50).alias("v"))
-    nested = nest_rows(df, ["g"], ["v"], "vs", max_items=100, broadcast_groups=broadcast_groups)
-    hot = nested.filter("g = 'hot'").collect()
-    assert sorted(x.v for r in hot for x in r.vs) == sorted(i % 50 for i in range(700))
+    nested = nest_rows(df, ["g"], ["v"], "vs", part_size=100)
+    hot = sorted(nested.filter("g = 'hot'").collect(), key=lambda r: r.part)
+    assert [x.v for r in hot for x in r.vs] == sorted(i % 50 for i in range(700))
+    assert {len(r.vs) for r in hot} == {100}
     assert {r.part for r in hot} == set(range(7))
     assert nested.filter("g IS NULL").select(F.size("vs"), "part").collect() == [(10, 0)]
     assert nested.count() == 7 + 1 + 290
@@ -167,7 +204,7 @@ def test_nest_splits_large_groups_and_loses_nothing(spark, rows, broadcast_group
 
 def test_nest_then_flatten(spark, rows):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
-    nested = nest_rows(df, ["k"], ["v"], "vs")
+    nested = nest_rows(df, ["k"], ["v"], "vs", part_size=10)
     assert rows(nested.select("k", "part", "vs.v")) == [(1, 0, ["a", "b"]), (2, 0, ["c"])]
     assert rows(explode_arrays(nested).select("k", "vs.v")) == rows(df)
 

@@ -120,14 +120,13 @@ def diff_all_by_hash(spark, sf_dir):
     return label_changes_by_hash(after, before, "o_orderkey", "change_hash").drop("change_hash")
 
 
-@query("set_except", """
-SELECT c_nationkey AS nationkey FROM customer EXCEPT
-SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000""")
+@query("set_except", _class_sql("""
+SELECT o_orderkey, o_orderstatus, o_orderpriority FROM after EXCEPT
+SELECT o_orderkey, o_orderstatus, o_orderpriority FROM before"""))
 def set_except(spark, sf_dir):
-    left = table(spark, sf_dir, "customer").select(at("c_nationkey").alias("nationkey"))
-    right = (table(spark, sf_dir, "supplier").filter(at("s_acctbal") > 5000)
-             .select(at("s_nationkey").alias("nationkey")))
-    return rows_except(left, right)
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    return rows_except(orders_after(spark, sf_dir).select(columns),
+                       orders_before(spark, sf_dir).select(columns))
 
 
 @query("set_intersect", _class_sql("""

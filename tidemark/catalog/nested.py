@@ -77,19 +77,13 @@ def flatten_array_child(spark, sf_dir):
 
 
 @query("flatten_array_grandchild", f"""WITH {_DOCS_SQL}
-SELECT doc_id, lines_shape_chars, count(*) AS n_words,
-       CAST(sum(length(word)) AS BIGINT) AS n_word_chars, CAST(max(pos) AS INTEGER) AS last_pos
-FROM (SELECT doc_id, CAST(length(lines_text) AS INTEGER) AS lines_shape_chars,
-             unnest(string_split(lines_text, ' ')) AS word,
-             unnest(range(len(string_split(lines_text, ' ')))) AS pos FROM line_rows)
-GROUP BY doc_id, lines_shape_chars""")
+SELECT doc_id, CAST(length(lines_text) AS INTEGER) AS lines_shape_chars,
+       CAST(unnest(range(len(string_split(lines_text, ' ')))) AS INTEGER) AS lines_shape_words_pos,
+       unnest(string_split(lines_text, ' ')) AS lines_shape_words FROM line_rows""")
 def flatten_array_grandchild(spark, sf_dir):
     words = split_tables(nested_documents(spark, sf_dir), outer=False)[
         "root_lines_lines_shape_words"]
-    return words.groupBy("doc_id", "lines_shape_chars").agg(
-        F.count(F.lit(1)).alias("n_words"),
-        F.sum(F.length("lines_shape_words")).alias("n_word_chars"),
-        F.max("lines_shape_words_pos").alias("last_pos"))
+    return words.select("doc_id", "lines_shape_chars", "lines_shape_words_pos", "lines_shape_words")
 
 
 @query("flatten_map_child", f"WITH {_DOCS_SQL} SELECT * FROM tags_outer")
@@ -98,36 +92,43 @@ def flatten_map_child(spark, sf_dir):
     return _or_minus_one(child, "tags_pos")
 
 
-_REJOINED_SQL = f"""WITH {_DOCS_SQL}
-SELECT l.*, t.tags_pos, t.tags_key, t.tags_value
-FROM lines_outer l JOIN tags_outer t ON l.doc_id = t.doc_id"""
+_REJOINED_SQL = f"""WITH {_DOCS_SQL},
+words AS (
+  SELECT doc_id, CAST(lines_pos AS INTEGER) AS lines_pos, unnest(string_split(lines_text, ' ')) AS word,
+         CAST(unnest(range(len(string_split(lines_text, ' ')))) AS INTEGER) AS pos FROM line_rows)
+SELECT l.doc_id, l.meta_lang, l.lines_pos, l.lines_shape_chars, coalesce(w.pos, -1) AS lines_shape_words_pos,
+       w.word AS lines_shape_words, t.tags_pos, t.tags_key, t.tags_value
+FROM lines_outer l JOIN tags_outer t ON l.doc_id = t.doc_id
+LEFT JOIN words w ON w.doc_id = l.doc_id AND w.lines_pos = l.lines_pos"""
 
 
-def _without_words(spark, sf_dir):
-    plain = F.transform("lines", lambda x: x.withField("shape", x["shape"].dropFields("words")))
-    return nested_documents(spark, sf_dir).withColumn("lines", plain)
+def _flat_words(wide):
+    return _or_minus_one(wide, "lines_pos", "lines_shape_chars", "lines_shape_words_pos",
+                         "tags_pos").select(
+        "doc_id", "meta_lang", "lines_pos", "lines_shape_chars", "lines_shape_words_pos",
+        "lines_shape_words", "tags_pos", "tags_key", "tags_value")
 
 
 @query("flatten_rejoin", _REJOINED_SQL)
 def flatten_rejoin(spark, sf_dir):
-    tables = split_tables(_without_words(spark, sf_dir))
-    return _or_minus_one(rejoin_tables(tables, ["doc_id"]),
-                         "lines_pos", "lines_shape_chars", "tags_pos")
+    tables = split_tables(nested_documents(spark, sf_dir), keep_positions=True)
+    return _flat_words(rejoin_tables(tables, ["doc_id"]))
 
 
 @query("flatten_inline", _REJOINED_SQL)
 def flatten_inline(spark, sf_dir):
-    return _or_minus_one(inline_tables(_without_words(spark, sf_dir)),
-                         "lines_pos", "lines_shape_chars", "tags_pos")
+    return _flat_words(inline_tables(nested_documents(spark, sf_dir)))
 
 
 @query("flatten_level", f"""WITH {_DOCS_SQL}
 SELECT doc_id, meta_lang, meta_origin_source, meta_origin_chars,
        coalesce(array_to_string(list_transform(lines, lambda x:
          x || '/' || length(x) || '/' || len(string_split(x, ' '))), '|'), 'none') AS lines
+       , CASE WHEN tag_pos IS NULL THEN 'none' ELSE meta_lang || '/' || meta_origin_source END AS tags
 FROM docs""")
 def flatten_one_level(spark, sf_dir):
-    flat = flatten_level(nested_documents(spark, sf_dir)).drop("tags")
+    flat = flatten_level(nested_documents(spark, sf_dir))
+    flat = flat.withColumn("tags", F.coalesce(F.array_join(F.map_values("tags"), "/"), F.lit("none")))
     text = F.transform("lines", lambda x: F.concat_ws(
         "/", x["text"], x["shape_chars"], F.size(x["shape_words"])))
     return flat.withColumn("lines", F.coalesce(F.array_join(text, "|"), F.lit("none")))
@@ -147,17 +148,20 @@ def explode_all(spark, sf_dir):
 
 @query("flatten_n", f"""WITH {_DOCS_SQL}
 SELECT doc_id, meta_lang, meta_origin_source, meta_origin_chars, lines_shape_chars,
-       count(*) AS n_words, CAST(coalesce(sum(length(word)), -1) AS BIGINT) AS n_word_chars
-FROM (SELECT l.*, w.word FROM lines_outer l
+       count(*) AS n_words, CAST(coalesce(sum(length(word)), -1) AS BIGINT) AS n_word_chars,
+       coalesce(max(tag), 'none') AS tag
+FROM (SELECT l.*, w.word, CASE WHEN meta_origin_source <> 'src1' THEN meta_origin_source END AS tag
+      FROM lines_outer l
       LEFT JOIN LATERAL (SELECT unnest(string_split(l.lines_text, ' ')) AS word) w ON TRUE)
 GROUP BY ALL""")
 def flatten_n(spark, sf_dir):
-    flat = flatten_levels(nested_documents(spark, sf_dir).drop("tags"), 2)
+    flat = flatten_levels(nested_documents(spark, sf_dir), 2)
     return _or_minus_one(flat.groupBy(
         "doc_id", "meta_lang", "meta_origin_source", "meta_origin_chars",
         "lines_shape_chars").agg(
             F.count(F.lit(1)).alias("n_words"),
-            F.sum(F.length("lines_shape_words")).alias("n_word_chars")),
+            F.sum(F.length("lines_shape_words")).alias("n_word_chars"),
+            F.coalesce(F.max(at("tags")["source"]), F.lit("none")).alias("tag")),
         "lines_shape_chars", "n_word_chars")
 
 
@@ -206,13 +210,16 @@ def clean_order_names(spark, sf_dir):
 
 
 @query("nest_struct", """
-SELECT l_orderkey, 0 AS part, count(*) AS n_items,
+SELECT l_orderkey, part, count(*) AS n_items,
        string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ','
                   ORDER BY l_linenumber, l_partkey, l_suppkey) AS items
-FROM lineitem GROUP BY l_orderkey""")
+FROM (SELECT *, CAST((row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY l_linenumber, l_partkey, l_suppkey) - 1) // 3 AS INTEGER) AS part FROM lineitem)
+GROUP BY l_orderkey, part""")
 def nest_lines(spark, sf_dir):
+    """Parts of three rows, so that many orders have several."""
     nested = nest_rows(table(spark, sf_dir, "lineitem"), ["l_orderkey"],
-                       ["l_linenumber", "l_partkey", "l_suppkey"], "items")
+                       ["l_linenumber", "l_partkey", "l_suppkey"], "items", part_size=3)
     text = F.transform("items", lambda x: F.concat_ws(
         ":", x["l_linenumber"], x["l_partkey"], x["l_suppkey"]))
     return nested.select("l_orderkey", "part", F.size("items").cast("bigint").alias("n_items"),
@@ -224,7 +231,7 @@ SELECT conv_id, turn, role, text FROM conversations""")
 def nest_and_flatten(spark, sf_dir):
     """Nesting and flattening again gives the rows that were there."""
     nested = nest_rows(table(spark, sf_dir, "conversations"), ["conv_id"],
-                       ["turn", "role", "text"], "turns")
+                       ["turn", "role", "text"], "turns", part_size=1000)
     flat = split_tables(nested, positions=False)["root_turns"]
     return flat.select("conv_id", at("turns_turn").alias("turn"), at("turns_role").alias("role"),
                        at("turns_text").alias("text"))
@@ -236,9 +243,11 @@ SELECT '{"event_id":' || event_id || CASE WHEN event_type <> 'error'
        || ',"props":' || replace(props, ' ', '') || ',"user_id":' || user_id || '}' AS document
 FROM events""")
 def event_documents(spark, sf_dir):
+    """Nested text may be laid out over several lines."""
     events = table(spark, sf_dir, "events").select(
         "event_id", F.nullif(at("event_type"), F.lit("error")).alias("event_type"),
-        "props", "user_id")
+        F.when(at("event_id") % 2 == 0, F.replace(at("props"), F.lit(":"), F.lit(":\n")))
+        .otherwise(at("props")).alias("props"), "user_id")
     return to_documents(events, json_columns=["props"])
 
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.columns import (
     at, clean_name, clean_names, distinct_names, drop_null_columns, is_array, is_array_or_map,
     is_map, is_struct,
 )
+from tidemark.session import shared_folder
+from tidemark.sources.sinks import stage
 
 
 def _leaves(parts: tuple[str, ...], value: Column, dtype: T.DataType,
@@ -34,8 +36,12 @@ def _frame_leaves(df: DataFrame, depth: int | None = None):
         yield from _leaves((field.name,), at(field.name), field.dataType, depth)
 
 
+# Characters that flattened names lose beside those of all column names.
+_ILLEGAL_IN_PATHS = str.maketrans(dict.fromkeys('"[]', "_"))
+
+
 def _joined(parts: Sequence[str]) -> str:
-    return "_".join(clean_name(p) for p in parts)
+    return "_".join(clean_name(p).translate(_ILLEGAL_IN_PATHS) for p in parts)
 
 
 def _explode(name: str, value: Column, dtype: T.DataType, outer: bool,
@@ -52,14 +58,15 @@ def _explode(name: str, value: Column, dtype: T.DataType, outer: bool,
 
 
 def split_tables(df: DataFrame, name: str = "root", *, outer: bool = True,
-                 positions: bool = True) -> dict[str, DataFrame]:
+                 positions: bool = True, keep_positions: bool = False) -> dict[str, DataFrame]:
     """One flat table per nesting grain.
 
     Structs are inlined. Every array or map becomes a child table, named
-    ``parent_path``, that repeats the scalars of its parent (positions of outer
-    arrays excepted). ``outer`` keeps parents of empty and NULL arrays with a row of
-    NULLs. A level without scalars has no table of its own. Persist the input when
-    several tables are to be written.
+    ``parent_path``, that repeats the scalars of its parent; positions of outer arrays
+    only with ``keep_positions``, which ``rejoin_tables`` needs. ``outer`` keeps parents of
+    empty and NULL arrays with a row of NULLs. A level without scalars has no table of its
+    own. Two tables of one name are an error. Persist the input when several tables are to
+    be written.
     """
     scalars: dict[str, Column] = {}
     nested: dict[str, tuple[Column, T.DataType]] = {}
@@ -73,10 +80,13 @@ def split_tables(df: DataFrame, name: str = "root", *, outer: bool = True,
     tables: dict[str, DataFrame] = {}
     if scalars:
         tables[name] = df.select(*[v.alias(n) for n, v in scalars.items()])
-    carried = [v.alias(n) for n, v in scalars.items() if not n.endswith("_pos")]
+    carried = [v.alias(n) for n, v in scalars.items() if keep_positions or not n.endswith("_pos")]
     for path, (value, dtype) in nested.items():
         child = df.select(*carried, _explode(path, value, dtype, outer, positions))
-        tables.update(split_tables(child, f"{name}_{path}", outer=outer, positions=positions))
+        below = split_tables(child, f"{name}_{path}", outer=outer, positions=positions,
+                             keep_positions=keep_positions)
+        distinct_names([*tables, *below], f"flatten {name}: tables")
+        tables.update(below)
     return tables
 
 
@@ -84,18 +94,26 @@ def rejoin_tables(tables: dict[str, DataFrame], keys: Sequence[str],
                   root: str = "root") -> DataFrame:
     """Joins the tables of ``split_tables`` back into one on the columns that identify a parent.
 
-    Keys compare NULL-safe, so a parent is kept whatever is NULL in it. Sibling
-    children of one parent multiply. ``inline_tables`` gives the same rows without
-    a join as long as the nested input is at hand.
+    The tables must be split with ``keep_positions``: a child meets the element that it was
+    in by the positions on the way there. Keys compare NULL-safe, so a parent is kept
+    whatever is NULL in it. Sibling children of one parent multiply. ``inline_tables`` gives
+    the same rows without a join as long as the nested input is at hand.
     """
     wide = tables[root]
     for name, child in tables.items():
         if name == root:
             continue
+        places = [c for c in child.columns if c.endswith("_pos") and c in wide.columns
+                  and c not in keys]
+        above = next((p for p in tables if p != root and name.startswith(f"{p}_")), None)
+        if above and not any(c in tables[above].columns for c in places):
+            raise ValueError(f"table {name} lacks the positions of {above}: "
+                             "split with keep_positions=True")
         own = [c for c in child.columns if c not in wide.columns]
-        side = child.select(*[at(k).alias(f"__child_{k}") for k in keys], *[at(c) for c in own])
+        shared = [*keys, *places]
+        side = child.select(*[at(k).alias(f"__child_{k}") for k in shared], *[at(c) for c in own])
         match = F.lit(True)
-        for key in keys:
+        for key in shared:
             match = match & at(key).eqNullSafe(at(f"__child_{key}"))
         wide = side.join(wide, match, "inner").select(*[at(c) for c in wide.columns],
                                                       *[at(c) for c in own])
@@ -161,7 +179,8 @@ def normalize_path(df: DataFrame, path: str | Sequence[str], level: int | None =
     """The records found at ``path``, flat down to ``level``, without all-NULL columns.
 
     Each part of the path names a field of the records reached so far; arrays on
-    the way are exploded, and rows with empty or NULL arrays have no records.
+    the way are exploded, and rows with empty or NULL arrays have no records. The records
+    are staged, as their columns must be counted before they are read.
     """
     for part in [path] if isinstance(path, str) else path:
         field = df.schema[part]
@@ -171,7 +190,7 @@ def normalize_path(df: DataFrame, path: str | Sequence[str], level: int | None =
         df = df.filter(at(part).isNotNull())
         if is_struct(reached):
             df = df.select(*[at(part).getField(f.name).alias(f.name) for f in reached.fields])
-    return clean_names(drop_null_columns(_flat_to_depth(df, level), "all"))
+    return clean_names(drop_null_columns(stage(_flat_to_depth(df, level), "records"), "all"))
 
 
 def normalize_any(df: DataFrame) -> DataFrame:
@@ -179,81 +198,135 @@ def normalize_any(df: DataFrame) -> DataFrame:
     return drop_null_columns(_flat_to_depth(df, None), "any")
 
 
-def widen_arrays(df: DataFrame, max_columns: int = 10_000) -> DataFrame:
+def _extents(value: Column, dtype: T.DataType, name: Column) -> Column | None:
+    """Every array's size and every map's keys in a value, as structs with the column's name."""
+    def found(key: Column | None, width: Column | None) -> Column:
+        return F.struct(name.alias("name"),
+                        (F.lit(None) if key is None else key).cast("string").alias("key"),
+                        (F.lit(None) if width is None else width).cast("int").alias("width"))
+
+    def whole(parts: list[Column | None]) -> Column | None:
+        parts = [p for p in parts if p is not None]
+        return F.concat(*parts) if parts else None
+
+    def nothing_if_null(array: Column) -> Column:
+        return F.coalesce(array, F.array().cast("array<struct<name:string,key:string,width:int>>"))
+
+    def below(column: Column, child: T.DataType, label) -> Column | None:
+        if _extents(F.lit(None), child, F.lit("")) is None:
+            return None
+        return nothing_if_null(F.flatten(F.transform(
+            column, lambda x, i: _extents(x, child, label(x, i)))))
+
+    if is_struct(dtype):
+        return whole([_extents(value.getField(f.name), f.dataType,
+                               F.concat(name, F.lit(f"_{f.name}"))) for f in dtype.fields])
+    if is_array(dtype):
+        return whole([F.array(found(None, F.size(value))), below(
+            value, dtype.elementType, lambda x, i: F.concat(name, F.lit("_"), i.cast("string")))])
+    if is_map(dtype):
+        pairs, item = F.map_entries(value), dtype.valueType
+        inner = None
+        if _extents(F.lit(None), item, F.lit("")) is not None:
+            inner = nothing_if_null(F.flatten(F.transform(pairs, lambda e: _extents(
+                e["value"], item, F.concat(name, F.lit("_"), e["key"].cast("string"))))))
+        return whole([nothing_if_null(F.transform(F.map_keys(value), lambda k: found(k, None))),
+                      inner])
+    return None
+
+
+def measure_arrays(df: DataFrame) -> tuple[dict[str, int], dict[str, list[str]]]:
+    """Widths of arrays and keys of maps at every depth, by flattened name, in one pass.
+
+    As many rows reach the driver as ``widen_arrays`` makes columns of them.
+    """
+    parts = [p for f in df.schema.fields
+             if (p := _extents(at(f.name), f.dataType, F.lit(f.name))) is not None]
+    widths: dict[str, int] = {}
+    keys: dict[str, list[str]] = {}
+    if parts:
+        rows = (df.select(F.explode(F.concat(*parts)).alias("x")).groupBy("x.name", "x.key")
+                .agg(F.max("x.width").alias("width")))
+        for name, key, width in rows.collect():
+            if key is None:
+                widths[name] = max(width or 0, 0)
+            else:
+                keys.setdefault(name, []).append(key)
+    return widths, {name: sorted(found) for name, found in keys.items()}
+
+
+def widen_arrays(df: DataFrame, widths: dict[str, int] | None = None,
+                 keys: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per record: element ``i`` of an array becomes the column ``name_i``.
 
-    Maps become one column per key. Widths come from the data, one pass per level
-    of nesting; more than ``max_columns`` columns is an error, as nothing is cut
-    off. Empty containers yield no column.
+    Maps become one column per key. Widths and keys are given by flattened name, or else
+    come from the data, in one pass over all levels of nesting. Given widths that are
+    exceeded are an error when rows are computed; empty containers yield no column.
     """
+    checked = widths is not None
+    if widths is None or keys is None:
+        found = measure_arrays(df)
+        widths, keys = widths if checked else found[0], found[1] if keys is None else keys
     while True:
         df = _flat_to_depth(df, None)
-        arrays = [f.name for f in df.schema.fields if is_array(f.dataType)]
-        maps = [f.name for f in df.schema.fields if is_map(f.dataType)]
+        arrays = {f.name for f in df.schema.fields if is_array(f.dataType)}
+        maps = {f.name: f.dataType.keyType for f in df.schema.fields if is_map(f.dataType)}
         if not arrays and not maps:
             return df.select(*[at(c).alias(clean_name(c)) for c in df.columns])
-        widths = dict.fromkeys(arrays, 0)
-        if arrays:
-            longest = df.agg(*[F.max(F.size(at(c))).alias(c) for c in arrays]).first()
-            widths = {c: max(longest[i] or 0, 0) for i, c in enumerate(arrays)}
-        map_keys = {c: _map_keys(df, c, max_columns) for c in maps}
-        if len(df.columns) + sum(widths.values()) + sum(map(len, map_keys.values())) > max_columns:
-            raise ValueError(f"more than {max_columns} columns: {widths}")
         wide: list[Column] = []
         for c in df.columns:
-            if c in widths:
-                wide += [F.get(at(c), F.lit(i)).alias(f"{c}_{i}") for i in range(widths[c])]
-            elif c in map_keys:
-                wide += [F.try_element_at(at(c), F.lit(k)).alias(f"{c}_{k}") for k in map_keys[c]]
+            if c in arrays:
+                array, n = at(c), widths.get(c, 0)
+                if checked and n:
+                    array = F.when(F.size(array) > n, F.raise_error(F.lit(
+                        f"{c} has more than {n} elements")).cast(df.schema[c].dataType)) \
+                        .otherwise(array)
+                wide += [F.get(array, F.lit(i)).alias(f"{c}_{i}") for i in range(n)]
+            elif c in maps:
+                wide += [F.try_element_at(at(c), F.lit(k).cast(maps[c])).alias(f"{c}_{k}")
+                         for k in keys.get(c, [])]
             else:
                 wide.append(at(c))
         df = df.select(*wide)
 
 
-def _map_keys(df: DataFrame, column: str, max_columns: int) -> list:
-    keys = df.select(F.explode(F.map_keys(at(column))).alias("k")).distinct()
-    found = sorted(r[0] for r in keys.limit(max_columns + 1).collect())
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} keys in map {column}")
-    return found
-
-
 def nest_rows(df: DataFrame, group_by: Sequence[str], columns: Sequence[str], into: str,
-              part_col: str = "part", max_items: int = 100_000,
-              broadcast_groups: int = 10_000, spread: int = 64) -> DataFrame:
+              part_size: int, part_col: str = "part") -> DataFrame:
     """Rows to lists of structs, in the order of the structs' fields.
 
-    A group of up to ``max_items`` rows is one row with part 0. A larger group is
-    dealt over as many parts as it needs, since no single row or task could hold
-    it; no row is left out. Groups are counted first, by a partial aggregation of
-    the keys. Usually none is too large and nothing else is done. A few are
-    broadcast; more than ``broadcast_groups`` are joined on the key and a number, so
-    that a hot key is spread over ``spread`` tasks.
+    A list holds ``part_size`` rows at most: rows are numbered inside their group in that
+    order, and each ``part_size`` of them in turn are one part, numbered from 0. So parts are
+    the same in any layout of the input, and none is larger than a task can hold.
+
+    Rows are range-partitioned by group and columns, a random last column spreading rows that
+    are alike, and checkpointed. A group that spans partitions gets offsets, of which there
+    are at most two per partition.
     """
+    shared_folder(df.sparkSession)
+    place, task, spread = "__place", "__task", "__spread"
+    wanted = df.select(*[at(c) for c in dict.fromkeys([*group_by, *columns])])
+    names = list(wanted.columns)
+    fixed = (wanted.withColumn(spread, F.rand(7))
+             .repartitionByRange(*[at(c).asc() for c in names], F.col(spread).asc())
+             .sortWithinPartitions(*[at(c) for c in names]).drop(spread).checkpoint())
+    position = F.monotonically_increasing_id()
+    placed = fixed.withColumns({task: F.shiftright(position, 33).cast("int"), place: position})
     keys = [at(g) for g in group_by]
-    parts, deal = "__parts", "__deal"
-    names = [f"__group_{i}" for i in range(len(keys))]
-    large = (df.groupBy(*[k.alias(n) for k, n in zip(keys, names)])
-             .agg(F.ceil(F.count(F.lit(1)) / max_items).cast("bigint").alias(parts))
-             .filter(F.col(parts) > 1))
-    n_large = large.count()
-    part = F.lit(0)
-    if n_large:
-        same = F.lit(True)
-        for key, name in zip(keys, names):
-            same = same & key.eqNullSafe(F.col(name))
-        # The map task's number keeps copies of one row apart; it is the same on a retry.
-        df = df.withColumn(deal, F.xxhash64(*[at(c) for c in columns], F.spark_partition_id()))
-        if n_large <= broadcast_groups:
-            df = df.join(F.broadcast(large), same, "left_outer")
-        else:
-            each = large.withColumn("__spread", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-            df = df.join(each, same & (F.pmod(at(deal), F.lit(spread)) == F.col("__spread")),
-                         "left_outer")
-        # Higher bits choose the part, as the lowest may have chosen the task.
-        part = F.coalesce(F.pmod(F.shiftright(at(deal), 16), at(parts)), F.lit(0))
+    pieces = placed.groupBy(task, *keys).agg(F.count(F.lit(1)).alias("__size"),
+                                             F.min(place).alias("__from"))
+    earlier = (Window.partitionBy(*keys).orderBy(task)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    starts = pieces.select(task, *[k.alias(f"__group_{i}") for i, k in enumerate(keys)],
+                           (F.col("__from") - F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+                           .alias("__zero"))
+    same = F.col(f"__start_{task}") == F.col(task)
+    for i, key in enumerate(keys):
+        same = same & key.eqNullSafe(F.col(f"__group_{i}"))
+    starts = starts.withColumnRenamed(task, f"__start_{task}")
+    part = F.floor((F.col(place) - F.col("__zero")) / F.lit(part_size)).cast("int")
     items = F.sort_array(F.collect_list(F.struct(*[at(c) for c in columns])))
-    return df.groupBy(*keys, part.cast("int").alias(part_col)).agg(items.alias(into))
+    return (placed.join(starts, same).groupBy(*keys, part.alias(part_col))
+            .agg(items.alias(into)))
 
 
 def to_documents(df: DataFrame, into: str = "document",
@@ -264,8 +337,8 @@ def to_documents(df: DataFrame, into: str = "document",
     such instead of being quoted.
     """
     def embedded(name: str) -> Column:
-        text = F.trim(at(name))
-        looks_nested = text.rlike(r"^(\{.*\}|\[.*\])$")
+        text = F.btrim(at(name), F.lit(" \t\r\n"))
+        looks_nested = text.rlike(r"(?s)^(\{.*\}|\[.*\])$")
         parsed = F.when(looks_nested, F.try_parse_json(text))
         return F.coalesce(parsed, at(name).cast("variant")).alias(name)
     fields = [embedded(c) if c in json_columns else at(c) for c in df.columns]

@@ -13,18 +13,21 @@ from tidemark.functions.dates import date_hour, run_clock, whole_seconds
 from tidemark.functions.values import required
 from tidemark.plans.control import (
     advance_window, changed_since, create_control, current_window, look_back, new_folders,
+    new_loads,
     source_query,
 )
 from tidemark.plans.jobs import ingest
 from tidemark.plans.spec import (
-    fill_variables, load_spec, run_job, section_of, session_options,
+    fill_variables, load_spec, run_job, section_of,
 )
 from tidemark.session import scratch_path, shared_folder
 from tidemark.sources import jdbc, publish
 from tidemark.sources.readers import (
     dual, list_files, parse_payloads, read_json_lines, read_source, register_views, run_sql,
+    session_options,
 )
-from tidemark.sources.sinks import load_kind, load_path, write_load, write_sink
+from tidemark.session import scratch_scope
+from tidemark.sources.sinks import load_kind, load_path, stage, write_load, write_sink
 from tidemark.streaming.files import append_new_files
 
 
@@ -124,14 +127,18 @@ def test_load_kinds_and_paths():
     with pytest.raises(ValueError):
         load_kind("other")
     assert load_path("/x/", "full", at) == "/x"
-    assert load_path("/x", "Incr", at) == "/x/date=2024-03-04/hour=05"
+    assert load_path("/x", "Incr", at) == "/x/date=2024-03-04/hour=05/load=20240304050000"
 
 
-def test_incremental_overwrite_replaces_its_own_hour_only(spark, tmp_path, rows):
+def test_no_load_deletes_another_and_a_retry_replaces_itself(spark, tmp_path, rows):
     base = str(tmp_path / "t")
-    for hour, n in ((1, 2), (2, 3), (2, 4)):
-        write_load(spark.range(n), base, "incr", datetime(2024, 1, 1, hour))
-    assert sorted(spark.read.parquet(base).groupBy("hour").count().collect()) == [(1, 2), (2, 4)]
+    for minute, n in ((5, 2), (50, 3), (50, 4)):
+        write_load(spark.range(n), base, "incr", datetime(2024, 1, 1, 2, minute))
+    landed = spark.read.parquet(base)
+    assert sorted(landed.groupBy("hour", "load").count().collect()) == [
+        (2, 20240101020500, 2), (2, 20240101025000, 4)]
+    assert new_loads(landed, "20240101020500").count() == 4
+    assert new_loads(landed, None).count() == 6
 
 
 def test_partitioned_sink_gathers_folders(spark, tmp_path):
@@ -151,15 +158,71 @@ def test_published_versions(spark, tmp_path, rows):
     version = publish.write_next(spark.range(2), base)
     assert (version, spark.table("live_d").count()) == (2, 1)
     assert publish.read_live(spark, base).count() == 1
-    assert publish.write_next(spark.range(3), base) == 2
     publish.publish(spark, base, 2, view="live_d")
-    assert spark.table("live_d").count() == 3
+    assert spark.table("live_d").count() == 2
     publish.publish(spark, base, 1)
     assert publish.read_live(spark, base).count() == 1
     with pytest.raises(ValueError):
         publish.drop_version(spark, base, 1)
     assert publish.replace_live(spark.range(9), base, keep_previous=False) == 3
     assert not (tmp_path / "d" / "v=1").exists() and (tmp_path / "d" / "v=2").exists()
+    with pytest.raises(ValueError, match="never written"):
+        publish.publish(spark, base, 9)
+
+
+def test_of_two_writers_the_second_fails(spark, tmp_path):
+    base = str(tmp_path / "d")
+    publish.replace_live(spark.range(1), base)
+    first, second = (publish.write_next(spark.range(n), base) for n in (2, 3))
+    assert first != second
+    publish.publish(spark, base, first)
+    with pytest.raises(publish.Outdated):
+        publish.publish(spark, base, second)
+    assert publish.read_live(spark, base).count() == 2
+
+
+def test_catalog_view_is_seen_by_other_sessions(spark, tmp_path):
+    base = str(tmp_path / "d")
+    try:
+        publish.replace_live(spark.range(2), base, view="live_for_all", catalog=True)
+        assert spark.newSession().table("live_for_all").count() == 2
+        publish.replace_live(spark.range(5), base, view="live_for_all", catalog=True)
+        assert spark.newSession().table("live_for_all").count() == 5
+    finally:
+        spark.sql("DROP VIEW IF EXISTS live_for_all")
+
+
+def test_options_hold_for_their_query_only(spark, rows):
+    key = "spark.sql.legacy.timeParserPolicy"
+    before = spark.conf.get(key)
+    sql = "SELECT to_date('2024-1-5x', 'yyyy-MM-dd') AS d"
+    parsed = run_sql(spark, sql, [f"SET {key}=LEGACY"])
+    assert spark.conf.get(key) == before
+    assert str(parsed.first()[0]) == "2024-01-05"
+    with pytest.raises(Exception):
+        spark.sql(sql).collect()
+    job = {"job": {"spark_options": [f"set {key}=LEGACY"]}, "stages": [{"parsed": {"sql": sql}}]}
+    assert str(run_job(spark, job)["parsed"].first()[0]) == "2024-01-05"
+
+
+def test_views_in_the_described_form(spark, rows):
+    spark.range(3).createOrReplaceTempView("described_base")
+    assert register_views(spark, [{"described_a": ["Y", "described_base"]},
+                                  {"described_b": ["N", "SELECT id + 1 AS id FROM described_base"]}]) == [
+        "described_a"]
+    assert spark.catalog.isCached("described_a") and rows(spark.table("described_b")) == [
+        (1,), (2,), (3,)]
+    spark.catalog.uncacheTable("described_a")
+
+
+def test_scratch_scope_removes_what_was_staged(spark):
+    with pytest.raises(ZeroDivisionError):
+        with scratch_scope(spark) as paths:
+            stage(spark.range(3))
+            1 / 0
+    assert len(paths) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(paths[0])
 
 
 def test_schema_refresh(spark, tmp_path, rows):
@@ -195,8 +258,7 @@ def test_changed_since_and_query_text(spark):
     assert source_query(text, "Full") == text
     assert source_query(text, "incr", datetime(2024, 1, 1)) == \
         "SELECT * FROM t WHERE ts > '2024-01-01 00:00:00'"
-    with pytest.raises(ValueError):
-        source_query(text, "incr")
+    assert source_query(text, "incr") == "SELECT * FROM t WHERE ts > '1900-01-01 00:00:00'"
 
 
 def test_new_folders_are_strictly_later_and_pruned(spark, tmp_path):

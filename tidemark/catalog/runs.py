@@ -96,20 +96,19 @@ def incr_partitions(spark, sf_dir):
 
 
 @query("ingest_incremental", """
-SELECT CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 'first' ELSE 'second' END AS load,
-       event_id, event_type FROM events""")
+SELECT CASE WHEN ts < TIMESTAMP '2024-01-15 10:05:00' THEN 20240115100500
+            WHEN ts < TIMESTAMP '2024-01-15 10:50:00' THEN 20240115105000
+            ELSE 20240131000000 END AS load, event_id, event_type FROM events""")
 def ingest_incremental(spark, sf_dir):
-    """A first load of what the source held then, and a second of what came after."""
+    """Three loads, two of them in one hour, each of what the source held then."""
     base, control = scratch_path(spark, "ingested"), scratch_path(spark, "control")
     events = table(spark, sf_dir, "events")
-    loads = []
-    for label, as_of in (("first", datetime(2024, 1, 15)), ("second", datetime(2024, 1, 31))):
-        path = ingest(spark, lambda since: events.filter(at("ts") < instant(as_of)),
-                      job="events", base=base, control_path=control, load_type="incr",
-                      as_of=as_of, changed_col="ts")
-        loads.append(spark.read.parquet(path).select(F.lit(label).alias("load"), "event_id",
-                                                     "event_type"))
-    return loads[0].unionAll(loads[1])
+    for as_of in (datetime(2024, 1, 15, 10, 5), datetime(2024, 1, 15, 10, 50),
+                  datetime(2024, 1, 31)):
+        ingest(spark, lambda since: events.filter(at("ts") < instant(as_of)),
+               job="events", base=base, control_path=control, load_type="incr",
+               as_of=as_of, changed_col="ts")
+    return spark.read.parquet(base).select("load", "event_id", "event_type")
 
 
 @query("stream_incremental", "SELECT event_id, user_id, event_type FROM events")

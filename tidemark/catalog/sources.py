@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.catalog.base import query, table
 from tidemark.functions.dates import instant
 from tidemark.operators.columns import at
-from tidemark.plans.control import advance_window, create_control
 from tidemark.plans.jobs import ingest_described
 from tidemark.session import scratch_path
 from tidemark.sources import jdbc
@@ -259,14 +258,15 @@ def sink_jdbc(spark, sf_dir):
 
 
 @query("ingest_described", """
-SELECT event_id, user_id, event_type, date_trunc('second', ts) AS ts FROM events
+SELECT event_id, user_id, event_type, date_trunc('second', ts) AS ts, 20240115000000 AS load
+FROM events UNION ALL
+SELECT event_id, user_id, event_type, date_trunc('second', ts), 20240131000000 FROM events
 WHERE ts > TIMESTAMP '2024-01-15 00:00:00'""")
 def ingest_described_events(spark, sf_dir):
-    """An incremental load of a database table, described by a specification."""
+    """Two incremental loads of a database table, described by a specification; the first run
+    of a job takes all rows."""
     database, relation = _loaded(spark, sf_dir, "events")
     control = scratch_path(spark, "control")
-    create_control(spark, control)
-    advance_window(spark, control, "app.events", datetime(2024, 1, 15))
     spec = {
         "environment": {"test": {"dynamic_vars": {
             "$url": database.url, "$relation": relation, "$bucket": "landing"}}},
@@ -284,11 +284,13 @@ def ingest_described_events(spark, sf_dir):
                 "target_partition_by": None, "target_write_mode": "overwrite",
                 "target_file_format": "parquet",
                 "writer_spark_options": {"target_compression_type": "snappy"}}}}}}
-    path = ingest_described(spark, spec, "app", "app.events", environment="test",
-                            control_path=control, as_of=datetime(2024, 1, 31),
-                            root=scratch_path(spark, "store") + "/")
-    return spark.read.parquet(path).withColumn(
-        "ts", F.date_trunc("second", "ts").cast("timestamp_ntz"))
+    root = scratch_path(spark, "store") + "/"
+    for as_of in (datetime(2024, 1, 15), datetime(2024, 1, 31)):
+        ingest_described(spark, spec, "app", "app.events", environment="test",
+                         control_path=control, as_of=as_of, root=root)
+    return spark.read.parquet(f"{root}landing/incr/app/events/").select(
+        "event_id", "user_id", "event_type",
+        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"), "load")
 
 
 @query("publish_swap", """

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+
 
 def build_session(name: str = "tidemark", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -28,7 +33,8 @@ def build_session(name: str = "tidemark", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode.
 
-    Also makes sure ``DataFrame.checkpoint()`` writes there.
+    Also makes sure ``DataFrame.checkpoint()`` writes there. A folder of the driver's own
+    disk is refused on a cluster.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) \
@@ -38,6 +44,8 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="tidemark-")
+    if folder.startswith("file:") and not context.master.startswith("local"):
+        raise RuntimeError(f"executors of a cluster can't share {folder}")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -45,4 +53,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    for paths in _scopes.get():
+        paths.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder, if it is there, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes what is staged inside the block when it ends, also by failure.
+
+    No frame that reads a staged table may be used after the block, so results are
+    written before it ends.
+    """
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield paths
+    finally:
+        _scopes.reset(token)
+        for path in paths:
+            remove_folder(spark, path)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.columns import at, is_array, typed_projection
+from tidemark.sources.sinks import stage
 
 
 def read_source(spark: SparkSession, fmt: str, options: dict[str, str] | None = None, *,
@@ -92,17 +95,60 @@ def register_view(df: DataFrame, view: str, cache: bool = False) -> None:
         df.sparkSession.catalog.cacheTable(view)
 
 
-def register_views(spark: SparkSession, views: dict[str, dict]) -> None:
-    """``{view: {"format": ..., "cache": ..., further arguments of read_source}}``."""
-    for view, source in views.items():
-        spec = dict(source)
-        cache = bool(spec.pop("cache", False))
-        register_view(read_source(spark, spec.pop("format"), spec.pop("options", None), **spec),
-                      view, cache)
+def register_views(spark: SparkSession, views: dict[str, dict] | Sequence[dict]) -> list[str]:
+    """``{view: {"format": ..., "cache": ..., further arguments of read_source}}``.
+
+    Or the described form, a list of ``{view: [cache, table]}`` over tables of the catalog, or
+    ``{view: [cache, query]}`` with a query, cache being Y or N. Returns the cached views.
+    """
+    cached = []
+    parts = [views] if isinstance(views, dict) else views
+    for view, source in (item for part in parts for item in part.items()):
+        if isinstance(source, dict):
+            spec = dict(source)
+            cache = bool(spec.pop("cache", False))
+            df = read_source(spark, spec.pop("format"), spec.pop("options", None), **spec)
+        else:
+            flag, text = source
+            cache = flag is True or str(flag).strip().lower() in ("y", "yes", "true")
+            df = spark.sql(text) if re.match(r"\s*(select|with)\b", text, re.I) else spark.table(text)
+        register_view(df, view, cache)
+        if cache:
+            cached.append(view)
+    return cached
+
+
+def _option(statement: str) -> tuple[str, str]:
+    """``set key=value`` as a pair."""
+    words = statement.strip().split(None, 1)
+    text = words[1] if len(words) == 2 and words[0].lower() == "set" else statement
+    key, equals, value = text.partition("=")
+    if not equals:
+        raise ValueError(f"not an option: {statement!r}")
+    return key.strip(), value.strip()
+
+
+@contextmanager
+def session_options(spark: SparkSession, statements: list[str]) -> Iterator[None]:
+    """Applies session options for the length of a block and puts the old ones back."""
+    wanted = dict(_option(s) for s in statements)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def run_sql(spark: SparkSession, query: str, options: Iterable[str] = ()) -> DataFrame:
-    """Runs ``SET`` statements, then the query."""
-    for statement in options:
-        spark.sql(statement)
-    return spark.sql(query)
+    """Runs ``SET`` statements, then the query; the session's own options are put back.
+
+    With options the rows are computed at once and staged, as the options must hold then.
+    """
+    options = list(options)
+    if not options:
+        return spark.sql(query)
+    with session_options(spark, options):
+        return stage(spark.sql(query), "sql")

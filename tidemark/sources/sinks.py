@@ -11,7 +11,7 @@ from tidemark.session import scratch_path
 
 # The two kinds of load, and the names of partition folders.
 FULL, INCREMENTAL = "full", "incr"
-DATE_FOLDER, HOUR_FOLDER = "date", "hour"
+DATE_FOLDER, HOUR_FOLDER, LOAD_FOLDER = "date", "hour", "load"
 
 
 def write_sink(df: DataFrame, fmt: str, mode: str = "error",
@@ -54,18 +54,19 @@ def load_kind(load_type: str) -> str:
 
 
 def load_path(base: str, load_type: str, as_of: datetime) -> str:
-    """The folder a load goes to: ``base``, or its hourly folder for an incremental load."""
+    """The folder a load goes to: ``base``, or one of its own, in its hour, if incremental."""
     base = base.rstrip("/")
     if load_kind(load_type) == FULL:
         return base
-    return f"{base}/{DATE_FOLDER}={as_of:%Y-%m-%d}/{HOUR_FOLDER}={as_of:%H}"
+    return (f"{base}/{DATE_FOLDER}={as_of:%Y-%m-%d}/{HOUR_FOLDER}={as_of:%H}"
+            f"/{LOAD_FOLDER}={as_of:%Y%m%d%H%M%S}")
 
 
 def write_load(df: DataFrame, base: str, load_type: str, as_of: datetime,
                fmt: str = "parquet", mode: str = "overwrite",
                options: dict[str, str] | None = None,
                partition_by: Sequence[str] = ()) -> str:
-    """Writes one load; overwriting an incremental one replaces its own hour only."""
+    """Writes one load; overwriting an incremental one replaces a try with the same ``as_of``."""
     path = load_path(base, load_type, as_of)
     write_sink(df, fmt, mode, options, path=path, partition_by=partition_by)
     return path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import query, table
@@ -19,7 +21,9 @@ from tidemark.operators.effective import open_rows, refresh_current_flag, with_c
 from tidemark.operators.keys import assign_surrogates, duplicate_keys, one_row_per_key
 from tidemark.operators.setops import rows_except, rows_intersect, union_by_name
 from tidemark.operators.upsert import merge_upsert, soft_delete
-from tidemark.plans.jobs import dimension_state, staging_state
+from tidemark.plans.jobs import dimension_state, run_described, staging_state
+from tidemark.session import scratch_path
+from tidemark.sources.publish import read_live, replace_live
 from tidemark.sources.sinks import stage
 
 
@@ -398,3 +402,67 @@ def fn_hash(spark, sf_dir):
         F.concat_ws("|~|", at("o_orderstatus"), priority, F.lit("end")).alias("joined"),
         F.concat(at("o_orderstatus"), F.lit("|~|"), F.coalesce(priority, F.lit("")))
         .alias("slots"))
+
+
+_FIRST_RUN, _SECOND_RUN = "2002-06-01 00:00:00", "2002-06-20 00:00:00"
+
+
+def _described_runs(spark, sf_dir, with_dimension=True):
+    """A staging job and a dimension job over two consecutive periods, as described."""
+    staging, dimension, control = (scratch_path(spark, n) for n in ("stg", "dim", "control"))
+    for base, extra in ((staging, ""), (dimension, ", order_id bigint, is_current string")):
+        replace_live(spark.createDataFrame([], "o_orderkey bigint, o_orderstatus string, "
+                     "o_orderpriority string, o_orderdate timestamp_ntz, start_date timestamp_ntz, "
+                     "end_date timestamp_ntz, creation_date timestamp_ntz, "
+                     f"update_date timestamp_ntz, change_hash string{extra}"), base)
+    spec = {
+        "global": {"transform": {"keys": ["o_orderkey"]}},
+        "environment": {"test": {"dynamic_vars": {"$stg": staging, "$dim": dimension,
+                                                  "$control": control}}},
+        "job": {"environment": "test", "spark_options": ["set spark.sql.ansi.enabled=true"]},
+        "control": {"path": "$control", "name": "orders_staging"},
+        "stages": [{"orders_staging": {
+            "views": [{"described_orders": ["Y", "orders_of_period"]}],
+            "sql": "SELECT *, CAST(NULL AS TIMESTAMP_NTZ) AS end_date FROM described_orders",
+            "transform": {"kind": "upsert", "target": "$stg", "hashed": HASHED,
+                          "view": "described_staging"}}}]}
+    on_staging = {**spec, "control": {"path": "$control", "name": "orders_dimension"}, "stages": [
+        {"orders_dimension": {
+            "sql": "SELECT * FROM described_staging",
+            "transform": {"kind": "dimension", "target": "$dim", "keys": DIMENSION_KEYS,
+                          "hashed": DIMENSION_HASHED, "surrogate": "order_id"}}}]}
+    for rows, as_of in ((orders_before, _FIRST_RUN), (orders_after, _SECOND_RUN)):
+        rows(spark, sf_dir).createOrReplaceTempView("orders_of_period")
+        for described in (spec, on_staging) if with_dimension else (spec,):
+            run_described(spark, described, datetime.fromisoformat(as_of))
+    return read_live(spark, staging), read_live(spark, dimension)
+
+
+_TWO_RUNS_SQL = f"""
+{SNAPSHOTS_SQL},
+b AS (SELECT *, {nvl_hash_sql(*HASHED)} AS h FROM before),
+a AS (SELECT *, {nvl_hash_sql(*HASHED)} AS h FROM after),
+staging AS (
+  SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+    coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus,
+    CASE WHEN a.o_orderkey IS NULL THEN b.o_orderpriority ELSE a.o_orderpriority END AS o_orderpriority,
+    coalesce(a.o_orderdate, b.o_orderdate) AS o_orderdate,
+    CASE WHEN b.o_orderkey IS NULL THEN TIMESTAMP '{_SECOND_RUN}' ELSE TIMESTAMP '{_FIRST_RUN}' END AS start_date,
+    CASE WHEN a.o_orderkey IS NULL THEN TIMESTAMP '{_SECOND_RUN}' END AS end_date,
+    CASE WHEN b.o_orderkey IS NULL THEN TIMESTAMP '{_SECOND_RUN}' ELSE TIMESTAMP '{_FIRST_RUN}' END AS creation_date,
+    CASE WHEN a.h = b.h THEN TIMESTAMP '{_FIRST_RUN}' ELSE TIMESTAMP '{_SECOND_RUN}' END AS update_date,
+    coalesce(a.h, sha1('DELETED')) AS change_hash
+  FROM b FULL JOIN a ON a.o_orderkey = b.o_orderkey)"""
+
+
+@query("spec_staging", f"WITH {_TWO_RUNS_SQL} SELECT * FROM staging")
+def spec_staging(spark, sf_dir):
+    return _described_runs(spark, sf_dir, with_dimension=False)[0]
+
+
+@query("spec_dimension", f"""WITH {_TWO_RUNS_SQL}
+SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, start_date, end_date, creation_date,
+  update_date, 249999 + row_number() OVER (ORDER BY creation_date, o_orderkey) AS order_id, 'Y' AS is_current
+FROM staging""")
+def spec_dimension(spark, sf_dir):
+    return _described_runs(spark, sf_dir)[1].drop("change_hash")

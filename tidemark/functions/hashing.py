@@ -6,13 +6,15 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.columns import at
+
 # Both must stay as they are for stored hashes to remain comparable.
 SEPARATOR = "|~|"
 DELETED_MARK = "DELETED"
 
 
 def _columns(columns: Iterable[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in columns]
+    return [at(c) if isinstance(c, str) else c for c in columns]
 
 
 def hash_skipping_nulls(*columns: str | Column) -> Column:

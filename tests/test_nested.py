@@ -237,6 +237,7 @@ def test_null_columns(spark, rows):
     df = spark.createDataFrame([(1, None, None), (2, None, 3)], "a int, b string, c int")
     assert drop_null_columns(df).columns == ["a", "c"]
     assert drop_null_columns(df, "any").columns == ["a"]
+    assert drop_null_columns(df.limit(0)).columns == df.columns
     assert rows(null_profile(df)) == [("a", 2, 2), ("b", 2, 0), ("c", 2, 1)]
 
 

@@ -91,14 +91,26 @@ def src_parquet_prefix(spark, sf_dir):
     return read_parquet_prefix(spark, base)
 
 
-@query("src_glob", "SELECT DISTINCT o_orderstatus AS status FROM orders")
+@query("src_glob", """
+SELECT DISTINCT o_orderstatus AS status, 'part-' AS starts, '.parquet' AS ends FROM orders UNION ALL
+SELECT DISTINCT o_orderstatus, 'part-', '.json' FROM orders WHERE o_orderstatus <> 'P'""")
 def src_glob(spark, sf_dir):
-    """The folders that hold parquet files, from their paths alone."""
+    """The folders that hold files of a kind, from their paths alone, out of a mixed tree."""
     base = scratch_path(spark, "orders-by-status")
-    write_sink(_orders(spark, sf_dir), "parquet", path=base, partition_by=["o_orderstatus"])
-    folder = F.element_at(F.split("path", "/"), -2)
-    return (list_files(spark, base, suffix=".parquet")
-            .select(F.element_at(F.split(folder, "="), 2).alias("status")).distinct())
+    orders = _orders(spark, sf_dir)
+    write_sink(orders, "parquet", path=base, partition_by=["o_orderstatus"])
+    write_sink(orders.filter("o_orderstatus <> 'P'"), "json", "append", path=base,
+               partition_by=["o_orderstatus"])
+    steps = F.split("path", "/")
+    name = F.element_at(steps, -1)
+    found = [list_files(spark, base, suffix=suffix, prefix="part-").select(
+        F.element_at(F.split(F.element_at(steps, -2), "="), 2).alias("status"),
+        F.substring(name, 1, 5).alias("starts"),
+        F.regexp_extract(name, r"(\.[a-z]+)$", 1).alias("ends")).distinct()
+        for suffix in (".parquet", ".json")]
+    nothing = list_files(spark, base, suffix=".parquet", prefix="other-").select(
+        "path", "path", "path")
+    return found[0].unionAll(found[1]).unionAll(nothing)
 
 
 @query("src_select_limit", """

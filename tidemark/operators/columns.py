@@ -108,14 +108,15 @@ def column_bounds(df: DataFrame, column: str) -> DataFrame:
 def drop_null_columns(df: DataFrame, how: str = "all") -> DataFrame:
     """Drops columns that are NULL in all rows (``all``) or in at least one (``any``).
 
-    One pass counts the values of the columns that may hold NULLs.
+    One pass counts the values of the columns that may hold NULLs. A frame without rows
+    keeps its columns.
     """
     if how not in ("all", "any"):
         raise ValueError(f"how must be 'all' or 'any', not {how!r}")
     nullable = [f.name for f in df.schema.fields if f.nullable]
     *values, rows = df.agg(*[F.count(at(c)) for c in nullable], F.count(F.lit(1))).first()
     found = {**dict.fromkeys(df.columns, rows), **dict(zip(nullable, values))}
-    least = rows if how == "any" else 1
+    least = rows if how == "any" else min(rows, 1)
     return df.select(*[quoted(c) for c in df.columns if found[c] >= least])
 
 

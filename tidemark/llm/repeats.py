@@ -21,9 +21,11 @@ from tidemark.llm.shingles import BLOCK, mix, prefix_hashes, slice_hashes
 from tidemark.llm.staging import Scratch, picked
 
 #: Surroundings of one anchor that go into a suffix array together with as many others.
-BLOCK_CONTEXTS = 128
-#: Bytes of surroundings in one suffix array, unless a single group needs more.
-ARRAY_BYTES = 1 << 20
+BLOCK_CONTEXTS = 512
+#: Parts of the places that an anchor may have in a passage.
+CLASSES = 4
+#: Bytes of surroundings that are compared at a time, unless a single group has more.
+ARRAY_BYTES = 1 << 18
 
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
@@ -111,6 +113,17 @@ def _find_anchors(length: int, gram: int):
     return run
 
 
+def _sorted_order(key: np.ndarray) -> np.ndarray:
+    """The stable order of unsigned keys, by sixteen bits at a time."""
+    order = np.argsort((key & np.uint64(0xFFFF)).astype(np.uint16), kind="stable")
+    key = key >> np.uint64(16)
+    while key.any():
+        digit = (key & np.uint64(0xFFFF)).astype(np.uint16)
+        order = order[np.argsort(digit[order], kind="stable")]
+        key = key >> np.uint64(16)
+    return order
+
+
 def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Suffixes in order of their first ``depth`` bytes or more, and the ranks at each doubling,
     from 8 bytes on. ``data`` holds byte + 1, and 0 after the end of each string."""
@@ -121,7 +134,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndar
         key = (key << np.uint64(9)) | padded[j:j + n]
     ranks, reach = [], 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = _sorted_order(key)
         ordered = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
@@ -195,6 +208,31 @@ def earlier_and_later(strings: Sequence[bytes], ids: Sequence[np.ndarray],
     return cut(earlier), cut(later)
 
 
+def _worth_sorting(strings: Sequence[bytes], ids: Sequence[np.ndarray],
+                   length: int) -> list[tuple[int, int] | None]:
+    """For each string the part that holds all its windows of ``length`` bytes whose hash also
+    belongs to a window of another id; what lies outside need not be sorted."""
+    sums = prefix_hashes(np.frombuffer(b"".join(strings), np.uint8))
+    sizes = np.array([len(s) for s in strings])
+    begins, counts = np.cumsum(sizes) - sizes, np.maximum(sizes - length + 1, 0)
+    owner = np.repeat(np.arange(len(strings)), counts)
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    starts = begins[owner] + place
+    hashes = slice_hashes(sums, starts, starts + length)
+    where = np.concatenate([i[:c] for i, c in zip(ids, counts)])
+    order = np.argsort(hashes, kind="stable")
+    ordered, where = hashes[order], where[order]
+    heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    several = np.minimum.reduceat(where, heads) != np.maximum.reduceat(where, heads)
+    hit = np.zeros(len(order), bool)
+    hit[order] = np.repeat(several, np.diff(np.append(heads, len(order))))
+    low = np.full(len(strings), np.iinfo(np.int64).max)
+    high = np.full(len(strings), -1)
+    np.minimum.at(low, owner[hit], place[hit])
+    np.maximum.at(high, owner[hit], place[hit])
+    return [(int(a), int(b) + length) if b >= 0 else None for a, b in zip(low, high)]
+
+
 def _spans(covered: np.ndarray, length: int, offset: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes in strings that begin at the covered places."""
     at = np.flatnonzero(covered)
@@ -216,6 +254,11 @@ def _compare(length: int, keep_first: bool):
         rows = list(distinct.values())
         ids = [docs[(r[1] is None, r[1] or 0, r[2])] * (1 << 40) + r[3]
                + np.arange(len(r[4]), dtype=np.int64) for r in rows]
+        parts = _worth_sorting([r[4] for r in rows], ids, length)
+        ids = [i[p[0]:p[1]] for i, p in zip(ids, parts) if p]
+        rows = [(*r[:3], r[3] + p[0], r[4][p[0]:p[1]]) for r, p in zip(rows, parts) if p]
+        if not rows:
+            return []
         earlier, later = earlier_and_later([r[4] for r in rows], ids, length)
         out = []
         for r, e, x in zip(rows, earlier, later):
@@ -245,6 +288,29 @@ def _compare(length: int, keep_first: bool):
     return run
 
 
+def _class_bounds(reach: int) -> list[tuple[int, int]]:
+    """Least and greatest distance of the anchor from the passage's start in each class."""
+    edges = [(reach + 1) * k // CLASSES for k in range(CLASSES + 1)]
+    return [(a, b - 1) for a, b in zip(edges, edges[1:])]
+
+
+def _class_keys(anchor: int, context: bytes, at: int, length: int, reach: int) -> list[int | None]:
+    """A hash, for each class, of the bytes that all its passages share; None if there are none.
+
+    Two surroundings of an anchor hold a common passage of a class only if these are equal.
+    """
+    keys: list[int | None] = []
+    for k, (low, high) in enumerate(_class_bounds(reach)):
+        a, b = at - low, at - high + length
+        if low > high or a < 0 or b > len(context):
+            keys.append(None)
+            continue
+        told = hashlib.blake2b(context[a:b], digest_size=8, salt=bytes([k]),
+                               key=anchor.to_bytes(8, "big", signed=True)).digest()
+        keys.append(int.from_bytes(told, "big", signed=True))
+    return keys
+
+
 def _cut(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     """The surroundings of the anchors that are asked for in each text."""
     reach = length - gram
@@ -254,12 +320,14 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[
             data = (text or "").encode()
             for w in wanted:
                 a, b = max(0, w["place"] - reach), min(len(data), w["place"] + length)
-                out.append((w["anchor"], w["digest"], doc, row, a, data[a:b]))
-        kinds = [pa.int64()] * 5 + [pa.binary()]
-        columns = list(zip(*out)) or [[]] * 6
+                context = data[a:b]
+                out.append((w["anchor"], w["digest"], doc, row, w["place"], a, context,
+                            _class_keys(w["anchor"], context, w["place"] - a, length, reach)))
+        kinds = [pa.int64()] * 6 + [pa.binary(), pa.list_(pa.int64())]
+        columns = list(zip(*out)) or [[]] * 8
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["anchor", "digest", "doc_id", "row", "start", "context"])
+            names=["anchor", "digest", "doc_id", "row", "place", "start", "context", "keys"])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -347,8 +415,25 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True)
     contexts = (rows.join(wanted, same).select("doc_id", "row", "text", "wanted")
                 .mapInArrow(lambda b: _cut(b, length, gram),
                             "anchor bigint, digest bigint, doc_id bigint, row bigint, "
-                            "start bigint, context binary"))
+                            "place bigint, start bigint, context binary, keys array<bigint>"))
     contexts = scratch.write(contexts, "contexts")
+    # Only surroundings that agree with others in what a class of passages shares go on, cut to
+    # the classes in which they do.
+    keyed = contexts.select("anchor", "digest", F.posexplode("keys").alias("class", "key")) \
+        .filter("key IS NOT NULL")
+    agreed = scratch.write(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                           .select("key"), "agreed")
+    live = (keyed.join(agreed, "key").groupBy("anchor", "digest")
+            .agg(F.min("class").alias("low"), F.max("class").alias("high")))
+    bounds = F.array(*[F.struct(F.lit(a).alias("low"), F.lit(b).alias("high"))
+                       for a, b in _class_bounds(length - gram)])
+    begin = F.greatest(F.col("start"), F.col("place") - F.get(bounds, F.col("high"))["high"])
+    end = F.col("place") - F.get(bounds, F.col("low"))["low"] + length
+    contexts = contexts.join(live, ["anchor", "digest"]).select(
+        "anchor", "digest", "doc_id", "row", begin.alias("start"),
+        F.substring("context", (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
+        .alias("context"))
+    contexts = scratch.write(contexts, "cut")
     sizes = scratch.write(contexts.groupBy("anchor").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_CONTEXTS).cast("int").alias("blocks")), "sizes")
     own = F.pmod(F.col("digest"), F.col("blocks")).cast("int")
@@ -364,7 +449,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True)
                             "doc_id bigint, row bigint, start bigint, stop bigint"))
     spans = scratch.write(whole.unionByName(compared).groupBy("doc_id", "row").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
-    scratch.release("hits", "classes", "contexts")
+    scratch.release("hits", "classes", "contexts", "cut")
     spans = spans.withColumnRenamed("doc_id", "id_").withColumnRenamed("row", "row_")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (rows.join(spans, same, "left")

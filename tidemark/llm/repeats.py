@@ -21,7 +21,7 @@ from tidemark.llm.shingles import BLOCK, mix, prefix_hashes, slice_hashes
 from tidemark.llm.staging import Scratch, picked
 
 #: Surroundings of one anchor that go into a suffix array together with as many others.
-BLOCK_CONTEXTS = 512
+BLOCK_CONTEXTS = 1024
 #: Parts of the places that an anchor may have in a passage.
 CLASSES = 4
 #: Bytes of surroundings that are compared at a time, unless a single group has more.
@@ -46,7 +46,8 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _anchors(texts: Sequence[bytes], length: int, gram: int):
-    """``(text number, place, anchor hash, digest of the surroundings)`` as four arrays."""
+    """Text number, place, anchor hash, digest of the surroundings, and the least and greatest
+    distance from the start of the windows that have this anchor, as six arrays."""
     out: list[tuple[np.ndarray, ...]] = []
 
     def flush(parts: list[tuple[int, bytes, int, int, int]]):
@@ -66,14 +67,17 @@ def _anchors(texts: Sequence[bytes], length: int, gram: int):
         np.add.at(good, begins, 1)
         np.add.at(good, begins + windows, -1)
         valid = np.flatnonzero(np.cumsum(good[:-1])[: len(first)] > 0)
-        places = np.unique(first[valid])
+        places, at, count = np.unique(first[valid], return_index=True, return_counts=True)
+        # Anchors of later windows stand later, so those of one anchor are neighbours.
+        far, near = places - valid[at], places - valid[at + count - 1]
         part = np.searchsorted(begins, places, "right") - 1
         reach = length - gram
         left = np.maximum(places - reach, begins[part])
         right = np.minimum(places + length, begins[part] + sizes[part])
         digest = mix(slice_hashes(sums, left, right) + (places - left).astype(np.uint64)
                      * np.uint64(0xD6E8FEB86659FD93))
-        out.append((number[part], places - begins[part] + offset[part], grams[places], digest))
+        out.append((number[part], places - begins[part] + offset[part], grams[places], digest,
+                    near, far))
 
     waiting, size = [], 0
     step = BLOCK
@@ -92,10 +96,15 @@ def _anchors(texts: Sequence[bytes], length: int, gram: int):
     if waiting:
         flush(waiting)
     if not out:
-        return (np.zeros(0, np.int64),) * 4
-    number, place, anchor, digest = (np.concatenate(x) for x in zip(*out))
-    _, keep = np.unique(number * (1 << 40) + place, return_index=True)
-    return number[keep], place[keep], anchor[keep].view(np.int64), digest[keep].view(np.int64)
+        return (np.zeros(0, np.int64),) * 6
+    number, place, anchor, digest, near, far = (np.concatenate(x) for x in zip(*out))
+    # An anchor that two parts of a long text have found: their windows together.
+    _, keep, which = np.unique(number * (1 << 40) + place, return_index=True, return_inverse=True)
+    least, greatest = near[keep], far[keep]
+    np.minimum.at(least, which, near)
+    np.maximum.at(greatest, which, far)
+    return (number[keep], place[keep], anchor[keep].view(np.int64), digest[keep].view(np.int64),
+            least, greatest)
 
 
 def _find_anchors(length: int, gram: int):
@@ -104,12 +113,12 @@ def _find_anchors(length: int, gram: int):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts = [(t or "").encode() for t in part.column(2).to_pylist()]
-                number, place, anchor, digest = _anchors(texts, length, gram)
+                number, place, anchor, digest, near, far = _anchors(texts, length, gram)
                 take = pa.array(number)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(place),
-                     pa.array(anchor), pa.array(digest)],
-                    names=["doc_id", "row", "place", "anchor", "digest"])
+                     pa.array(anchor), pa.array(digest), pa.array(near), pa.array(far)],
+                    names=["doc_id", "row", "place", "anchor", "digest", "near", "far"])
     return run
 
 
@@ -208,10 +217,11 @@ def earlier_and_later(strings: Sequence[bytes], ids: Sequence[np.ndarray],
     return cut(earlier), cut(later)
 
 
-def _worth_sorting(strings: Sequence[bytes], ids: Sequence[np.ndarray],
+def _worth_sorting(strings: Sequence[bytes], ids: Sequence[np.ndarray], asked: np.ndarray,
                    length: int) -> list[tuple[int, int] | None]:
     """For each string the part that holds all its windows of ``length`` bytes whose hash also
-    belongs to a window of another id; what lies outside need not be sorted."""
+    belongs to a window of another id, one of them in a string that is ``asked`` about; what
+    lies outside need not be sorted."""
     sums = prefix_hashes(np.frombuffer(b"".join(strings), np.uint8))
     sizes = np.array([len(s) for s in strings])
     begins, counts = np.cumsum(sizes) - sizes, np.maximum(sizes - length + 1, 0)
@@ -224,6 +234,7 @@ def _worth_sorting(strings: Sequence[bytes], ids: Sequence[np.ndarray],
     ordered, where = hashes[order], where[order]
     heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     several = np.minimum.reduceat(where, heads) != np.maximum.reduceat(where, heads)
+    several &= np.maximum.reduceat(asked[owner[order]], heads)
     hit = np.zeros(len(order), bool)
     hit[order] = np.repeat(several, np.diff(np.append(heads, len(order))))
     low = np.full(len(strings), np.iinfo(np.int64).max)
@@ -254,14 +265,18 @@ def _compare(length: int, keep_first: bool):
         rows = list(distinct.values())
         ids = [docs[(r[1] is None, r[1] or 0, r[2])] * (1 << 40) + r[3]
                + np.arange(len(r[4]), dtype=np.int64) for r in rows]
-        parts = _worth_sorting([r[4] for r in rows], ids, length)
+        # Surroundings that occur twice as a whole go anyway, if all copies do.
+        asked = np.array([keep_first or r[5] for r in rows])
+        parts = _worth_sorting([r[4] for r in rows], ids, asked, length)
         ids = [i[p[0]:p[1]] for i, p in zip(ids, parts) if p]
-        rows = [(*r[:3], r[3] + p[0], r[4][p[0]:p[1]]) for r, p in zip(rows, parts) if p]
+        rows = [(*r[:3], r[3] + p[0], r[4][p[0]:p[1]], r[5]) for r, p in zip(rows, parts) if p]
         if not rows:
             return []
         earlier, later = earlier_and_later([r[4] for r in rows], ids, length)
         out = []
         for r, e, x in zip(rows, earlier, later):
+            if not (keep_first or r[5]):
+                continue
             for a, b in _spans(e if keep_first else e | x, length, r[3]):
                 out.append((r[1], r[2], a, b))
         return out
@@ -275,13 +290,13 @@ def _compare(length: int, keep_first: bool):
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for key, doc, row, at, context in zip(*columns):
+            for key, doc, row, at, context, single in zip(*columns):
                 if key != group:
                     if size > ARRAY_BYTES:
                         yield flush(waiting)
                         waiting, size = [], 0
                     group = key
-                waiting.append((key, doc, row, at, context))
+                waiting.append((key, doc, row, at, context, single))
                 size += len(context)
         if waiting:
             yield flush(waiting)
@@ -319,15 +334,17 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[
         for doc, row, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
             data = (text or "").encode()
             for w in wanted:
-                a, b = max(0, w["place"] - reach), min(len(data), w["place"] + length)
+                # Passages that have another anchor are found with that one.
+                a, b = w["place"] - w["far"], w["place"] - w["near"] + length
                 context = data[a:b]
-                out.append((w["anchor"], w["digest"], doc, row, w["place"], a, context,
+                out.append((w["anchor"], w["digest"], doc, row, w["place"], w["single"], a, context,
                             _class_keys(w["anchor"], context, w["place"] - a, length, reach)))
-        kinds = [pa.int64()] * 6 + [pa.binary(), pa.list_(pa.int64())]
-        columns = list(zip(*out)) or [[]] * 8
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        columns = list(zip(*out)) or [[]] * 9
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["anchor", "digest", "doc_id", "row", "place", "start", "context", "keys"])
+            names=["anchor", "digest", "doc_id", "row", "place", "single", "start", "context",
+                   "keys"])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -387,14 +404,15 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True)
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
     anchors = scratch.write(rows.mapInArrow(
         _find_anchors(length, gram),
-        "doc_id bigint, row bigint, place bigint, anchor bigint, digest bigint"), "anchors")
+        "doc_id bigint, row bigint, place bigint, anchor bigint, digest bigint, near bigint, "
+        "far bigint"), "anchors")
     again = (anchors.groupBy("anchor")
              .agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"),
                   F.max("digest").alias("high"))
              .filter("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")))
     hits = scratch.write(anchors.join(scratch.write(again, "again"), "anchor"), "hits")
     scratch.release("anchors", "again")
-    where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "place")
+    where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "place", "near", "far")
     classes = (hits.groupBy("anchor", "digest", "mixed")
                .agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("first")))
     classes = scratch.write(classes, "classes")
@@ -407,15 +425,17 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True)
                          (F.col("place") + length).alias("stop")).distinct()
 
     wanted = (classes.filter("mixed").select("anchor", "digest", "first.doc_id", "first.row",
-                                             "first.place")
-              .groupBy("doc_id", "row").agg(F.collect_list(
-                  F.struct("place", "anchor", "digest")).alias("wanted")))
+                                             "first.place", "first.near", "first.far",
+                                             (F.col("n") == 1).alias("single"))
+              .groupBy("doc_id", "row").agg(F.collect_list(F.struct(
+                  "place", "anchor", "digest", "near", "far", "single")).alias("wanted")))
     wanted = wanted.withColumnRenamed("doc_id", "id_").withColumnRenamed("row", "row_")
     same = (F.col("row") == F.col("row_")) & F.col("doc_id").eqNullSafe(F.col("id_"))
     contexts = (rows.join(wanted, same).select("doc_id", "row", "text", "wanted")
                 .mapInArrow(lambda b: _cut(b, length, gram),
                             "anchor bigint, digest bigint, doc_id bigint, row bigint, "
-                            "place bigint, start bigint, context binary, keys array<bigint>"))
+                            "place bigint, single boolean, start bigint, context binary, "
+                            "keys array<bigint>"))
     contexts = scratch.write(contexts, "contexts")
     # Only surroundings that agree with others in what a class of passages shares go on, cut to
     # the classes in which they do.
@@ -430,7 +450,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True)
     begin = F.greatest(F.col("start"), F.col("place") - F.get(bounds, F.col("high"))["high"])
     end = F.col("place") - F.get(bounds, F.col("low"))["low"] + length
     contexts = contexts.join(live, ["anchor", "digest"]).select(
-        "anchor", "digest", "doc_id", "row", begin.alias("start"),
+        "anchor", "digest", "doc_id", "row", "single", begin.alias("start"),
         F.substring("context", (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
         .alias("context"))
     contexts = scratch.write(contexts, "cut")
@@ -441,9 +461,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = True)
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(
         F.least(b, own).alias("a"), F.greatest(b, own).alias("b")))
     dealt = (contexts.join(sizes, "anchor")
-             .select("anchor", F.explode(pairs).alias("p"), "doc_id", "row", "start", "context")
+             .select("anchor", F.explode(pairs).alias("p"), "doc_id", "row", "start", "context",
+                     "single")
              .select(F.xxhash64("anchor", "p.a", "p.b").alias("group"), "doc_id", "row", "start",
-                     "context"))
+                     "context", "single"))
     compared = (dealt.repartition("group").sortWithinPartitions("group")
                 .mapInArrow(_compare(length, keep_first),
                             "doc_id bigint, row bigint, start bigint, stop bigint"))

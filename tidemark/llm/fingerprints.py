@@ -164,8 +164,9 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     places = F.when(is_head, F.array(F.struct(F.col("run"), F.lit(0).alias("copy")),
                                      F.struct(F.col("to").alias("run"), F.lit(1).alias("copy")))) \
         .otherwise(F.array(F.struct(F.col("run"), F.lit(0).alias("copy"))))
-    dealt = (rows.withColumn("units", paragraph_digests(F.col("text"))).withColumn("run", run)
-             .join(F.broadcast(heads), "run")
+    # Exploded, as the optimizer otherwise carries the expression over to the other side.
+    dealt = (rows.withColumn("units", paragraph_digests(F.col("text")))
+             .select("*", F.explode(F.array(run)).alias("run")).join(F.broadcast(heads), "run")
              .select("doc_id", "order", "row", "text", "units", F.explode(places).alias("p"))
              .select("doc_id", "order", "row", "text", "units", "p.run", "p.copy"))
     down = Window.partitionBy("run").orderBy("copy", F.desc("order"), F.desc("row"))

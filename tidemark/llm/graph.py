@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.staging import Scratch
 
 
-def _summary(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))))
-                 .first())
+def _only_stars(links: DataFrame) -> bool:
+    """Whether every node hangs on one centre, which hangs on none itself."""
+    ends = links.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+        .alias("x")).select("x.*")
+    counted = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def components(links: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
@@ -18,13 +23,13 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
 
     Large and small stars alternate: larger neighbours are tied to the smallest one around,
     then smaller ones likewise, until only stars are left. Each round is written, nothing is
-    collected but two numbers, and a hub's neighbours meet as a folded minimum only.
+    collected, and a hub's neighbours meet as a folded minimum only.
     """
     links = scratch.write(links.filter("u <> v")
                           .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                           .distinct(), f"{name}-0")
-    seen, turn = _summary(links), 0
-    while True:
+    turn = 0
+    while not _only_stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")),
                               f"{name}-least-{turn}")
@@ -38,9 +43,6 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
                          .alias("x")).select("x.u", "x.v").filter("u <> v").distinct())
         links_next = scratch.write(small, f"{name}-{turn + 1}")
         scratch.release(f"{name}-{turn}", f"{name}-least-{turn}", f"{name}-large-{turn}")
-        links, turn, now = links_next, turn + 1, _summary(links_next)
-        if now == seen:
-            break
-        seen = now
+        links, turn = links_next, turn + 1
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)

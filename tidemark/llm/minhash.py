@@ -150,9 +150,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(percent: int):
-    """Links between two blocks of a hub's neighbours, of different components so far."""
+    """Links between two blocks of a hub's neighbours: as few as connect all that is linked."""
     def run(table: pa.Table) -> pa.Table:
-        node, label = (table[c].to_numpy() for c in ("node", "label"))
+        node = table["node"].to_numpy()
         left = table["left"].to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
         sizes = np.array([len(x) for x in sets])
@@ -162,43 +162,60 @@ def _across(percent: int):
         rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
         shared = (held[rows] @ held[cols].T).astype(np.int64)
         both = sizes[rows][:, None] + sizes[cols][None, :] - shared
-        good = (100 * shared >= percent * both) & (label[rows][:, None] != label[cols][None, :])
-        i, j = np.nonzero(good)
-        return pa.table({"u": node[rows[i]], "v": node[cols[j]]})
+        i, j = np.nonzero(100 * shared >= percent * both)
+        pairs = _spanning(node[rows[i]].tolist(), node[cols[j]].tolist())
+        return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)],
+                        names=["u", "v"])
     return run
 
 
+def _spanning(left: list[int], right: list[int]) -> list[tuple[int, int]]:
+    """The pairs that join two parts not joined by those before."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+    kept = []
+    for u, v in zip(left, right):
+        a, b = top(u), top(v)
+        if a != b:
+            above[a] = b
+            kept.append((u, v))
+    return kept
+
+
 def _renamed(sig: DataFrame, side: str) -> DataFrame:
     return sig.select(*[F.col(c).alias(side if c == "node" else f"{c}_{side}")
                         for c in sig.columns])
 
 
-def _links_across(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
+def _links_across(stars: DataFrame, links: DataFrame, sets: DataFrame, percent: int,
                   scratch: Scratch) -> DataFrame:
-    """Links between neighbours of one hub that the comparison with the hub left apart.
+    """Links between neighbours of one hub, of which one isn't linked with the hub.
 
-    Those outside the hub's largest component are compared with all its neighbours. Both are
-    dealt into blocks of about ``BLOCK_NODES``, and each pair of blocks is a group of its own.
+    Those that aren't are compared with all the hub's neighbours. Both are dealt into blocks of
+    about ``BLOCK_NODES``, and each pair of blocks is a group of its own.
     """
-    around = stars.join(labels, "node", "left").select(
-        "hub", "node", F.coalesce("label", "node").alias("label"))
+    linked = links.select(F.col("u").alias("hub"), F.col("v").alias("node"),
+                          F.lit(True).alias("linked"))
+    around = stars.join(linked, ["hub", "node"], "left").select(
+        "hub", "node", F.coalesce("linked", F.lit(False)).alias("linked"))
     around = scratch.write(around, "around")
-    mixed = (around.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("hub")
-             .agg(F.max_by("label", F.struct("size", "label")).alias("main"),
-                  F.sum("size").alias("all_nodes"), F.max("size").alias("main_nodes"))
-             .filter("all_nodes > main_nodes"))
-    mixed = mixed.select("hub", "main", *[
-        F.ceil(x / BLOCK_NODES).alias(name) for name, x in
-        (("left_blocks", F.col("all_nodes") - F.col("main_nodes")),
-         ("right_blocks", F.col("all_nodes")))])
+    apart = F.count(F.when(~F.col("linked"), 1))
+    mixed = (around.groupBy("hub").agg(
+        F.ceil(apart / BLOCK_NODES).alias("left_blocks"),
+        F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("right_blocks"),
+        F.count(F.lit(1)).alias("nodes")).filter("left_blocks > 0 AND nodes > 1").drop("nodes"))
     near = around.join(scratch.write(mixed, "mixed"), "hub")
     block = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
-    dealt = near.filter("label <> main").select(
-        "hub", "node", "label", F.lit(True).alias("left"), block(F.col("left_blocks")).alias("a"),
+    dealt = near.filter("NOT linked").select(
+        "hub", "node", F.lit(True).alias("left"), block(F.col("left_blocks")).alias("a"),
         every(F.col("right_blocks")).alias("b"))
     dealt = dealt.unionByName(near.select(
-        "hub", "node", "label", F.lit(False).alias("left"), every(F.col("left_blocks")).alias("a"),
+        "hub", "node", F.lit(False).alias("left"), every(F.col("left_blocks")).alias("a"),
         block(F.col("right_blocks")).alias("b")))
     return (dealt.join(sets, "node").groupBy("hub", "a", "b")
             .applyInArrow(_across(percent), "u bigint, v bigint"))
@@ -218,9 +235,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     Rows with equal sets are one class, found by digest and represented by the smallest id. Band
     keys are compared among representatives. In a bucket all are compared with its hub only, the
     member that shares most buckets, so a bucket of many near copies costs as many pairs as it
-    has members. Only neighbours of a hub that are still in different components are then
-    compared with each other, block by block inside the tasks, which give away links and no
-    pairs. Nothing is capped. At 40 bands of 4 minima a link is missed with a chance below 1e-9.
+    has members. Neighbours that their hub isn't linked with are then compared with its others,
+    block by block inside the tasks, which give away no more links than connect them. Nothing
+    is capped. At 40 bands of 4 minima a link is missed with a chance below 1e-9.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
@@ -234,17 +251,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
               .filter("size > 1"))
     shared = scratch.write(shared, "shared")
     crowd = scratch.write(members.join(shared, "bucket"), "crowd")
-    degree = scratch.write(crowd.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    degree = crowd.groupBy("node").agg(F.sum("size").alias("degree"))
     hubs = (crowd.join(degree, "node").groupBy("bucket")
             .agg(F.max(F.struct(F.col("degree"), F.bitwise_not("node").alias("node"))).alias("hub"))
             .select("bucket", F.bitwise_not("hub.node").alias("hub")))
     hubs = scratch.write(hubs, "hubs")
     stars = scratch.write(crowd.join(hubs, "bucket").filter("node <> hub").select("hub", "node")
                           .distinct(), "stars")
-    scratch.release("shared", "crowd", "degree", "hubs")
+    scratch.release("shared", "crowd", "hubs")
     needed = stars.select(F.explode(F.array("hub", "node")).alias("doc_id")).distinct()
-    sets = scratch.write(picked(docs, "doc_id", "text").join(needed, "doc_id", "left_semi")
-                         .mapInArrow(_sets(n), "node bigint, shingles binary"), "sets")
+    # The ids grow with the corpus: the hint keeps them from being sent to every task.
+    wanted = picked(docs, "doc_id", "text").join(needed.hint("merge"), "doc_id", "left_semi")
+    sets = scratch.write(wanted.mapInArrow(_sets(n), "node bigint, shingles binary"), "sets")
 
     sig = reps.select("node", "n_shingles", "sig")
     near = (stars.select(F.col("hub").alias("u"), F.col("node").alias("v"))
@@ -252,12 +270,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             .filter(100 * F.least("n_shingles_u", "n_shingles_v")
                     >= percent * F.greatest("n_shingles_u", "n_shingles_v"))
             .filter(may_reach(F.col("sig_u"), F.col("sig_v"), percent)).select("u", "v").distinct())
-    links = scratch.write(_confirmed(scratch.write(near, "near"), sets, percent), "links")
-    labels = scratch.write(components(links, scratch), "labels")
-
-    more = scratch.write(_links_across(stars, labels, sets, percent, scratch), "links-across")
-    if not more.isEmpty():
-        labels = scratch.write(components(links.unionByName(more), scratch, "again"), "labels-all")
+    links = scratch.write(_confirmed(near, sets, percent), "links")
+    more = _links_across(stars, links, sets, percent, scratch)
+    labels = components(links.unionByName(scratch.write(more, "links-across")), scratch)
     scratch.release("sets", "stars", "reps")
 
     named = (classes.join(labels, "node", "left")

@@ -6,6 +6,7 @@ the global order then merge their part of all runs with a loser tree.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from base64 import b32encode
@@ -92,7 +93,7 @@ def records(pages: DataFrame, scratch: Scratch, least_bytes: int) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0,
                    scratch: Scratch | None = None) -> None:
-    """Writes ``pages(page_id, url, html)`` as WARC files below ``path``.
+    """Writes ``pages(page_id, url, html)`` as gzipped WARC files below ``path``.
 
     The text writer closes each record with the two line breaks that the format asks for.
     Records are spread by id over as many files as their bytes need.
@@ -102,11 +103,13 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0,
     total = pages.agg(F.sum(F.octet_length("html")), F.count(F.lit(1))).first()
     files = max(1, (total[0] or 0) // ARCHIVE_BYTES, total[1] // 50_000)
     (made.repartition(files, F.xxhash64("page_id", "record")).select(F.col("record").alias("value"))
-     .write.option("lineSep", BREAK).text(path))
+     .write.option("lineSep", BREAK).option("compression", "gzip").text(path))
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of every record."""
+    """Headers and block of every record of an archive, plain or gzipped."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)

@@ -65,20 +65,23 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes words of, with how many.
+    """What the mix takes of the documents, a row for each document that it takes words of.
 
-    Adds ``size, source_size, target, taken``; columns of these names are replaced. Rows alike in
-    id, text and source share what is taken of them.
+    ``text`` holds the words that are taken, repeats included, piece after piece, a line each.
+    Adds ``size, source_size, target, taken`` and ``mixed``, which says in the same order where
+    each piece goes: ``shard``, ``slot`` and ``place`` in its block, with its first word in the
+    document and its number of words. Columns of these names are replaced.
     """
-    key = _row_key(docs, "doc_id", "text", "source")
-    keyed = docs.select(key.alias("doc_id"), docs["text"], docs["source"])
-    parts = mix_sources(keyed).documents.groupBy(F.col("doc_id").alias("__key")).agg(
-        *[F.max(c).alias(c) for c in ("size", "source_size", "target")],
-        F.floor(F.avg("taken")).alias("taken")).filter("taken > 0")
-    new = ["size", "source_size", "target", "taken"]
-    kept = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in new]
-    return (docs.select(F.struct(*kept).alias("row"), key.alias("__key")).join(parts, "__key")
-            .select("row.*", *new))
+    new = ["size", "source_size", "target", "taken", "mixed"]
+    kept = [c for c in docs.columns if c.lower() not in new]
+    carry = [c for c in kept if c.lower() != "text"]
+    found = mix_sources(docs, carry=carry).documents.filter("taken > 0")
+    text = F.array_join(F.transform("mixed", lambda m: m["text"]), "\n")
+    found = found.withColumn("__text", text)
+    changed = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("bigint")}
+    mixed = F.transform("mixed", lambda m: m.dropFields("text")).alias("mixed")
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"carried.`{c}`")
+                          for c in kept], *new[:-1], mixed)
 
 
 STAGES = [

@@ -82,3 +82,52 @@ def test_empty_tables(docs):
     assert mix_sources(docs.limit(0)).documents.count() == 0
     blank = mix_sources(docs.filter("text IS NULL")).documents.collect()
     assert {(r["size"], r["target"], r["taken"]) for r in blank} == {(0, 0.0, 0)}
+
+
+def test_the_mix_holds_the_words_themselves(spark):
+    """Every block is rebuilt by hand from the texts, rows with equal or no ids among them."""
+    rows = [(i if i % 5 else None if i % 2 else 7, "\t" + " \n".join(
+        f"s{i % 3}d{i}w{j}" for j in range(i * 13 % 140)), f"s{i % 3}", i) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n int")
+    mix = mix_sources(docs, block_words=64, shard_slots=50, carry=["n"])
+    words_of = {n: text.split() for _, text, _, n in rows}
+    by_slot = defaultdict(list)
+    for r in mix.documents.collect():
+        own = words_of[r["carried"]["n"]]
+        assert r["size"] == len(own) and r["taken"] == sum(len(m["text"].split()) for m in r["mixed"])
+        for m in r["mixed"]:
+            cut = own[m["first_word"]:m["first_word"] + m["words"]]
+            assert m["text"].split() == cut and m["words"] > 0 and " \n".join(cut) == m["text"]
+            by_slot[m["shard"], m["slot"]].append((m["place"], cut))
+    blocks, contents = mix.blocks.collect(), {}
+    assert {(r["shard"], r["slot"]) for r in blocks} == set(by_slot)
+    assert len(blocks) == mix.slots.count() == len(by_slot)
+    for r in blocks:
+        parts = sorted(by_slot[r["shard"], r["slot"]])
+        at = 0
+        for place, cut in parts:
+            assert place == at
+            at += len(cut)
+        text = r["text"].split()
+        assert text == [w for _, cut in parts for w in cut] and r["words"] == len(text) <= 64
+        assert all(w.startswith(r["source"] + "d") for w in text)
+        # A block that is used again has the same words.
+        assert contents.setdefault((r["source"], r["block"]), text) == text
+    again = mix_sources(docs.repartition(5), block_words=64, shard_slots=50).blocks.collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, blocks))
+
+
+def test_pipeline_stage_returns_the_words_that_are_taken(spark):
+    import corpus_pipeline
+    rows = [(None, " ".join(f"d{i}w{j}" for j in range(50 + i)), "ab"[i % 2], i) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    got = corpus_pipeline.mix(spark, docs, "").collect()
+    for r in got:
+        words, at = r["text"].split(), 0
+        assert len(words) == r["taken"] > 0 and r["n_chars"] == len(r["text"])
+        for m in r["mixed"]:
+            first = int(words[at].split("w")[1])
+            assert first == m["first_word"] and len({w.split("w")[0] for w in words}) == 1
+            at += m["words"]
+        assert at == r["taken"]
+    assert any(r["taken"] != r["size"] for r in got)

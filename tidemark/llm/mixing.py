@@ -3,7 +3,8 @@
 The words of each source, one document after the other, are cut into blocks of fixed length.
 Every slot of the mix draws a source, so that an output shard holds a multinomial number of
 blocks of each; a source's slots are numbered through all shards, the numbers run through a
-pseudorandom permutation of its block numbers, and blocks are joined by that number.
+pseudorandom permutation of its block numbers, and blocks are joined by that number. The words
+themselves are cut out of their documents and dealt to the slots.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.staging import Scratch, picked
 
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = " \t\n\v\f\r"
+#: A word with the white space after it, so that lines outlive the cutting.
+UNIT = rf"({WORD}[\x20\x09-\x0D]*)"
 #: Documents that are put in order together, and how many such buckets make up the next level.
 BUCKET_DOCS, BUCKET_FAN = 200, 256
 #: Cells of the grid on which a drawn number meets the interval of its source.
@@ -24,11 +28,13 @@ ROUNDS = 24
 
 
 class Mix(NamedTuple):
-    """``documents``: the rows with size, source_size, target and taken; ``slots``: the mix,
-    a block for each slot of each shard; ``pieces``: the words of documents that make a block."""
+    """``documents``: the rows with size, source_size, target, taken and what is taken (``mixed``);
+    ``slots``: a block for each slot of each shard; ``pieces``: the words of documents that make a
+    block, ``row`` telling rows apart; ``blocks``: the mix itself, a text for each slot."""
     documents: DataFrame
     slots: DataFrame
     pieces: DataFrame
+    blocks: DataFrame
 
 
 def n_words(text: Column) -> Column:
@@ -97,12 +103,16 @@ def _grid(intervals: DataFrame, step: int, *columns: str) -> DataFrame:
 
 def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), percent: int = 150,
                 cap: int = 2, block_words: int = 128, shard_slots: int = 1024,
-                seed: int = 7) -> Mix:
+                seed: int = 7, carry: Sequence[str] = ()) -> Mix:
     """Mixes ``docs(doc_id, text, source)`` by source; other columns are ignored.
 
     A document's size is its number of words (``[^\\x20\\x09-\\x0D]+``), 0 for NULL. ``documents``
-    has a row for every row: ``doc_id, size, source_size, target, taken``, the last being the
-    words that the mix takes of it, repeats counted. A source's number of slots is its target in
+    has a row for every row: ``doc_id, size, source_size, target, taken, mixed``. ``mixed`` lists
+    what the mix takes of the row, repeats included: ``shard`` and ``slot`` where it goes,
+    ``place``, the number of words before it in the slot's block, ``first_word`` in the document,
+    ``words`` and their ``text``; ``taken`` is the sum of its words. With ``carry`` the row has also
+    those columns as the struct ``carried``. ``blocks`` has the same by slot: ``shard, slot, source,
+    block, words, text``, the pieces of a block in order of place, a line each. A source's number of slots is its target in
     blocks, rounded; draws above it go to the sources that were drawn too seldom. A block is used
     ``cap`` times at most, so no document gives more than ``cap`` times its size. NULL is a source
     of its own; rows of one id each count; empty texts take no part. The same rows give the same
@@ -110,8 +120,13 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), percent: in
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    sized = scratch.write(picked(docs, "doc_id", "text", "source").select(
-        "doc_id", "source", n_words(F.col("text")).alias("size")), "sized")
+    carried = [F.struct(*[docs[f"`{c}`"] for c in carry]).alias("carried")] if carry else []
+    # The number of a row holds as long as it is read from the written table.
+    texts = scratch.write(docs.select(
+        F.monotonically_increasing_id().alias("row"), docs["doc_id"], docs["source"],
+        n_words(docs["text"]).alias("size"), docs["text"], *carried), "texts")
+    sized = scratch.write(texts.select("row", "doc_id", "source", "size", F.xxhash64("text")
+                                       .alias("print")), "sized")
     n_docs = sized.count()
     buckets = max(1, -(-n_docs // BUCKET_DOCS))
     sources = source_targets(sized, weights, percent, cap)
@@ -123,11 +138,12 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), percent: in
 
     known = sources.withColumnRenamed("source", "name")
     rows = (sized.join(known, F.col("source").eqNullSafe(F.col("name")))
-            .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(buckets)))
-            .select("doc_id", "sid", "bucket", "size", "source_size", "target"))
-    inner = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size")
-    rows = rows.withColumns({"place": F.row_number().over(inner), "inner": _before("size", inner)})
-    rows = scratch.write(rows, "rows")
+            .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size", "print"),
+                                         F.lit(buckets)))
+            .select("row", "doc_id", "sid", "bucket", "size", "print", "source_size", "target"))
+    # Rows alike in all that is ordered by can change places and the mix stays the same.
+    inner = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size", "print", "row")
+    rows = scratch.write(rows.withColumn("inner", _before("size", inner)), "rows")
     per_bucket = (rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
                   .withColumn("tier", F.floor(F.col("bucket") / BUCKET_FAN)))
     per_tier = per_bucket.groupBy("sid", "tier").agg(F.sum("words").alias("words"))
@@ -142,22 +158,42 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), percent: in
               .withColumn("at", F.col("bucket_at") + F.col("inner")))
     first, last = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1)
                                                               / block_words)
-    pieces = placed.select("sid", "bucket", "place", "doc_id", "size", "source_size", "target", "at",
-                           F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last)))
-                           .alias("block"))
+    pieces = placed.filter("size > 0").select(
+        "row", "sid", "doc_id", "size", "at", F.explode(F.sequence(first, last)).alias("block"))
     begins = F.greatest(F.col("at"), F.col("block") * block_words)
     ends = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
-    pieces = pieces.withColumns({"first_word": begins - F.col("at"), "words": ends - begins})
-
-    slots = _slots(spark, scratch, sources, shard_slots, seed)
-    takes = slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-    documents = (pieces.join(scratch.write(takes, "takes"), ["sid", "block"], "left")
-                 .groupBy("sid", "bucket", "place", "doc_id", "size", "source_size", "target")
-                 .agg(F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).cast("bigint")
-                      .alias("taken"))
-                 .select("doc_id", "size", "source_size", "target", "taken"))
-    return Mix(documents, slots, pieces.filter("block IS NOT NULL")
-               .select("sid", "block", "doc_id", "first_word", "words"))
+    pieces = pieces.select("row", "sid", "block", "doc_id",
+                           (begins - F.col("block") * block_words).alias("place"),
+                           (begins - F.col("at")).alias("first_word"), (ends - begins).alias("words"))
+
+    slots = scratch.write(_slots(spark, scratch, sources, shard_slots, seed), "slots")
+    takes = pieces.join(slots, ["sid", "block"]).groupBy("row").agg(F.array_sort(F.collect_list(
+        F.struct("shard", "slot", "place", "first_word", "words"))).alias("takes"))
+    takes = scratch.write(takes, "takes")
+    per_row = rows.select("row", "source_size", "target").join(takes, "row", "left")
+    # The words of a text are bound to a variable, so that they are found once, not for each piece.
+    cut = F.transform(
+        F.array(F.regexp_extract_all("text", F.lit(UNIT), F.lit(1))), lambda w: F.transform(
+            F.col("takes"), lambda t: F.struct(
+                *[t[c].alias(c) for c in ("shard", "slot", "place", "first_word", "words")],
+                F.rtrim(F.array_join(F.slice(w, (t["first_word"] + 1).cast("int"),
+                                             t["words"].cast("int")), ""), F.lit(SPACE))
+                .alias("text"))))
+    none = F.array().cast("array<struct<shard:bigint,slot:bigint,place:bigint,first_word:bigint,"
+                          "words:bigint,text:string>>")
+    dealt = texts.join(per_row, "row").select(
+        "row", "doc_id", "source", "size", "source_size", "target", *(["carried"] if carry else []),
+        F.coalesce(F.when(F.col("takes").isNotNull(), cut[0]), none).alias("mixed"))
+    taken = F.aggregate("mixed", F.lit(0).cast("bigint"), lambda n, m: n + m["words"])
+    documents = dealt.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "mixed",
+                             *(["carried"] if carry else []))
+    parts = dealt.select("source", F.explode("mixed").alias("m")).groupBy("m.shard", "m.slot").agg(
+        F.first("source").alias("source"), F.sum("m.words").alias("words"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("m.place", "m.text"))),
+                                 lambda m: m["text"]), "\n").alias("text"))
+    blocks = slots.select("shard", "slot", "block").join(parts, ["shard", "slot"]).select(
+        "shard", "slot", "source", "block", "words", "text")
+    return Mix(documents, slots, pieces, blocks)
 
 
 def _slots(spark, scratch: Scratch, sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:

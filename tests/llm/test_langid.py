@@ -1,10 +1,12 @@
 """Held-out accuracy and edge cases of language identification."""
 
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
 
+from tidemark.llm import langid
 from tidemark.llm.langid import Model, features, fit_machine, identify, predict, train
 from tidemark.llm.queries import QUERIES
 
@@ -63,3 +65,21 @@ def test_machine_separates_and_features_are_unit_vectors():
     assert np.allclose(np.linalg.norm(x[:4], axis=1), 1) and not x[4].any()
     w, bias, slope = fit_machine(x[:4], np.array([1., 1, -1, -1]))
     assert ((x[:2] @ w + bias) > 0).all() and ((x[2:4] @ w + bias) < 0).all() and slope > 0
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """70 languages in ten families, one more for each ten rarer than those before."""
+    langs = [f"l{i:02d}" for i in range(70)]
+    monkeypatch.setattr(langid, "_FAMILY_OF", {c: f"family{i % 10}" for i, c in enumerate(langs)})
+    rng = np.random.default_rng(3)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(4)]
+             for _ in langs]
+    rows = [(100 * i + k, " ".join(rng.permutation(words[i] * 3)), lang)
+            for i, lang in enumerate(langs) for k in range(10 - i // 10)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = train(docs)
+    assert sorted(x for members in model.families.values() for x in members) == langs
+    assert sorted(m[:2] for m in model.between) == sorted(combinations(sorted(model.families), 2))
+    assert sum(map(len, model.within.values())) == 10 * 21
+    got = predict(docs.filter("lang >= 'l60'").repartition(1), model, ("lang",)).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in got) and len(got) == 40

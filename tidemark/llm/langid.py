@@ -21,6 +21,8 @@ from tidemark.llm.staging import picked
 UNKNOWN = "und"
 FEATURES = 4096
 BLOCK = 1 << 20
+#: Machines are fitted together between so many sides and so many others.
+GROUP_SIDES = 6
 # Which languages are closely related. A language not listed is its own family.
 FAMILIES = {
     "germanic": "af da de en fy is lb nb nl nn no sv yi",
@@ -127,55 +129,70 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit_group(rows: pd.DataFrame) -> pd.DataFrame:
-    x = np.stack([np.frombuffer(v, np.float32) for v in rows["vector"]])
-    y = np.where(rows["side"].to_numpy() == rows["first"].to_numpy(), 1.0, -1.0)
-    w, bias, slope = fit_machine(x, y)
-    return pd.DataFrame({"level": rows["level"][:1], "first": rows["first"][:1],
-                         "second": rows["second"][:1], "weights": [w.tobytes()], "bias": [bias],
-                         "slope": [slope]})
-
-
-def train(docs: DataFrame, per_language: int = 400, max_languages: int = 60) -> Model:
+    """The machines between each two sides of a group that aren't of the same part of it."""
+    out = []
+    part_of = dict(zip(rows["side"], rows["part"]))
+    for first, second in combinations(sorted(part_of), 2):
+        if part_of[first] == part_of[second]:
+            continue
+        mine = rows[rows["side"].isin((first, second))]
+        x = np.stack([np.frombuffer(v, np.float32) for v in mine["vector"]])
+        w, bias, slope = fit_machine(x, np.where(mine["side"].to_numpy() == first, 1.0, -1.0))
+        out.append((rows["level"].iloc[0], first, second, w.tobytes(), bias, slope))
+    return pd.DataFrame(out, columns=["level", "first", "second", "weights", "bias", "slope"])
+
+
+def _groups(sides: Sequence[str]) -> Iterator[list[tuple[str, int]]]:
+    """Groups of sides with their part, so that each two sides meet once in different parts."""
+    halves = [sides[i:i + GROUP_SIDES] for i in range(0, len(sides), GROUP_SIDES)]
+    for i, one in enumerate(halves):
+        if len(one) > 1:
+            yield list(zip(one, range(len(one))))
+        for other in halves[i + 1:]:
+            yield [(side, 0) for side in one] + [(side, 1) for side in other]
+
+
+def train(docs: DataFrame, per_language: int = 400) -> Model:
     """Fits on ``docs(doc_id, text, lang)``; rows without a language or a letter teach nothing.
 
-    The sample is bounded: of each of the ``max_languages`` most frequent languages the
+    Every language that has such rows is learned. The sample is bounded: of each language the
     ``per_language`` documents first in the order of a hash of their id, each with its whole
     text. Only counts per language and the fitted weights reach the driver.
     """
     spark = docs.sparkSession
     labelled = picked(docs, "doc_id", "text", "lang").filter(
-        "lang IS NOT NULL AND text IS NOT NULL")
+        "lang IS NOT NULL AND text IS NOT NULL").filter(F.col("text").rlike(r"\p{L}"))
     counts = (labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(max_languages).collect())
+              .collect())
     langs = sorted(r["lang"] for r in counts)
     families: dict[str, list[str]] = {}
     for lang in langs:
         families.setdefault(family(lang), []).append(lang)
-    tasks = [("family", a, b) for a, b in combinations(sorted(families), 2)]
-    tasks += [("language", a, b) for members in families.values()
-              for a, b in combinations(members, 2)]
-    if not tasks:
+    levels = [("family", sorted(families))]
+    levels += [("language", members) for members in families.values()]
+    uses = []
+    for level, sides in levels:
+        for number, group in enumerate(_groups(sides)):
+            for side, part in group:
+                members = families[side] if level == "family" else [side]
+                uses += [(lang, level, f"{sides[0]} {number}", side, part,
+                          max(1, per_language // len(members))) for lang in members]
+    if not uses:
         return Model(families, [], {})
     # Rows far down the order are dropped before they are sorted; twice the share leaves enough.
     order = F.xxhash64(F.lit(11), F.col("doc_id"), F.col("text"))
-    share = F.create_map(*[F.lit(x) for r in counts for x in
-                           (r["lang"], min(1.0, (2.0 * per_language + 200) / r["n"]))])
-    likely = labelled.filter(F.col("lang").isin(langs)).withColumn("turn", order).filter(
-        F.pmod("turn", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    shares = spark.createDataFrame(
+        [(r["lang"], min(1.0, (2.0 * per_language + 200) / r["n"])) for r in counts],
+        "lang string, share double")
+    likely = labelled.join(shares, "lang").withColumn("turn", order).filter(
+        F.pmod("turn", F.lit(1 << 20)) < F.col("share") * (1 << 20))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("turn"))
     sample = (likely.withColumn("place", place).filter(F.col("place") <= per_language)
               .select("lang", F.col("place").cast("int").alias("place"), "text"))
     vectors = sample.mapInArrow(_featurise, "lang string, place int, vector binary")
-    uses = []
-    for level, a, b in tasks:
-        for side in (a, b):
-            members = families[side] if level == "family" else [side]
-            uses += [(lang, level, a, b, side, max(1, per_language // len(members)))
-                     for lang in members]
-    uses = spark.createDataFrame(uses, "lang string, level string, first string, second string, "
-                                       "side string, upto int")
-    fitted = (vectors.join(uses, "lang").filter("place <= upto")
-              .groupBy("level", "first", "second")
+    uses = spark.createDataFrame(uses, "lang string, level string, group string, side string, "
+                                       "part int, upto int")
+    fitted = (vectors.join(uses, "lang").filter("place <= upto").groupBy("level", "group")
               .applyInPandas(_fit_group, "level string, first string, second string, "
                                          "weights binary, bias double, slope double").collect())
     machines = [(r["level"], Machine(r["first"], r["second"],

@@ -77,3 +77,17 @@ def test_contexts_reveal_unseen_identifiers(badges):
     assert (51, "", 0) in got and (52, "", 0) in got and (None, "email:11:17", 0) in got
     assert len(got) == badges.count()
     assert find_personal_data(badges.limit(0)).count() == 0
+
+
+def test_contexts_with_many_unseen_identifiers(spark):
+    """A third of what stands in a context is unseen; common words and failed numbers find nothing."""
+    fill = ["red", "green", "blue", "old", "new", "far", "near", "big", "small", "odd"]
+    rows = [(i, f"{fill[i % 10]} {fill[i // 3 % 10]}x{fill[i // 5 % 10]} badge "
+                + (f"EMP-{7000 + i}-QX" if i % 3 == 0 else f"u{i}@mail.example.com")
+                + f" {fill[i // 2 % 10]}y") for i in range(60)]
+    rows += [(100 + i, f"{fill[i]} the {fill[i]}@mail.example.com and the {fill[i - 1]} goes")
+             for i in range(10)]
+    rows += [(200, "seen on the 2024-05-01 again"), (201, "red badge 4111111111111112 here")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["n_found"] for r in find_personal_data(docs).collect()}
+    assert {d for d, n in got.items() if n} == {i for i in range(60) if i % 3 == 0}

@@ -2,13 +2,16 @@
 
 The spans that the fixed patterns find are seed entities. The words around them are lexical
 patterns; patterns and the identifier-like tokens that they surround make a graph on which Spark
-scores both sides in turn. Tokens that only patterns of high confidence surround are new spans.
+scores both sides in turn. What no pattern is judged by yet is left out; ordinary words in the same place,
+and numbers that look like a kind but fail its test, count against a pattern. Tokens that patterns
+of high confidence surround are new spans.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +36,8 @@ TRIM = " \t\n\"'()[]{}<>,.;:!?="
 LEAST_LENGTH = 6
 WORD_BEFORE = re.compile(r"(\S+)\s+(\S+)\s+$")
 REACH = 80
+TOKEN = re.compile(r"\S+")
+LINE_START = "^ _"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -90,19 +95,61 @@ def _label(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _context(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span: two words before it, and a word on either side."""
+    """Lexical patterns around a span: a word or two before it, a word after it, a word on either
+    side, and the start of a line with the word after it."""
     before = text[max(0, start - REACH):start].lower().split()
     after = text[end:end + REACH].lower().split()
     before = [w.strip(TRIM) or w for w in before]
     after = [w.strip(TRIM) or w for w in after]
+    starts = not text[text.rfind("\n", 0, start) + 1:start].strip(TRIM)
+    return _patterns(before[-2:], after[:1], starts)
+
+
+def _patterns(before: list[str], after: list[str], starts: bool) -> list[str]:
     patterns = []
-    if len(before) > 1:
-        patterns.append(f"{before[-2]} {before[-1]} _")
-    if before and after:
-        patterns.append(f"{before[-1]} _ {after[0]}")
+    if before:
+        patterns.append(f"{before[-1]} _")
+        if len(before) > 1:
+            patterns.append(f"{before[-2]} {before[-1]} _")
+        if after:
+            patterns.append(f"{before[-1]} _ {after[0]}")
+    if after:
+        patterns.append(f"_ {after[0]}")
+    if starts:
+        patterns.append(f"{LINE_START} {after[0]}" if after else LINE_START)
     return patterns
 
 
+def refuted(token: str) -> bool:
+    """Whether a token has the form of a card or an address and fails its test."""
+    ip = IP.fullmatch(token)
+    if ip:
+        return not all(map(_small, ip.groups()))
+    digits = token.replace("-", "")
+    return digits.isascii() and digits.isdigit() and 12 <= len(digits) <= 19 and not luhn(digits)
+
+
+def _ordinary(wanted: frozenset[str]):
+    """Counts how often ordinary tokens stand in the ``wanted`` patterns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in batch.column(0):
+                text = text.as_py() or ""
+                found = list(TOKEN.finditer(text))
+                words = [(w := m.group().lower()).strip(TRIM) or w for m in found]
+                for i, word in enumerate(words):
+                    if "@" in word or len(word) >= LEAST_LENGTH and DIGIT.search(word):
+                        continue
+                    starts = i == 0 or "\n" in text[found[i - 1].end():found[i].start()]
+                    counts.update(wanted.intersection(
+                        _patterns(words[max(0, i - 2):i], words[i + 1:i + 2], starts)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                names=["pattern", "ordinary"])
+    return run
+
+
 def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
     """Base spans, and identifier-like tokens that touch none of them: ``(start, end, seed)``."""
     out = [(s, e, True) for s, _, e in spans]
@@ -126,9 +173,9 @@ def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, in
 
 SCANNED = ("doc_id bigint, row bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
            "base_sha256 string, spans string, mentions array<struct<start:bigint,stop:bigint,"
-           "seed:boolean,instance:binary,patterns:array<string>>>")
+           "seed:boolean,refuted:boolean,instance:binary,patterns:array<string>>>")
 _MENTION = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("seed", pa.bool_()),
-                      ("instance", pa.binary()), ("patterns", pa.list_(pa.string()))])
+                      ("refuted", pa.bool_()), ("instance", pa.binary()), ("patterns", pa.list_(pa.string()))])
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,6 +190,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes.append(hashlib.sha256(labels[-1].encode()).hexdigest())
             found.append([
                 {"start": s, "stop": e, "seed": seed,
+                 "refuted": not seed and refuted(text[s:e]),
                  "instance": hashlib.md5(text[s:e].lower().encode()).digest(),
                  "patterns": _context(text, s, e)} for s, e, seed in mentions(text, spans)])
         yield pa.RecordBatch.from_arrays(
@@ -152,26 +200,30 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "row", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "mentions"])
 
 
-def score_graph(edges: DataFrame, scratch: Scratch, rounds: int, least: float,
+def score_graph(edges: DataFrame, ordinary: DataFrame, scratch: Scratch, rounds: int, least: float,
                 support: int) -> DataFrame:
     """Instances that are not seeds and are reached by patterns of high confidence.
 
-    ``edges(pattern, instance, seed)`` are distinct. A pattern's confidence is the mean score of
-    its distinct instances, seeds having score 1, if it has ``support`` scored ones; an
-    instance's score is the chance that not all of its confident patterns err. Both sides are
-    folded by key, so a pattern seen everywhere costs one row per task.
+    ``edges(pattern, instance, seed, refuted)`` are distinct; ``ordinary(pattern, ordinary)`` counts
+    ordinary tokens. A pattern's confidence is the mean over what is known of its places, if it
+    has ``support`` scored instances: seeds have score 1, found instances their own, refuted ones
+    and ordinary tokens 0. Instances that nothing is known of take no part. An instance's score is
+    the chance that not all of its confident patterns err. Both sides are folded by key, so a
+    pattern seen everywhere costs one row per task.
     """
     scores = scratch.write(edges.filter("seed").select("instance", F.lit(1.0).alias("score"))
                            .distinct(), "scores")
     for turn in range(rounds):
         confident = (edges.join(scores, "instance", "left").groupBy("pattern")
-                     .agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("confidence"),
-                          F.count("score").alias("scored"))
-                     .filter((F.col("confidence") >= least) & (F.col("scored") >= support))
-                     .select("pattern", "confidence"))
+                     .agg(F.sum("score").alias("good"), F.count("score").alias("scored"),
+                          F.count_if("refuted").alias("bad"))
+                     .filter(F.col("scored") >= support).join(ordinary, "pattern", "left")
+                     .withColumn("confidence", F.col("good") / (
+                         F.col("scored") + F.col("bad") + F.coalesce("ordinary", F.lit(0))))
+                     .filter(F.col("confidence") >= least).select("pattern", "confidence"))
         confident = scratch.write(confident, f"patterns-{turn}")
         doubt = F.sum(F.log(F.lit(1.0001) - F.col("confidence")))
-        new = (edges.filter("NOT seed").join(confident, "pattern").groupBy("instance")
+        new = (edges.filter("NOT seed AND NOT refuted").join(confident, "pattern").groupBy("instance")
                .agg((1 - F.exp(doubt)).alias("score")).filter(F.col("score") >= least))
         seeds = scores.filter("score = 1.0")
         scores = scratch.write(seeds.unionByName(new.join(seeds, "instance", "left_anti")),
@@ -188,7 +240,9 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, least: float = 0.9,
     and, as kind ``id``, those that contexts revealed; ``base_sha256`` is the hash of the former.
     A NULL text is an empty one. Rows of one id are searched each by itself. No rows give no rows.
 
-    Documents are read once; what is joined are spans, patterns and hashes of tokens.
+    Documents are read once for spans and once to count ordinary tokens in the patterns that
+    ``support`` identifiers share; what is joined are spans, patterns and hashes of tokens. The
+    texts of those patterns reach the driver, at most as many as there are identifiers.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "pii")
@@ -197,11 +251,21 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, least: float = 0.9,
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
     scanned = scratch.write(rows.mapInArrow(_scan, SCANNED), "scanned")
     said = scanned.select("doc_id", "row", F.explode("mentions").alias("m")).select(
-        "doc_id", "row", "m.start", "m.stop", "m.seed", "m.instance", "m.patterns")
-    edges = (said.select(F.explode("patterns").alias("pattern"), "instance", "seed")
-             .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
+        "doc_id", "row", "m.start", "m.stop", "m.seed", "m.refuted", "m.instance", "m.patterns")
+    edges = (said.select(F.explode("patterns").alias("pattern"), "instance", "seed", "refuted")
+             .groupBy("pattern", "instance")
+             .agg(F.max("seed").alias("seed"), F.min("refuted").alias("refuted")))
     edges = scratch.write(edges, "edges")
-    new = score_graph(edges, scratch, rounds, least, support).select("instance")
+    shared = (edges.filter("NOT refuted").groupBy("pattern")
+              .agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("seed")).alias("unseen"))
+              .filter((F.col("n") >= support) & (F.col("unseen") > 0)).select("pattern"))
+    wanted = frozenset(r["pattern"] for r in shared.toLocalIterator())
+    ordinary = spark.createDataFrame([], "pattern string, ordinary bigint")
+    if wanted:
+        ordinary = picked(docs, "text").mapInArrow(_ordinary(wanted), ordinary.schema)
+    ordinary = scratch.write(ordinary.groupBy("pattern").agg(F.sum("ordinary").alias("ordinary")),
+                             "ordinary")
+    new = score_graph(edges, ordinary, scratch, rounds, least, support).select("instance")
     spans = (said.filter("NOT seed").join(new, "instance", "left_semi").distinct()
              .groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "stop")).alias("more")))
     spans = scratch.write(spans, "found")

@@ -69,3 +69,20 @@ def test_parts_of_an_item():
     assert dc.split_item("Q one\nA two") == ("Q one", "A two")
     assert dc.split_item("Is it so? Yes it is.")[1] == "Yes it is."
     assert dc.split_item("a b c d") == ("a b", "c d") and dc.split_item("") == ("", "")
+
+
+def test_parts_far_apart_and_edited(spark):
+    """Most of the question on one page and most of the answer far away, rare words altered."""
+    q, a = [f"q{i}" for i in range(30)], [f"a{i}" for i in range(30)]
+    far = NOISE * 40
+    rows = [(1, " ".join(q[:25]) + far + " ".join(a[5:])), (2, " ".join(q) + far),
+            (3, " ".join(q[:14]) + far + " ".join(q[10:26]) + far + " ".join(a[:26])),
+            (4, " ".join(q[:20]) + far + " ".join(a))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # All words of the second half are rare, those of the first are in all items.
+    items = [(9, " ".join(q) + "\n" + " ".join(a))] + [
+        (20 + i, " ".join(q[:25]) + f" z{i}\n" + " ".join(a[5:]) + f" y{i} x{i} w{i}") for i in range(30)]
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    got = dc.contaminated(docs, items).filter("item_id = 9").collect()
+    shares = {r["doc_id"]: (round(r["question_overlap"] * 26), round(r["answer_overlap"] * 26)) for r in got}
+    assert shares == {1: (20, 21), 3: (20, 22)}

@@ -1,10 +1,11 @@
 """Benchmark decontamination by a BM25 index of the test items.
 
-Every passage of every document is a query against an inverted index of the items. Postings are
-kept in blocks of items with the largest impact of each term in a block; a passage looks into a
-block only if the sum of its terms' block maxima reaches the threshold, and what reaches it is
-retrieved, all of it. A retrieved item counts if both its question and its answer are found in
-the document.
+Every document is a query against an inverted index whose entries are the questions and the answers
+of the items. Postings are kept in blocks of entries with the largest impact of each term in a
+block; a document looks into a block only if the sum of its terms' block maxima reaches the
+threshold, and what reaches it is retrieved, all of it. The threshold of an entry is the least
+score that a document can have which holds enough of its word runs, wherever they stand. An item
+counts if both its question and its answer are retrieved and verified.
 """
 
 from __future__ import annotations
@@ -61,21 +62,24 @@ class Index(NamedTuple):
     block_top: np.ndarray
     block_from: np.ndarray
     ids: list
-    questions: list
-    answers: list
+    grams: list
+    need: np.ndarray
     step: int
 
 
 def build_index(rows: Sequence[tuple], df: dict[int, int], n_items: int, mean_words: float,
-                step: int) -> Index | None:
-    """An index of ``rows(item_id, text)``; ``df``, ``n_items`` and ``mean_words`` are those of all
-    items. Impacts are BM25 terms divided by the item's score against itself, so a passage that
-    holds all words of an item scores 1."""
+                step: int, overlap: float | None = None) -> Index | None:
+    """An index of ``rows(id, text)``; ``df``, ``n_items`` and ``mean_words`` are those of all
+    items. Impacts are BM25 terms divided by the entry's score against itself, so a text that
+    holds all its words scores 1. With ``overlap`` they are divided by the score that any text has
+    which holds this share of the entry's word runs (``need``), so that 1 is the threshold."""
     words = list(word_hashes([plain(t) for _, t in rows]))
     terms = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
     if len(terms) == 0:
         return None
     idf = np.array([np.log(1 + (n_items - df[int(t)] + 0.5) / (df[int(t)] + 0.5)) for t in terms])
+    grams = [_grams(w) for w in words]
+    need = np.ones(len(rows))
     term_no, item_no, impact = [], [], []
     for i, w in enumerate(words):
         found, tf = np.unique(np.searchsorted(terms, w), return_counts=True)
@@ -83,6 +87,9 @@ def build_index(rows: Sequence[tuple], df: dict[int, int], n_items: int, mean_wo
         term_no.append(found)
         item_no.append(np.full(len(found), i))
         impact.append(value / max(value.sum(), 1e-12))
+        if overlap is not None and len(w):
+            need[i] = _least(w, grams[i][1], dict(zip(terms[found].tolist(), impact[-1])), overlap)
+            impact[-1] = impact[-1] / need[i]
     term_no, item_no, impact = map(np.concatenate, (term_no, item_no, impact))
     order = np.lexsort((item_no, term_no))
     term_no, item_no, impact = term_no[order], item_no[order], impact[order]
@@ -91,11 +98,25 @@ def build_index(rows: Sequence[tuple], df: dict[int, int], n_items: int, mean_wo
     key = term_no * (len(rows) // BLOCK_ITEMS + 1) + item_no // BLOCK_ITEMS
     block_from = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     block_at = np.searchsorted(term_no[block_from], np.arange(len(terms) + 1))
-    parts = [split_item(t or "") for _, t in rows]
-    grams = [[_grams(w) for w in word_hashes([plain(p[side]) for p in parts])] for side in (0, 1)]
     return Index(terms, top, post_at, item_no, impact, block_at, item_no[block_from] // BLOCK_ITEMS,
                  np.maximum.reduceat(impact, block_from), np.append(block_from, len(impact)),
-                 [r[0] for r in rows], grams[0], grams[1], step)
+                 [r[0] for r in rows], grams, need, step)
+
+
+def _least(words: np.ndarray, width: int, weight: dict[int, float], overlap: float) -> float:
+    """The least score of a text that holds ``overlap`` of the distinct runs of ``words``.
+
+    A word is missing only if all runs with it are, so its weight is dealt evenly to them; what
+    the missing runs can take is at most the sum of the heaviest.
+    """
+    runs = {tuple(words[i:i + width].tolist()) for i in range(len(words) - width + 1)}
+    inside: dict[int, int] = {}
+    for run in runs:
+        for t in set(run):
+            inside[t] = inside.get(t, 0) + 1
+    value = sorted((sum(weight[t] / inside[t] for t in set(run)) for run in runs), reverse=True)
+    missing = int((1 - overlap) * len(runs) + 1e-9)
+    return max(1e-6, 1 - sum(value[:missing]) - 1e-9)
 
 
 def _grams(words: np.ndarray) -> tuple[np.ndarray, int]:
@@ -156,13 +177,16 @@ def _passages(words: list[np.ndarray], index: Index):
     return key // len(index.terms), key % len(index.terms), np.concatenate(owner), n
 
 
-def _share(grams: tuple[np.ndarray, int], words: np.ndarray) -> float:
+def _share(grams: tuple[np.ndarray, int], words: np.ndarray, held: dict[int, np.ndarray]) -> float:
+    """The share of an entry's runs in ``words``; ``held`` keeps the runs of these by width."""
     wanted, width = grams
     if len(wanted) == 0:
         return 1.0
     if len(words) < width:
         return 0.0
-    return float(np.isin(wanted, shingle_set(words, width)).mean())
+    if width not in held:
+        held[width] = shingle_set(words, width)
+    return float(np.isin(wanted, held[width]).mean())
 
 
 def _search(index: Index, least: float, overlap: float):
@@ -171,18 +195,30 @@ def _search(index: Index, least: float, overlap: float):
                         ("answer_overlap", pa.float64())])
 
     def look(ids: list, words: list[np.ndarray]) -> list[tuple]:
-        passage, term, owner, n = _passages(words, index)
-        hit, item, score = retrieve(index, passage, term, n, least)
-        best: dict[tuple[int, int], list] = {}
-        for d, i, s in zip(owner[hit].tolist(), item.tolist(), score.tolist()):
-            entry = best.setdefault((d, i), [0, 0.0])
-            entry[0] += 1
-            entry[1] = max(entry[1], s)
-        out = []
-        for (d, i), (count, s) in best.items():
-            q, a = _share(index.questions[i], words[d]), _share(index.answers[i], words[d])
+        doc, term = [], []
+        for d, w in enumerate(words):
+            at = np.unique(np.searchsorted(index.terms, w))
+            at = at[at < len(index.terms)]
+            at = at[np.isin(index.terms[at], w)]
+            doc.append(np.full(len(at), d))
+            term.append(at)
+        hit, entry, _ = retrieve(index, np.concatenate(doc), np.concatenate(term), len(words), 1.0)
+        # The entries of an item are neighbours, first the question, then the answer.
+        both = np.unique(hit * len(index.ids) + entry // 2 * 2, return_counts=True)
+        out, held, last = [], {}, -1
+        for key in both[0][both[1] == 2].tolist():
+            d, e = divmod(key, len(index.ids))
+            if d != last:
+                held, last, scores = {}, d, None
+            q, a = (_share(index.grams[x], words[d], held) for x in (e, e + 1))
             if q >= overlap and a >= overlap:
-                out.append((ids[d], index.ids[i], count, s, q, a))
+                if scores is None:
+                    passage, term, _, n = _passages([words[d]], index)
+                    scores = retrieve(index, passage, term, n, 1e-3)
+                mine = (scores[1] == e) | (scores[1] == e + 1)
+                score = scores[2][mine] * index.need[scores[1][mine]]
+                count = len(np.unique(scores[0][mine][score >= least - 1e-9]))
+                out.append((ids[d], index.ids[e], count, float(score.max(initial=0.0)), q, a))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,15 +243,15 @@ def _search(index: Index, least: float, overlap: float):
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         item, term, size = [], [], []
-        for i, words in zip(batch.column(0).to_pylist(),
-                            word_hashes([plain(t) for t in batch.column(1).to_pylist()])):
+        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = np.concatenate(list(word_hashes([plain(part) for part in split_item(text)])))
             found = np.unique(words)
             item += [i] * len(found)
             term.append(found.view(np.int64))
             size += [len(words)] * len(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array(item, pa.int64()), pa.array(np.concatenate(term) if term else [], pa.int64()),
-             pa.array(size, pa.int64())], names=["item_id", "term", "words"])
+             pa.array(size, pa.int64())], names=["item", "term", "words"])
 
 
 FOUND = ("doc_id bigint, item_id bigint, n_passages bigint, score double, "
@@ -228,12 +264,13 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = 0.5,
 
     ``docs`` needs ``doc_id, text``, ``items`` needs ``item_id, text`` (integer ids); other
     columns are ignored. Words are runs of characters other than white space and ASCII
-    punctuation, in lower case. Passages are twice as long as the longest item and overlap by
-    half, so that each copy of an item lies in one of them. ``score`` is the best BM25 score of
-    a passage, 1 if all words of the item are in it; passages from ``least_score`` on are
-    retrieved. The overlaps are the shares of the distinct 5-word runs of the item's question
-    and answer that the document holds; both must reach ``overlap``. NULL and empty texts,
-    documents' or items', match nothing. Rows of one id each count. No rows give no rows.
+    punctuation, in lower case. The overlaps are the shares of the distinct 5-word runs of the
+    item's question and answer that the document holds, together or far apart; both must reach
+    ``overlap``, and each pair of which both do is found. NULL and empty
+    texts, documents' or items', match nothing.
+    ``score`` only informs: the best BM25 score of a passage against the question or the answer,
+    1 if all its words are in it; ``n_passages`` of them reach ``least_score``. Passages are twice
+    as long as the longest item and overlap by half. Rows of one id each count. No rows give no rows.
 
     Documents aren't shuffled. Items are indexed in shards of ``SHARD_WORDS`` words at most
     (an item by itself may be longer), each one sent to the tasks; term statistics are those of
@@ -241,26 +278,29 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = 0.5,
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    items = picked(items, "item_id", "text").filter("text IS NOT NULL")
-    terms = scratch.write(items.mapInArrow(_terms, "item_id bigint, term bigint, words bigint"),
+    items = picked(items, "item_id", "text").filter("text IS NOT NULL").select(
+        F.col("item_id").alias("item"), "item_id", "text")
+    terms = scratch.write(items.select("item", "text").mapInArrow(
+        _terms, "item bigint, term bigint, words bigint"),
                           "terms")
-    per_item = scratch.write(terms.groupBy("item_id").agg(F.max("words").alias("words")), "sizes")
+    per_item = scratch.write(terms.groupBy("item").agg(F.max("words").alias("words")), "sizes")
     n_items, total, longest = per_item.agg(F.count(F.lit(1)), F.sum("words"), F.max("words")).first()
     found = spark.createDataFrame([], FOUND)
     if not n_items:
         return found
     shards = -(-2 * total // SHARD_WORDS) if total > SHARD_WORDS else 1
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
-    counted = terms.groupBy("term").agg(F.countDistinct("item_id").alias("df"))
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
+    counted = terms.groupBy("term").agg(F.countDistinct("item").alias("df"))
     counted = scratch.write(counted, "counted")
     for shard in range(shards):
         own = dealt.filter(F.col("shard") == shard)
         rows = [tuple(r) for r in own.select("item_id", "text").collect()]
-        in_shard = terms.join(own.select("item_id").distinct(), "item_id", "left_semi")
+        in_shard = terms.join(own.select("item").distinct(), "item", "left_semi")
         df = {r["term"] % (1 << 64): r["df"] for r in
               counted.join(in_shard.select("term").distinct(), "term", "left_semi").collect()}
-        index = build_index(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)), df, n_items,
-                            total / n_items, int(longest))
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        entries = [(i, part) for i, text in rows for part in split_item(text)]
+        index = build_index(entries, df, n_items, total / n_items / 2, int(longest), overlap)
         if index is not None:
             found = found.unionByName(picked(docs, "doc_id", "text").mapInArrow(
                 _search(index, least_score, overlap), FOUND))

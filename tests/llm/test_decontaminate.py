@@ -86,3 +86,13 @@ def test_parts_far_apart_and_edited(spark):
     got = dc.contaminated(docs, items).filter("item_id = 9").collect()
     shares = {r["doc_id"]: (round(r["question_overlap"] * 26), round(r["answer_overlap"] * 26)) for r in got}
     assert shares == {1: (20, 21), 3: (20, 22)}
+
+
+def test_items_without_ids_or_parts(spark, docs):
+    words = "some rare words stand here together?\nand an answer nobody else has given"
+    items = spark.createDataFrame([(None, words), (None, ITEMS[0][1]), (8, "town"), (9, None)],
+                                  "item_id bigint, text string")
+    more = docs.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(90, words)], "doc_id bigint, text string"))
+    got = sorted((r["doc_id"], r["item_id"]) for r in dc.contaminated(more, items).collect())
+    assert got == [(10, None), (17, None), (17, None), (19, None), (90, None)]

@@ -180,9 +180,7 @@ def _passages(words: list[np.ndarray], index: Index):
 def _share(grams: tuple[np.ndarray, int], words: np.ndarray, held: dict[int, np.ndarray]) -> float:
     """The share of an entry's runs in ``words``; ``held`` keeps the runs of these by width."""
     wanted, width = grams
-    if len(wanted) == 0:
-        return 1.0
-    if len(words) < width:
+    if len(wanted) == 0 or len(words) < width:
         return 0.0
     if width not in held:
         held[width] = shingle_set(words, width)
@@ -266,11 +264,11 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = 0.5,
     columns are ignored. Words are runs of characters other than white space and ASCII
     punctuation, in lower case. The overlaps are the shares of the distinct 5-word runs of the
     item's question and answer that the document holds, together or far apart; both must reach
-    ``overlap``, and each pair of which both do is found. NULL and empty
-    texts, documents' or items', match nothing.
+    ``overlap``, and each pair of which both do is found. An item without words in its question
+    or in its answer matches nothing, nor do NULL and empty texts, documents' or items'.
     ``score`` only informs: the best BM25 score of a passage against the question or the answer,
     1 if all its words are in it; ``n_passages`` of them reach ``least_score``. Passages are twice
-    as long as the longest item and overlap by half. Rows of one id each count. No rows give no rows.
+    as long as the longest item and overlap by half. An item may have no id. Rows of one id each count. No rows give no rows.
 
     Documents aren't shuffled. Items are indexed in shards of ``SHARD_WORDS`` words at most
     (an item by itself may be longer), each one sent to the tasks; term statistics are those of
@@ -279,7 +277,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = 0.5,
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     items = picked(items, "item_id", "text").filter("text IS NOT NULL").select(
-        F.col("item_id").alias("item"), "item_id", "text")
+        F.xxhash64("item_id", F.col("item_id").isNull(), "text").alias("item"), "item_id", "text")
     terms = scratch.write(items.select("item", "text").mapInArrow(
         _terms, "item bigint, term bigint, words bigint"),
                           "terms")

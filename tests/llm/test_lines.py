@@ -105,3 +105,28 @@ def test_hash_of_kept_text_is_that_of_the_contract(spark):
     want = sorted((d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in brute(docs))
     assert sorted(map(tuple, got.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
                       .collect())) == want
+
+
+def test_many_deletions_lose_no_held_key():
+    """A small first batch, larger ones later, and most keys taken out again."""
+    keys = np.random.default_rng(8).integers(0, 1 << 63, 12_000).astype(np.uint64)
+    segments = []
+    for part in np.split(keys, [1500, 4000, 7000]):
+        segments = cuckoo.insert(segments, part)
+    assert len({len(s) for s in segments}) == 1 and cuckoo.contains(segments, keys).all()
+    segments = cuckoo.delete(segments, keys[5000:9000])
+    assert cuckoo.contains(segments, keys[:5000]).all()
+    assert cuckoo.contains(segments, keys[9000:]).all()
+
+
+def test_filters_that_outgrow_their_segment_are_rebuilt(spark):
+    rows = [(i, f"line number {i} of many\nand another line {i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    small, large = df.filter("doc_id < 10"), df.filter("doc_id >= 10")
+    index = LineIndex.empty(spark).insert(references(small, 10, 2)).insert(references(large, 10, 2))
+    assert {len(r["segments"]) for r in index.filters.collect()} == {1}
+    back = index.delete(df.filter("doc_id % 2 = 0").select("doc_id"))
+    filters = {r["shard"]: [bytes(s) for s in r["segments"]] for r in back.filters.collect()}
+    held = back.counts.collect()
+    assert len(held) == 600 and all(cuckoo.contains(
+        filters[r["shard"]], np.frombuffer(bytes(r["key"])[:8], np.uint64))[0] for r in held)

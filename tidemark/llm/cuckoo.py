@@ -81,22 +81,43 @@ def contains(segments: Sequence[bytes], keys: np.ndarray) -> np.ndarray:
     return found
 
 
+def _added(table: np.ndarray, keys: np.ndarray) -> np.ndarray | None:
+    """The table with ``keys`` too, if they fit."""
+    if (table != 0).sum() + len(keys) > LOAD * table.size:
+        return None
+    table = table.copy()
+    print_, first, _ = _places(keys, len(table))
+    return table if _fill(table, print_, first) else None
+
+
 def insert(segments: Sequence[bytes], keys: np.ndarray) -> list[bytes]:
-    """Adds keys that aren't held yet: into the last segment if it has room, else a new one."""
+    """Adds keys that aren't held yet: into the last segment if it has room, else new ones.
+
+    All segments have the size of the first. Two keys that ``delete`` takes for each other in one
+    segment are then the same to all, and it doesn't matter whose fingerprint goes.
+    """
     segments = list(segments)
     if len(keys) == 0:
         return segments
-    if segments:
-        table = _table(segments[-1]).copy()
-        if (table != 0).sum() + len(keys) <= LOAD * table.size:
-            print_, first, _ = _places(keys, len(table))
-            if _fill(table, print_, first):
-                return segments[:-1] + [table.tobytes()]
-    return segments + [build(keys)]
+    if not segments:
+        return [build(keys)]
+    table = _added(_table(segments[-1]), keys)
+    if table is not None:
+        return segments[:-1] + [table.tobytes()]
+    empty, waiting = np.zeros_like(_table(segments[-1])), [keys]
+    while waiting:
+        part = waiting.pop()
+        table = _added(empty, part)
+        if table is None:
+            waiting += np.array_split(part, 2)
+        else:
+            segments.append(table.tobytes())
+    return segments
 
 
 def delete(segments: Sequence[bytes], keys: np.ndarray) -> list[bytes]:
-    """Takes out one fingerprint of each key, which must have been inserted."""
+    """Takes out one fingerprint of each key, which must have been inserted; segments must be of
+    one size, as ``insert`` makes them."""
     tables = [_table(s).copy() for s in segments]
     for key in keys:
         for table in tables:

@@ -87,6 +87,12 @@ def _changed(change):
     return run
 
 
+def _rebuilt(keys: pa.Table) -> pa.Table:
+    segments = [cuckoo.build(_short(keys["key"]))]
+    return pa.table([keys["shard"].slice(0, 1), pa.array([segments], pa.list_(pa.binary()))],
+                    names=["shard", "segments"])
+
+
 @dataclass
 class LineIndex:
     """The three tables after some inserts and deletes; every change makes a new index."""
@@ -101,10 +107,19 @@ class LineIndex:
         return cls(make("key binary, doc bigint, row bigint, shard bigint"), make(COUNTS),
                    make(FILTERS), scratch or Scratch(spark, "lines"))
 
-    def _with_filters(self, keys: DataFrame, change) -> DataFrame:
+    def _with_filters(self, keys: DataFrame, change, counts: DataFrame) -> DataFrame:
+        """The changed filters; one that has outgrown its segment is built anew, larger, from the
+        keys that its shard holds."""
         changed = (keys.select("key", "shard").groupBy("shard")
                    .cogroup(self.filters.groupBy("shard")).applyInArrow(_changed(change), FILTERS))
-        return self.scratch.write(changed, "filters")
+        changed = self.scratch.write(changed, "filters")
+        grown = changed.filter(F.size("segments") > 1).select("shard")
+        if grown.isEmpty():
+            return changed
+        rebuilt = (counts.select("key", "shard").join(grown, "shard", "left_semi")
+                   .select("key", "shard").groupBy("shard").applyInArrow(_rebuilt, FILTERS))
+        return self.scratch.write(changed.filter(F.size("segments") <= 1).unionByName(rebuilt),
+                                  "filters")
 
     def insert(self, batch: DataFrame, keep_filters: bool = True) -> LineIndex:
         """Adds references. Without ``keep_filters`` no more can be added or taken out."""
@@ -122,7 +137,7 @@ class LineIndex:
         untouched = self.counts.join(met.filter("n_ IS NOT NULL").select("key"), "key", "left_anti")
         counts = self.scratch.write(untouched.unionByName(updated).unionByName(unknown), "counts")
         fresh = unknown.unionByName(met.filter("n_ IS NULL").select(*unknown.columns))
-        filters = self._with_filters(fresh, cuckoo.insert) if keep_filters else self.filters
+        filters = self._with_filters(fresh, cuckoo.insert, counts) if keep_filters else self.filters
         return LineIndex(self.references.unionByName(batch), counts, filters, self.scratch)
 
     def delete(self, ids: DataFrame) -> LineIndex:
@@ -137,7 +152,7 @@ class LineIndex:
                                     .unionByName(recounted), "counts")
         dead = touched.join(recounted.select("key"), "key", "left_anti")
         return LineIndex(self.scratch.write(left, "references"), counts,
-                         self._with_filters(dead, cuckoo.delete), self.scratch)
+                         self._with_filters(dead, cuckoo.delete, counts), self.scratch)
 
     def dropped(self) -> DataFrame:
         """Per document row the keys whose lines go, the smallest document keeping its own."""

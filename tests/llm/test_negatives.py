@@ -1,0 +1,102 @@
+"""Hard negatives against brute force."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm import negatives
+from tidemark.llm.negatives import mine, mine_negatives, quantised, relabelled
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score string, block int"
+
+
+def brute(rows):
+    kept = {}
+    for vec_id, e, label, *_ in rows:
+        if vec_id is None or not e or label is None or any(x is None or not math.isfinite(x) for x in e):
+            continue
+        label = (label + 1) % 10 if vec_id % 7 == 0 else label
+        q = [math.floor(256 * float(np.float32(x))) for x in e]
+        kept[vec_id] = min(kept.get(vec_id, (label, q)), (label, q))
+    out = []
+    for a, (label, q) in kept.items():
+        if a % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, w)), b, other)
+                        for b, (other, w) in kept.items() if b != a and len(w) == len(q))
+        for minus, p, _ in [s for s in scored if s[2] == label][:5]:
+            fits = [(-n, b) for n, b, other in scored if other != label and -30 * minus <= -100 * n <= -90 * minus]
+            out += [(a, p, i + 1, b, -minus, n) for i, (n, b) in enumerate(fits[:10])]
+    return sorted(out, key=repr)
+
+
+def vectors(n=900, dim=16):
+    rng = random.Random(9)
+    centres = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(10)]
+    rows = []
+    for i in range(n):
+        label = rng.randrange(10)
+        base = centres[label if rng.random() < .8 else rng.randrange(10)]
+        length = rng.choice([.2, 1, 1, 3])
+        rows.append((i, [length * (x + rng.gauss(0, .7)) for x in base], label, "c", 1))
+    rows += [(1000 + i, rows[5][1], i % 10, None, None) for i in range(60)]         # one vector, many times
+    rows += [(2000, [0.0] * dim, 3, "z", 0), (2100, [0.0] * dim, None, "z", 0), (2200, None, 1, "z", 0),
+             (2300, [1.0, None] + [0.0] * (dim - 2), 1, "z", 0), (2400, [float("nan")] * dim, 1, "z", 0),
+             (2500, [float("inf")] * dim, 1, "z", 0), (None, rows[1][1], 1, "z", 0), (2600, [], 1, "z", 0),
+             (2700, [1.0, 2.0], 1, "z", 0), (2701, [1.0, 1.0], 2, "z", 0), (2702, [1.0, 2.0], 1, "z", 0),
+             (0, rows[0][1], rows[0][2], "again", 0), (0, rows[3][1], 9, "again", 0),
+             (2800, [-x for x in rows[0][1]], 3, "z", 0)]
+    return rows
+
+
+def test_against_brute_force(spark, rows):
+    given = vectors()
+    assert rows(mine_negatives(spark.createDataFrame(given, SCHEMA))) == brute(given)
+
+
+def test_many_blocks_and_steps(spark, rows, monkeypatch):
+    for name, value in {"MEMBERS": 3, "FIRST_STEP": 2, "LONGEST_STEP": 8}.items():
+        monkeypatch.setattr(negatives, name, value)
+    given = vectors(400)
+    v = quantised(relabelled(spark.createDataFrame(given, SCHEMA))).checkpoint()
+    found = mine(v, v.filter("vec_id % 100 = 0"), centres=4, block_bytes=6000)
+    assert rows(found) == brute(given)
+
+
+def test_wide_components_stay_exact(spark, rows):
+    rng = random.Random(1)
+    given = [(i, [float(rng.randrange(-300_000, 300_000)) for _ in range(4)], i % 3, "", 0) for i in range(201)]
+    assert rows(mine_negatives(spark.createDataFrame(given, SCHEMA))) == brute(given)
+
+
+@pytest.mark.parametrize("spread_out", [False, True])
+def test_lists_end_early(spread_out):
+    """A member stops as soon as the rest can't change its result, and gets the same as by a whole walk."""
+    rng = np.random.default_rng(2)
+    v = np.rint(rng.normal(size=(5000, 8)) * 100).astype(np.int64)
+    if spread_out:
+        v[: 50] *= 40
+    block = negatives._Block(np.arange(5000), np.arange(5000) % 4, v)
+    walked = Counter()
+    plain = block.scores
+    block.scores = lambda a, at: walked.update(n=len(a) * len(at)) or plain(a, at)
+    some = slice(0, 30)
+    centre = v[0] / np.sqrt((v[0] ** 2).sum())
+    block.arrange(0, centre, np.pi)
+    none = np.full((30, 1), 0)
+    a = negatives._Members(block.ids[some], block.labels[some], v[some], none + negatives._LOWEST,
+                           none + negatives._HIGHEST)
+    member, slot, ids, scores = block.best(a, 5, True)
+    assert walked["n"] < 30 * 5000 * (.2 if spread_out else .9)
+    s = v[some] @ v.T
+    for m in range(30):
+        fits = [(-s[m, i], i) for i in range(5000) if i % 4 == m % 4 and i != m]
+        assert list(zip(-scores[member == m], ids[member == m])) == sorted(fits)[:5]
+
+
+def test_no_rows(spark, rows):
+    assert rows(mine_negatives(spark.createDataFrame([], SCHEMA))) == []
+    assert rows(mine_negatives(spark.createDataFrame([(1, [1.0], 1, "", 0)], SCHEMA))) == []

@@ -14,8 +14,8 @@ def test_query_matches_sql(spark, name):
     assert difference(spark, connect(SF_DIR), name, SF_DIR) is None
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.chat import format_chats
+from tidemark.llm.chunks import dedupe_texts
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.fingerprints import fingerprint_versions
+from tidemark.llm.importance import resample
 from tidemark.llm.langid import identify
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.negatives import mine_negatives
 from tidemark.llm.pii import find_personal_data
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.warc import archive_pages
@@ -211,3 +214,96 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records, read back from the archives."""
     return (archive_pages(table(spark, sf_dir, "pages"))
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+_COPIES_SQL = r"""
+WITH plain AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS t
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id,
+  count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS kept, sha256(t) AS text_sha256
+FROM plain
+"""
+
+
+@query("op11_exact", _COPIES_SQL)
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents equal but for blanks."""
+    return (dedupe_texts(table(spark, sf_dir, "documents")).documents
+            .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+
+
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, v.vec_id AS b, a.label = v.label AS same,
+    CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (
+  SELECT a, b, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS INTEGER) AS rank,
+  n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_negatives", _NEGATIVES_SQL)
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    return mine_negatives(table(spark, sf_dir, "embeddings"))
+
+
+_IMPORTANCE_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+texts AS (
+  SELECT 0 AS kind, doc_id, text FROM documents UNION ALL SELECT 1, 0, text FROM benchmark),
+words AS (
+  SELECT kind, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+    lambda x: x <> '') AS w FROM texts),
+counted AS (
+  SELECT kind, doc_id, w, count(*) AS n FROM (SELECT kind, doc_id, unnest(w) AS w FROM words) GROUP BY ALL),
+hashed AS (
+  SELECT w, xor(list_reduce([4294967295] || list_transform(range(octet_length(encode(w))),
+    lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM counted), crc),
+placed AS (SELECT kind, doc_id, bucket, n FROM counted JOIN hashed USING (w)),
+totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE kind = 0), 0) AS s,
+    coalesce(sum(n) FILTER (WHERE kind = 1), 0) AS t FROM placed GROUP BY bucket),
+sums AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM totals),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(totals.t AS DOUBLE) + 1) * (CAST(sums.s AS DOUBLE) + 10000)
+    / ((CAST(totals.s AS DOUBLE) + 1) * (CAST(sums.t AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM totals, sums),
+weights AS (SELECT doc_id, CAST(sum(n * gain) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket)
+  WHERE kind = 0 GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (doc_id) WHERE kind = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+    count(*) FILTER (WHERE n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND r <= 10 * n // 100 THEN r END AS rank FROM ranked
+"""
+
+
+@query("op13_importance", _IMPORTANCE_SQL)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's words."""
+    return (resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))

@@ -35,10 +35,10 @@ def cut(text: Column, shortest: int = SHORTEST, longest: int = LONGEST) -> Colum
 
 @dataclass
 class Recipes:
-    """What dedup leaves, all of it stored.
+    """What dedup leaves.
 
     ``documents`` has a row per document, ``chunks`` is the store ``(hash, variant, chunk,
-    n_places)``, and ``recipes`` gives each ``row`` its ``hashes`` in order and, as ``(place,
+    n_places)``, put together when it is read, and ``recipes`` gives each ``row`` its ``hashes`` in order and, as ``(place,
     variant)``, those that stand for another than the first chunk of their hash.
     """
 
@@ -59,15 +59,26 @@ class Recipes:
                 .select("row", F.coalesce("text", F.lit("")).alias("text")))
 
 
-def _variants(chunks: DataFrame, scratch: Scratch) -> DataFrame:
+def _store(cut_texts: DataFrame, hashed: Callable[[Column], Column]) -> DataFrame:
+    """``(hash, chunk, n_places)``: each chunk once, copies folded in the map tasks."""
+    return (cut_texts.select(F.explode("chunks").alias("chunk"))
+            .groupBy(hashed(F.col("chunk")).alias("hash"), "chunk")
+            .agg(F.count(F.lit(1)).alias("n_places")))
+
+
+def _variants(cut_texts: DataFrame, hashed: Callable[[Column], Column],
+              scratch: Scratch) -> DataFrame:
     """The chunks that share a hash with another, numbered from 0; rarely any.
 
-    Only hashes are shuffled to find them. The result is stored, so that Spark knows its size.
+    This is where hashes are verified: each chunk travels once to be compared with those of its
+    hash. What is shared is stored, so that Spark knows how little it is and sends it to the texts.
     """
-    shared = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = scratch.write(_store(cut_texts, hashed).groupBy("hash")
+                           .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "shared")
     order = Window.partitionBy("hash").orderBy("chunk")
+    chunks = cut_texts.select(F.explode("chunks").alias("chunk")).withColumn("hash", hashed(F.col("chunk")))
     return scratch.write(
-        chunks.select("hash", "chunk").join(shared.select("hash"), "hash", "left_semi")
+        chunks.join(shared, "hash").distinct()
         .withColumn("variant", (F.row_number().over(order) - 1).cast("int")), "variants")
 
 
@@ -85,7 +96,7 @@ def dedupe_texts(docs: DataFrame, shortest: int = SHORTEST, longest: int = LONGE
     any, they have ``longest``. That concerns only how much two different texts share.
     ``hashed`` may give different chunks one hash: they are told apart by content.
 
-    Texts are cut and written once, and their chunks are shuffled once. The largest group of copies
+    Texts are cut and written once, and their chunks are shuffled once, to verify them. The largest group of copies
     is folded in the map tasks; in the join that follows it is on the side that adaptive execution
     splits.
     """
@@ -98,11 +109,7 @@ def dedupe_texts(docs: DataFrame, shortest: int = SHORTEST, longest: int = LONGE
         F.sha2("plain", 256).alias("text_sha256"), cut(F.col("plain"), shortest, longest)
         .alias("chunks")), "cut")
 
-    placed = whole.select(F.explode("chunks").alias("chunk"))
-    store = scratch.write(placed.groupBy(hashed(F.col("chunk")).alias("hash"), "chunk")
-                          .agg(F.count(F.lit(1)).alias("n_places")), "store")
-    variants = _variants(store, scratch)
-
+    variants = _variants(whole, hashed, scratch)
     # Stored like the variants themselves: without any, nothing is read for it again.
     odd = scratch.write(
         whole.select("row", F.posexplode("chunks").alias("place", "chunk"))
@@ -114,7 +121,6 @@ def dedupe_texts(docs: DataFrame, shortest: int = SHORTEST, longest: int = LONGE
         whole.select("row", "doc_id", "n_chars", "text_sha256",
                      F.transform("chunks", lambda c: hashed(c)).alias("hashes")).join(odd, "row", "left")
         .withColumn("variants", F.coalesce("variants", none)), "recipes")
-    scratch.release("cut")
 
     best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "row"))
     groups = scratch.write(
@@ -127,6 +133,6 @@ def dedupe_texts(docs: DataFrame, shortest: int = SHORTEST, longest: int = LONGE
         F.coalesce("n", F.lit(1).cast("bigint")).alias("group_size"),
         (alone | (F.col("keep_row") == F.col("row"))).alias("kept"), "text_sha256",
         F.size("hashes").alias("n_chunks"))
-    numbered = store.join(variants, ["hash", "chunk"], "left").select(
+    numbered = _store(whole, hashed).join(variants, ["hash", "chunk"], "left").select(
         "hash", F.coalesce("variant", F.lit(0)).alias("variant"), "chunk", "n_places")
     return Recipes(documents, numbered, recipes.select("row", "hashes", "variants"))

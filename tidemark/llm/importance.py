@@ -47,11 +47,13 @@ def _texts(batch: pa.RecordBatch) -> list[str | None]:
     return batch.column("text").to_pylist()
 
 
-def frequent(texts: DataFrame, runs: int, limit: int) -> dict[bytes, int]:
-    """CRC states of the ``limit`` most frequent runs of ``runs`` words, by counts over all texts.
+def frequent(texts: DataFrame, runs: int, limit: int, scratch: Scratch) -> dict[bytes, int]:
+    """CRC states of the most frequent runs of ``runs`` words, by counts over all texts.
 
-    Tasks count ahead of the shuffle, a bounded number of distinct runs at a time. What comes to the
-    driver is bounded by ``limit`` runs of ``HEAD_BYTES`` bytes.
+    Tasks count ahead of the shuffle, a bounded number of distinct runs at a time. Counts are told
+    apart in steps of a sixteenth of a power of two; the head is all runs from that step on from which
+    there are ``limit`` at most. So what comes to the driver is one row per step and ``limit`` runs of
+    ``HEAD_BYTES`` bytes, and no task sorts them.
     """
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -73,9 +75,21 @@ def frequent(texts: DataFrame, runs: int, limit: int) -> dict[bytes, int]:
                         yield flush()
         yield flush()
 
-    top = (texts.mapInArrow(counted, "feature binary, n long").groupBy("feature")
-           .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "feature").limit(limit))
-    return {bytes(r.feature): zlib.crc32(r.feature) for r in top.collect()}
+    label = f"runs-{runs}"
+    step = F.floor(F.log2(F.sum("n")) * 16).cast("int")
+    found = scratch.write(texts.mapInArrow(counted, "feature binary, n long").groupBy("feature")
+                          .agg(step.alias("step")), label)
+    sizes = {r.step: r.n for r in found.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect()}
+    room, least = limit, max(sizes, default=0) + 1
+    for each in sorted(sizes, reverse=True):
+        room -= sizes[each]
+        if room < 0:
+            break
+        least = each
+    head = {bytes(r.feature): zlib.crc32(r.feature)
+            for r in found.filter(F.col("step") >= least).select("feature").collect()}
+    scratch.release(label)
+    return head
 
 
 def _states(words: list[bytes], runs: int, head: dict[bytes, int],
@@ -211,8 +225,8 @@ def resample(docs: DataFrame, target: DataFrame, *, runs: int = 1, buckets: int
     texts = picked(docs, "doc_id", "text")
     wanted = picked(target, "text").select(F.lit(0).alias("doc_id"), "text")
     both = texts.select("text").unionByName(wanted.select("text"))
-    head = frequent(both, 1, head_words)
-    pairs = frequent(both, 2, head_pairs) if runs > 1 else {}
+    head = frequent(both, 1, head_words, scratch)
+    pairs = frequent(both, 2, head_pairs, scratch) if runs > 1 else {}
     features = scratch.write(
         hashed_features(texts, runs, buckets, head, pairs, "doc_id")
         .withColumn("row", F.monotonically_increasing_id()), "features")

@@ -21,7 +21,9 @@ from tidemark.operators.effective import open_rows, refresh_current_flag, with_c
 from tidemark.operators.keys import assign_surrogates, duplicate_keys, one_row_per_key
 from tidemark.operators.setops import rows_except, rows_intersect, union_by_name
 from tidemark.operators.upsert import merge_upsert, soft_delete
-from tidemark.plans.jobs import dimension_state, run_described, staging_state
+from tidemark.plans.jobs import (
+    dimension_state, publish_dimension, publish_staging, publish_upsert, run_described, staging_state,
+)
 from tidemark.session import scratch_path
 from tidemark.sources.publish import read_live, replace_live
 from tidemark.sources.sinks import stage
@@ -207,6 +209,24 @@ def merge_staging(spark, sf_dir):
                         ["o_orderkey"], AS_OF)
 
 
+def _published_orders(spark, sf_dir, rows):
+    """A published table whose files hold ranges of keys."""
+    base = scratch_path(spark, "orders-published")
+    replace_live(rows(spark, sf_dir).repartitionByRange(16, "o_orderkey"), base)
+    return base
+
+
+@query("merge_by_file", f"""WITH {ORDER_STATE_SQL}
+{_merged_sql('state', 'src', ['o_orderkey'], ['start_date', 'creation_date'],
+             ['o_orderstatus', 'o_orderpriority', 'o_orderdate', 'end_date', 'change_hash'],
+             AS_OF)}""")
+def merge_by_file(spark, sf_dir):
+    base = _published_orders(spark, sf_dir, order_state)
+    publish_upsert(spark, base, order_source(spark, sf_dir), ["o_orderkey"], AS_OF,
+                   cluster_by=["o_orderkey"])
+    return read_live(spark, base)
+
+
 @query("merge_dup_keys", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
@@ -326,6 +346,24 @@ def dim_job(spark, sf_dir):
     return _dimension_after(spark, sf_dir)
 
 
+@query("sync_by_file", f"WITH {_DIMENSION_SQL} SELECT * FROM staging")
+def sync_by_file(spark, sf_dir):
+    """The staging job on a published table, of which only files with changed rows are rewritten."""
+    base = _published_orders(spark, sf_dir, order_state)
+    publish_staging(spark, base, order_source(spark, sf_dir), ["o_orderkey"], AS_OF)
+    return read_live(spark, base)
+
+
+@query("dim_by_file", f"WITH {_DIMENSION_SQL} SELECT * FROM merged")
+def dim_by_file(spark, sf_dir):
+    """The dimension job on a published dimension, file by file."""
+    base = _published_orders(spark, sf_dir, order_dimension)
+    publish_dimension(spark, base, _order_staging(spark, sf_dir), order_control(spark, sf_dir),
+                      job="F", keys=DIMENSION_KEYS, hashed=DIMENSION_HASHED, surrogate="order_id",
+                      as_of=NEXT_AS_OF, cluster_by=["o_orderkey"])
+    return read_live(spark, base)
+
+
 @query("report_open_rows", f"""WITH {ORDER_STATE_SQL}
 SELECT o_orderkey, o_orderstatus, o_orderpriority, start_date, creation_date AS create_date,
        update_date FROM state WHERE end_date IS NULL""")

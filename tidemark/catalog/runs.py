@@ -19,7 +19,8 @@ from tidemark.plans.control import (
 from tidemark.plans.jobs import ingest
 from tidemark.plans.spec import run_job
 from tidemark.session import scratch_path
-from tidemark.sources.sinks import write_sink
+from tidemark.sources.loads import load_history, read_loads
+from tidemark.sources.sinks import write_load, write_sink
 from tidemark.streaming.files import append_new_files
 
 EVENTS_AS_OF = "2024-01-31 00:00:00"
@@ -111,6 +112,27 @@ def ingest_incremental(spark, sf_dir):
     return spark.read.parquet(base).select("load", "event_id", "event_type")
 
 
+@query("ingest_once", """
+SELECT CASE WHEN ts < TIMESTAMP '2024-01-15 10:05:00' THEN 1
+            WHEN ts < TIMESTAMP '2024-01-20 00:00:00' THEN 2 ELSE 3 END AS number, event_id, event_type
+FROM events""")
+def ingest_once(spark, sf_dir):
+    """Three loads, one of them tried twice, beside the folder of a run that ended before its record
+    was made. Each event is in one load, whose number is found by its time."""
+    base, control = scratch_path(spark, "ingested-once"), scratch_path(spark, "control")
+    events = table(spark, sf_dir, "events")
+    tries = [(datetime(2024, 1, 15, 10, 5), "a"), (datetime(2024, 1, 20), "b"),
+             (datetime(2024, 1, 20), "b"), (datetime(2024, 1, 31), "c")]
+    write_load(events, base, "incr", datetime(2024, 1, 15, 10, 5), token="lost")
+    for as_of, token in tries:
+        ingest(spark, lambda since: events.filter(at("ts") < instant(as_of)), job="events", base=base,
+               control_path=control, load_type="incr", as_of=as_of, changed_col="ts", token=token)
+    loads = load_history(spark, control, "events").select(
+        at("number").cast("int").alias("number"), F.concat(F.lit("t-"), "token").alias("token"))
+    return (read_loads(spark, control, "events").join(loads, "token")
+            .select("number", "event_id", "event_type"))
+
+
 @query("stream_incremental", "SELECT event_id, user_id, event_type FROM events")
 def stream_incremental(spark, sf_dir):
     """Two runs over one folder that gains files in between; no file counts twice."""

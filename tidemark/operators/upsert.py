@@ -80,16 +80,18 @@ def _close(matched: DataFrame, as_of: datetime | str, end_col: str, update_col:
 def soft_delete(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 as_of: datetime | str, *, end_col: str = "end_date",
                 update_col: str = "update_date", hash_col: str = "change_hash",
-                restamp_closed: bool = False) -> DataFrame:
+                restamp_closed: bool = False, action_col: str | None = None) -> DataFrame:
     """Closes target rows whose key has left the source.
 
     By default only open rows are closed. With ``restamp_closed`` every row that is
     already closed is stamped again on each run, its key in the source or not.
+    ``action_col`` adds ``close`` or ``same``.
     """
     live = source.select(*[quoted(k) for k in keys]).distinct()
     closed = _close(_match(target, live, keys), as_of, end_col, update_col, hash_col,
                     restamp_closed)
-    return closed.select(*[quoted(c) for c in target.columns])
+    told = [F.when(F.col(CLOSING), "close").otherwise("same").alias(action_col)] if action_col else []
+    return closed.select(*[quoted(c) for c in target.columns], *told)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -177,7 +179,7 @@ def _next_state(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     kept, added = [updated(c) for c in types], [fresh(c) for c in types]
     if action_col:
-        closed = f"WHEN {CLOSING} AND NOT {MATCHED} THEN 'close'" if close else ""
+        closed = f"WHEN {CLOSING} THEN 'close'" if close else ""
         kept.append(f"CASE WHEN {CHANGED} THEN 'update' {closed} ELSE 'same' END "
                     f"AS {quoted(action_col)}")
         added.append(f"'insert' AS {quoted(action_col)}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame
 
@@ -11,7 +12,7 @@ from tidemark.session import scratch_path
 
 # The two kinds of load, and the names of partition folders.
 FULL, INCREMENTAL = "full", "incr"
-DATE_FOLDER, HOUR_FOLDER, LOAD_FOLDER = "date", "hour", "load"
+DATE_FOLDER, HOUR_FOLDER, LOAD_FOLDER, TOKEN_FOLDER = "date", "hour", "load", "token"
 
 
 def write_sink(df: DataFrame, fmt: str, mode: str = "error",
@@ -53,21 +54,27 @@ def load_kind(load_type: str) -> str:
     return kind
 
 
-def load_path(base: str, load_type: str, as_of: datetime) -> str:
-    """The folder a load goes to: ``base``, or one of its own, in its hour, if incremental."""
+def load_path(base: str, load_type: str, as_of: datetime, token: str | None = None) -> str:
+    """The folder a load goes to: ``base``, or one of its own, in its hour, if incremental.
+
+    Its name is the time of the load, with microseconds if it has any; a ``token`` sets it apart
+    from another load of the same instant, and is the same again in a retry only.
+    """
     base = base.rstrip("/")
     if load_kind(load_type) == FULL:
         return base
-    return (f"{base}/{DATE_FOLDER}={as_of:%Y-%m-%d}/{HOUR_FOLDER}={as_of:%H}"
-            f"/{LOAD_FOLDER}={as_of:%Y%m%d%H%M%S}")
+    at_time = f"{as_of:%Y%m%d%H%M%S}" + (f"{as_of.microsecond:06d}" if as_of.microsecond else "")
+    path = f"{base}/{DATE_FOLDER}={as_of:%Y-%m-%d}/{HOUR_FOLDER}={as_of:%H}/{LOAD_FOLDER}={at_time}"
+    return f"{path}/{TOKEN_FOLDER}=t-{quote(token, safe='')}" if token else path
 
 
 def write_load(df: DataFrame, base: str, load_type: str, as_of: datetime,
                fmt: str = "parquet", mode: str = "overwrite",
                options: dict[str, str] | None = None,
-               partition_by: Sequence[str] = ()) -> str:
-    """Writes one load; overwriting an incremental one replaces a try with the same ``as_of``."""
-    path = load_path(base, load_type, as_of)
+               partition_by: Sequence[str] = (), token: str | None = None) -> str:
+    """Writes one load; overwriting an incremental one replaces a try with the same ``as_of`` and
+    ``token``."""
+    path = load_path(base, load_type, as_of, token)
     write_sink(df, fmt, mode, options, path=path, partition_by=partition_by)
     return path
 

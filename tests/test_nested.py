@@ -247,3 +247,64 @@ def test_typed_projection_and_conform(spark, rows):
         (1, None), (2, "y")]
     schema = T.StructType().add("Y", "string").add("new", "integer").add("x", "long")
     assert rows(conform(df, schema)) == [("", None, 1), ("y", None, 2)]
+
+
+_TREE = ("id int, x_pos string, a array<struct<n: string, xs: array<int>>>, a_b array<int>, "
+         "m map<string, array<int>>, deep array<array<array<int>>>")
+_TREES = [(1, "p", [("p", [1, 2]), ("q", [3]), ("r", None)], [7, 8], {"k": [1, 2], "l": None}, [[[1], []], None]),
+          (1, "p", [("p", [1, 2]), ("q", [3]), ("r", None)], [7, 8], {"k": [1, 2], "l": None}, [[[1], []], None]),
+          (2, None, [], None, None, [[[4, 5]], [[6], [7, 8]]]), (None, "y", [(None, [9])], [], {}, None)]
+
+
+@pytest.mark.parametrize("positions", [True, False])
+@pytest.mark.parametrize("outer", [True, False])
+def test_rejoin_by_carried_parents(spark, rows, outer, positions):
+    """Names that begin alike, a scalar that is named like a position, repeated and NULL records."""
+    df = spark.createDataFrame(_TREES, _TREE)
+    df = df.drop("deep") if positions else df  # positions of arrays in arrays share one name
+    tables = split_tables(df, outer=outer, positions=positions, keep_positions=True)
+    joined, inline = rejoin_tables(tables), inline_tables(df, outer=outer, positions=positions)
+    columns = sorted(joined.columns)
+    assert columns == sorted(inline.columns) and joined.count() > 0
+    assert rows(joined, *columns) == rows(inline, *columns)
+    assert "x_pos" in tables["root_a"].columns and "x_pos" in split_tables(df)["root_a"].columns
+
+
+def test_rejoin_of_stored_tables(spark, tmp_path, rows):
+    df = spark.createDataFrame(_TREES, _TREE).drop("deep")
+    tables = split_tables(df, keep_positions=True)
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / name))
+    stored = {n: spark.read.parquet(str(tmp_path / n)) for n in tables}
+    columns = sorted(inline_tables(df).columns)
+    assert rows(rejoin_tables(stored, ["id"]), *columns) == rows(inline_tables(df), *columns)
+    with pytest.raises(ValueError, match="lacks keys"):
+        rejoin_tables(stored, ["nothing"])
+
+
+@pytest.mark.parametrize("layout", [1, 7])
+def test_parts_are_bounded_in_bytes(spark, layout):
+    df = spark.range(600).repartition(layout).select(
+        F.when(F.col("id") < 500, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+        F.col("id").alias("v"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int") * F.when(
+            F.col("id") == 17, 100).otherwise(1)).alias("s"))
+    nested = nest_rows(df, ["g"], ["v", "s"], "vs", part_bytes=1000)
+    parts = nested.select("g", "part", "vs", F.transform("vs", lambda x: F.octet_length(F.to_json(x)))
+                          .alias("sizes")).orderBy("g", "part").collect()
+    hot = [r for r in parts if r.g == "hot"]
+    assert [x.v for r in hot for x in r.vs] == list(range(500)) and len(parts) > 100
+    assert all(sum(r.sizes[:-1]) < 1000 for r in parts)
+    ahead = 0
+    for r in hot:
+        assert r.part == ahead // 1000
+        ahead += sum(r.sizes)
+    with pytest.raises(ValueError, match="either"):
+        nest_rows(df, ["g"], ["v"], "vs")
+
+
+def test_widths_are_aggregated_not_exploded(spark):
+    df = spark.createDataFrame(_TREES, _TREE)
+    widths, keys = measure_arrays(df)
+    assert keys == {"m": ["k", "l"]}
+    assert widths == {"a": 3, "a_0_xs": 2, "a_1_xs": 1, "a_2_xs": 0, "a_b": 2, "m_k": 2, "m_l": 0, "deep": 2,
+                      "deep_0": 2, "deep_1": 2, "deep_0_0": 2, "deep_0_1": 0, "deep_1_0": 1, "deep_1_1": 2}

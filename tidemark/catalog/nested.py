@@ -226,6 +226,25 @@ def nest_lines(spark, sf_dir):
                          F.array_join(text, ",").alias("items"))
 
 
+@query("nest_by_bytes", """
+WITH sized AS (
+  SELECT *, length('{"turn":' || turn || ',"role":' || CAST(to_json(role) AS VARCHAR) || ',"n_chars":'
+    || length(text) || '}') AS bytes FROM conversations),
+placed AS (
+  SELECT *, coalesce(sum(bytes) OVER (PARTITION BY conv_id ORDER BY turn, role, length(text)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM sized)
+SELECT conv_id, CAST(ahead // 100 AS INTEGER) AS part, count(*) AS n_turns,
+       string_agg(turn, ',' ORDER BY turn, role, length(text)) AS turns
+FROM placed GROUP BY ALL""")
+def nest_turns_by_bytes(spark, sf_dir):
+    """Parts of about a hundred bytes, so that conversations have several."""
+    turns = table(spark, sf_dir, "conversations").withColumn("n_chars", F.length("text"))
+    nested = nest_rows(turns, ["conv_id"], ["turn", "role", "n_chars"], "turns", part_bytes=100)
+    return nested.select("conv_id", "part", F.size("turns").cast("bigint").alias("n_turns"),
+                         F.concat_ws(",", F.transform("turns", lambda t: t["turn"].cast("string")))
+                         .alias("turns"))
+
+
 @query("nest_and_flatten", """
 SELECT conv_id, turn, role, text FROM conversations""")
 def nest_and_flatten(spark, sf_dir):

@@ -45,11 +45,11 @@ def _joined(parts: Sequence[str]) -> str:
 
 
 def _explode(name: str, value: Column, dtype: T.DataType, outer: bool,
-             positions: bool) -> Column:
+             positions: bool, position: str | None = None) -> Column:
     """A generator with the column names that go with it."""
     if positions:
         generator = (F.posexplode_outer if outer else F.posexplode)(value)
-        names = [f"{name}_pos"]
+        names = [position or f"{name}_pos"]
     else:
         generator = (F.explode_outer if outer else F.explode)(value)
         names = []
@@ -57,20 +57,41 @@ def _explode(name: str, value: Column, dtype: T.DataType, outer: bool,
     return generator.alias(*names)
 
 
+# Columns that tables split with ``keep_positions`` carry: the record's number, the positions on the
+# way to a row, and those of the row of the table above that it belongs to.
+RECORD, PLACE, PARENT = "__record", "__place", "__parent"
+_CARRIED, _HERE = (RECORD, PLACE, PARENT), "__here"
+
+
 def split_tables(df: DataFrame, name: str = "root", *, outer: bool = True,
                  positions: bool = True, keep_positions: bool = False) -> dict[str, DataFrame]:
     """One flat table per nesting grain.
 
     Structs are inlined. Every array or map becomes a child table, named
-    ``parent_path``, that repeats the scalars of its parent; positions of outer arrays
-    only with ``keep_positions``, which ``rejoin_tables`` needs. ``outer`` keeps parents of
+    ``parent_path``, that repeats the scalars of its parent. ``outer`` keeps parents of
     empty and NULL arrays with a row of NULLs. A level without scalars has no table of its
-    own. Two tables of one name are an error. Persist the input when several tables are to
-    be written.
+    own. Two tables of one name are an error.
+
+    With ``keep_positions`` tables also repeat the positions of outer arrays, and carry what
+    ``rejoin_tables`` needs: ``RECORD``, ``PLACE`` and ``PARENT``, whose metadata names the table
+    above. The records are staged for that, so that all tables number them alike. Otherwise nothing
+    runs; persist the input when several tables are to be written.
     """
+    if not keep_positions:
+        return _split(df, name, outer, positions, False, None, frozenset())
+    marked = stage(df.withColumns({RECORD: F.monotonically_increasing_id(), PLACE: F.lit(""),
+                                   PARENT: F.lit("")}), "records")
+    return _split(marked, name, outer, positions, True, None, frozenset())
+
+
+def _split(df: DataFrame, name: str, outer: bool, positions: bool, keep: bool, above: str | None,
+           generated: frozenset[str]) -> dict[str, DataFrame]:
+    """The tables of one level and those below. ``above`` is the nearest table with rows of its own,
+    ``generated`` the columns that hold positions."""
     scalars: dict[str, Column] = {}
     nested: dict[str, tuple[Column, T.DataType]] = {}
-    leaves = [(_joined(parts), value, dtype) for parts, value, dtype in _frame_leaves(df)]
+    plain = df.drop(*_CARRIED) if keep else df
+    leaves = [(_joined(parts), value, dtype) for parts, value, dtype in _frame_leaves(plain)]
     distinct_names([n for n, _, _ in leaves], f"flatten {name}")
     for path, value, dtype in leaves:
         if is_array_or_map(dtype):
@@ -78,46 +99,66 @@ def split_tables(df: DataFrame, name: str = "root", *, outer: bool = True,
         else:
             scalars[path] = value
     tables: dict[str, DataFrame] = {}
+    parent = PARENT
     if scalars:
-        tables[name] = df.select(*[v.alias(n) for n, v in scalars.items()])
-    carried = [v.alias(n) for n, v in scalars.items() if keep_positions or not n.endswith("_pos")]
+        own = [at(RECORD), at(PLACE), at(PARENT).alias(PARENT, metadata={"above": above})] if keep else []
+        tables[name] = df.select(*[v.alias(n) for n, v in scalars.items()], *own)
+        above, parent = name, PLACE
+    carried = [v.alias(n) for n, v in scalars.items() if keep or n not in generated]
     for path, (value, dtype) in nested.items():
-        child = df.select(*carried, _explode(path, value, dtype, outer, positions))
-        below = split_tables(child, f"{name}_{path}", outer=outer, positions=positions,
-                             keep_positions=keep_positions)
+        if keep:
+            distinct_names([*scalars, *([f"{path}_pos"] if positions else [])], f"flatten {name}")
+            child = df.select(*carried, at(RECORD), at(PLACE), at(parent).alias(PARENT),
+                              _explode(path, value, dtype, outer, True, _HERE))
+            step = F.concat(at(PLACE), F.lit("/"), F.coalesce(at(_HERE).cast("string"), F.lit("")))
+            child = child.withColumn(PLACE, step)
+            child = child.withColumnRenamed(_HERE, f"{path}_pos") if positions else child.drop(_HERE)
+        else:
+            child = df.select(*carried, _explode(path, value, dtype, outer, positions))
+        below = _split(child, f"{name}_{path}", outer, positions, keep, above,
+                       generated | {f"{path}_pos"})
         distinct_names([*tables, *below], f"flatten {name}: tables")
         tables.update(below)
     return tables
 
 
-def rejoin_tables(tables: dict[str, DataFrame], keys: Sequence[str],
+def rejoin_tables(tables: dict[str, DataFrame], keys: Sequence[str] = (),
                   root: str = "root") -> DataFrame:
-    """Joins the tables of ``split_tables`` back into one on the columns that identify a parent.
+    """Joins the tables of ``split_tables`` back into one.
 
-    The tables must be split with ``keep_positions``: a child meets the element that it was
-    in by the positions on the way there. Keys compare NULL-safe, so a parent is kept
-    whatever is NULL in it. Sibling children of one parent multiply. ``inline_tables`` gives
+    The tables must be split with ``keep_positions``: each row then carries the number of its record
+    and the place of its parent, and its table the name of the one above. So neither names nor values
+    decide who belongs to whom, and a parent is kept whatever is NULL or repeated in it. ``keys``, if
+    given, must be in every table. Sibling children of one parent multiply. ``inline_tables`` gives
     the same rows without a join as long as the nested input is at hand.
     """
-    wide = tables[root]
+    def place_of(name: str) -> str:
+        return f"{PLACE}_{name}"
+
+    for name, table in tables.items():
+        if not set(_CARRIED) <= set(table.columns):
+            raise ValueError(f"table {name} doesn't say where its rows belong: "
+                             "split with keep_positions=True")
+        if not set(keys) <= set(table.columns):
+            raise ValueError(f"table {name} lacks keys of {list(keys)}")
+    first = tables[root]
+    wide = first.select(*[at(c) for c in first.columns if c not in _CARRIED], at(RECORD),
+                        at(PLACE).alias(place_of(root)))
     for name, child in tables.items():
         if name == root:
             continue
-        places = [c for c in child.columns if c.endswith("_pos") and c in wide.columns
-                  and c not in keys]
-        above = next((p for p in tables if p != root and name.startswith(f"{p}_")), None)
-        if above and not any(c in tables[above].columns for c in places):
-            raise ValueError(f"table {name} lacks the positions of {above}: "
-                             "split with keep_positions=True")
-        own = [c for c in child.columns if c not in wide.columns]
-        shared = [*keys, *places]
-        side = child.select(*[at(k).alias(f"__child_{k}") for k in shared], *[at(c) for c in own])
-        match = F.lit(True)
-        for key in shared:
-            match = match & at(key).eqNullSafe(at(f"__child_{key}"))
-        wide = side.join(wide, match, "inner").select(*[at(c) for c in wide.columns],
-                                                      *[at(c) for c in own])
-    return wide
+        above = child.schema[PARENT].metadata.get("above")
+        if above is None:
+            raise ValueError(f"table {name} belongs to no table: {root} is another's")
+        own = [c for c in child.columns if c not in tables[above].columns]
+        distinct_names([*[c for c in wide.columns if not c.startswith("__")], *own], f"rejoin {name}")
+        side = child.select(at(RECORD).alias("__child"), at(PARENT), at(PLACE).alias(place_of(name)),
+                            *[at(c) for c in own])
+        match = (F.col("__child") == F.col(RECORD)) & (F.col(PARENT) == at(place_of(above)))
+        wide = side.join(wide, match).select(*[at(c) for c in wide.columns],
+                                             *[at(c) for c in own], at(place_of(name)))
+    return wide.select(*[at(c) for c in wide.columns
+                         if c != RECORD and not c.startswith(f"{PLACE}_")])
 
 
 def inline_tables(df: DataFrame, *, outer: bool = True, positions: bool = True) -> DataFrame:
@@ -198,61 +239,64 @@ def normalize_any(df: DataFrame) -> DataFrame:
     return drop_null_columns(_flat_to_depth(df, None), "any")
 
 
-def _extents(value: Column, dtype: T.DataType, name: Column) -> Column | None:
-    """Every array's size and every map's keys in a value, as structs with the column's name."""
-    def found(key: Column | None, width: Column | None) -> Column:
-        return F.struct(name.alias("name"),
-                        (F.lit(None) if key is None else key).cast("string").alias("key"),
-                        (F.lit(None) if width is None else width).cast("int").alias("width"))
-
-    def whole(parts: list[Column | None]) -> Column | None:
-        parts = [p for p in parts if p is not None]
-        return F.concat(*parts) if parts else None
-
-    def nothing_if_null(array: Column) -> Column:
-        return F.coalesce(array, F.array().cast("array<struct<name:string,key:string,width:int>>"))
-
-    def below(column: Column, child: T.DataType, label) -> Column | None:
-        if _extents(F.lit(None), child, F.lit("")) is None:
-            return None
-        return nothing_if_null(F.flatten(F.transform(
-            column, lambda x, i: _extents(x, child, label(x, i)))))
-
-    if is_struct(dtype):
-        return whole([_extents(value.getField(f.name), f.dataType,
-                               F.concat(name, F.lit(f"_{f.name}"))) for f in dtype.fields])
-    if is_array(dtype):
-        return whole([F.array(found(None, F.size(value))), below(
-            value, dtype.elementType, lambda x, i: F.concat(name, F.lit("_"), i.cast("string")))])
-    if is_map(dtype):
-        pairs, item = F.map_entries(value), dtype.valueType
-        inner = None
-        if _extents(F.lit(None), item, F.lit("")) is not None:
-            inner = nothing_if_null(F.flatten(F.transform(pairs, lambda e: _extents(
-                e["value"], item, F.concat(name, F.lit("_"), e["key"].cast("string"))))))
-        return whole([nothing_if_null(F.transform(F.map_keys(value), lambda k: found(k, None))),
-                      inner])
-    return None
+def _containers(df: DataFrame) -> tuple[set[str], dict[str, T.DataType]]:
+    """Names of array columns, and of map columns with the type of their keys."""
+    return ({f.name for f in df.schema.fields if is_array(f.dataType)},
+            {f.name: f.dataType.keyType for f in df.schema.fields if is_map(f.dataType)})
+
+
+def _widen_level(df: DataFrame, widths: dict[str, int], keys: dict[str, list[str]],
+                 checked: bool) -> DataFrame:
+    """Arrays and maps that are columns become columns of their elements."""
+    arrays, maps = _containers(df)
+    wide: list[Column] = []
+    for c in df.columns:
+        if c in arrays:
+            array, n = at(c), widths.get(c, 0)
+            if checked and n:
+                array = F.when(F.size(array) > n, F.raise_error(F.lit(
+                    f"{c} has more than {n} elements")).cast(df.schema[c].dataType)) \
+                    .otherwise(array)
+            wide += [F.get(array, F.lit(i)).alias(f"{c}_{i}") for i in range(n)]
+        elif c in maps:
+            wide += [F.try_element_at(at(c), F.lit(k).cast(maps[c])).alias(f"{c}_{k}")
+                     for k in keys.get(c, [])]
+        else:
+            wide.append(at(c))
+    return df.select(*wide)
+
+
+def _named_keys(name: str) -> Column:
+    """The keys of a map column, each with the column's name."""
+    found = F.transform(F.map_keys(at(name)), lambda k: F.struct(
+        F.lit(name).alias("name"), k.cast("string").alias("key")))
+    return F.coalesce(found, F.array().cast("array<struct<name:string,key:string>>"))
 
 
 def measure_arrays(df: DataFrame) -> tuple[dict[str, int], dict[str, list[str]]]:
-    """Widths of arrays and keys of maps at every depth, by flattened name, in one pass.
+    """Widths of arrays and keys of maps at every depth, by flattened name.
 
-    As many rows reach the driver as ``widen_arrays`` makes columns of them.
+    One pass per depth, over the containers of that depth alone. A width is an aggregate of its
+    column; keys are exploded, as their number is not known, and folded in the map tasks. As many
+    values reach the driver as ``widen_arrays`` makes columns of them.
     """
-    parts = [p for f in df.schema.fields
-             if (p := _extents(at(f.name), f.dataType, F.lit(f.name))) is not None]
     widths: dict[str, int] = {}
     keys: dict[str, list[str]] = {}
-    if parts:
-        rows = (df.select(F.explode(F.concat(*parts)).alias("x")).groupBy("x.name", "x.key")
-                .agg(F.max("x.width").alias("width")))
-        for name, key, width in rows.collect():
-            if key is None:
-                widths[name] = max(width or 0, 0)
-            else:
+    while True:
+        df = _flat_to_depth(df, None)
+        arrays, maps = _containers(df)
+        if not arrays and not maps:
+            return widths, keys
+        df = df.select(*[at(c) for c in df.columns if c in arrays or c in maps])
+        if arrays:
+            found = df.agg(*[F.max(F.size(at(c))).alias(c) for c in sorted(arrays)]).first()
+            widths |= {c: max(found[c] or 0, 0) for c in arrays}
+        if maps:
+            pairs = F.concat(*[_named_keys(c) for c in maps])
+            for name, key in df.select(F.explode(pairs).alias("x")).select("x.*").distinct().collect():
                 keys.setdefault(name, []).append(key)
-    return widths, {name: sorted(found) for name, found in keys.items()}
+            keys |= {c: sorted(keys[c]) for c in maps if c in keys}
+        df = _widen_level(df, widths, keys, False)
 
 
 def widen_arrays(df: DataFrame, widths: dict[str, int] | None = None,
@@ -260,7 +304,7 @@ def widen_arrays(df: DataFrame, widths: dict[str, int] | None = None,
     """One row per record: element ``i`` of an array becomes the column ``name_i``.
 
     Maps become one column per key. Widths and keys are given by flattened name, or else
-    come from the data, in one pass over all levels of nesting. Given widths that are
+    come from the data, in one pass for each depth of nesting. Given widths that are
     exceeded are an error when rows are computed; empty containers yield no column.
     """
     checked = widths is not None
@@ -269,41 +313,33 @@ def widen_arrays(df: DataFrame, widths: dict[str, int] | None = None,
         widths, keys = widths if checked else found[0], found[1] if keys is None else keys
     while True:
         df = _flat_to_depth(df, None)
-        arrays = {f.name for f in df.schema.fields if is_array(f.dataType)}
-        maps = {f.name: f.dataType.keyType for f in df.schema.fields if is_map(f.dataType)}
+        arrays, maps = _containers(df)
         if not arrays and not maps:
             return df.select(*[at(c).alias(clean_name(c)) for c in df.columns])
-        wide: list[Column] = []
-        for c in df.columns:
-            if c in arrays:
-                array, n = at(c), widths.get(c, 0)
-                if checked and n:
-                    array = F.when(F.size(array) > n, F.raise_error(F.lit(
-                        f"{c} has more than {n} elements")).cast(df.schema[c].dataType)) \
-                        .otherwise(array)
-                wide += [F.get(array, F.lit(i)).alias(f"{c}_{i}") for i in range(n)]
-            elif c in maps:
-                wide += [F.try_element_at(at(c), F.lit(k).cast(maps[c])).alias(f"{c}_{k}")
-                         for k in keys.get(c, [])]
-            else:
-                wide.append(at(c))
-        df = df.select(*wide)
+        df = _widen_level(df, widths, keys, checked)
 
 
 def nest_rows(df: DataFrame, group_by: Sequence[str], columns: Sequence[str], into: str,
-              part_size: int, part_col: str = "part") -> DataFrame:
+              part_size: int | None = None, part_col: str = "part", *,
+              part_bytes: int | None = None) -> DataFrame:
     """Rows to lists of structs, in the order of the structs' fields.
 
     A list holds ``part_size`` rows at most: rows are numbered inside their group in that
-    order, and each ``part_size`` of them in turn are one part, numbered from 0. So parts are
-    the same in any layout of the input, and none is larger than a task can hold.
+    order, and each ``part_size`` of them in turn are one part, numbered from 0. With
+    ``part_bytes`` instead, a part ends with the row that brings its rows, written as JSON, to so
+    many bytes, so it is larger by one row at most; a row of several times that size leaves the
+    numbers after its part out. Either way parts are the same in any layout of the input, and none
+    is larger than a task can hold.
 
     Rows are range-partitioned by group and columns, a random last column spreading rows that
     are alike, and checkpointed. A group that spans partitions gets offsets, of which there
-    are at most two per partition.
+    are at most two per partition. Bytes are added up inside the pieces of groups that lie in one
+    partition, for which rows are shuffled once more.
     """
+    if (part_size is None) == (part_bytes is None):
+        raise ValueError("give either part_size or part_bytes")
     shared_folder(df.sparkSession)
-    place, task, spread = "__place", "__task", "__spread"
+    place, task, spread, size, before = "__place", "__task", "__spread", "__size", "__before"
     wanted = df.select(*[at(c) for c in dict.fromkeys([*group_by, *columns])])
     names = list(wanted.columns)
     fixed = (wanted.withColumn(spread, F.rand(7))
@@ -312,20 +348,29 @@ def nest_rows(df: DataFrame, group_by: Sequence[str], columns: Sequence[str], in
     position = F.monotonically_increasing_id()
     placed = fixed.withColumns({task: F.shiftright(position, 33).cast("int"), place: position})
     keys = [at(g) for g in group_by]
-    pieces = placed.groupBy(task, *keys).agg(F.count(F.lit(1)).alias("__size"),
-                                             F.min(place).alias("__from"))
     earlier = (Window.partitionBy(*keys).orderBy(task)
                .rowsBetween(Window.unboundedPreceding, -1))
+    if part_bytes is None:
+        measured, amount, zero = placed, F.count(F.lit(1)), F.min(place)
+    else:
+        ahead = (Window.partitionBy(task, *keys).orderBy(place)
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        measured = placed.withColumn(size, F.octet_length(F.to_json(
+            F.struct(*[at(c) for c in columns]))).cast("bigint"))
+        measured = measured.withColumn(before, F.coalesce(F.sum(size).over(ahead), F.lit(0)))
+        amount, zero = F.sum(size), F.lit(0).cast("bigint")
+    pieces = measured.groupBy(task, *keys).agg(amount.alias("__amount"), zero.alias("__from"))
     starts = pieces.select(task, *[k.alias(f"__group_{i}") for i, k in enumerate(keys)],
-                           (F.col("__from") - F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+                           (F.col("__from") - F.coalesce(F.sum("__amount").over(earlier), F.lit(0)))
                            .alias("__zero"))
     same = F.col(f"__start_{task}") == F.col(task)
     for i, key in enumerate(keys):
         same = same & key.eqNullSafe(F.col(f"__group_{i}"))
     starts = starts.withColumnRenamed(task, f"__start_{task}")
-    part = F.floor((F.col(place) - F.col("__zero")) / F.lit(part_size)).cast("int")
+    here = F.col(place if part_bytes is None else before) - F.col("__zero")
+    part = F.floor(here / F.lit(part_size or part_bytes)).cast("int")
     items = F.sort_array(F.collect_list(F.struct(*[at(c) for c in columns])))
-    return (placed.join(starts, same).groupBy(*keys, part.alias(part_col))
+    return (measured.join(starts, same).groupBy(*keys, part.alias(part_col))
             .agg(items.alias(into)))
 
 

@@ -28,7 +28,7 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 #: Pages have no capture time; this one and the id in seconds stand for it.
 FIRST_CAPTURE = "2024-01-01 00:00:00"
 #: Bytes of payload in an archive, and rows of the index in a merged range, about.
-ARCHIVE_BYTES, RANGE_ROWS = 16 << 20, 200
+ARCHIVE_BYTES, RANGE_ROWS = 16 << 20, 20_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -50,23 +50,35 @@ def _record_id(digest: Column, page_id: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def records(pages: DataFrame, scratch: Scratch, least_bytes: int) -> DataFrame:
+def _revisits(rows: DataFrame, least_bytes: int) -> DataFrame:
+    """``(key, digest, first)`` of the pages that revisit another, without their payloads.
+
+    Digests are folded before they are shuffled.
+    """
+    # An id of NULL comes after all others.
+    first = F.min(F.struct(F.col("page_id").isNull(), "page_id"))["page_id"]
+    slim = rows.select("key", "page_id", "digest", "size").filter(F.col("size") >= least_bytes)
+    firsts = slim.groupBy("digest").agg(first.alias("first"))
+    return (slim.join(firsts, "digest").filter(~F.col("page_id").eqNullSafe(F.col("first")))
+            .select("key", "digest", "first").distinct())
+
+
+def records(pages: DataFrame, scratch: Scratch, least_bytes: int, files: int) -> DataFrame:
     """One record per page: ``record`` is its text up to the closing break.
 
     Of pages with equal payloads of ``least_bytes`` or more, the one with the smallest id holds
-    the payload; the others revisit it. Digests are folded before they are shuffled.
+    the payload; the others revisit it. Who does is decided on ids and digests; payloads are shuffled
+    once, into as many partitions as there will be ``files``, where the decisions meet them.
     """
     payload = F.coalesce("html", F.lit(""))
     rows = picked(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload"),
         F.octet_length(payload).cast("bigint").alias("size"), base32_sha1(payload).alias("digest"))
-    # An id of NULL comes after all others.
-    first = F.min(F.struct(F.col("page_id").isNull(), "page_id"))["page_id"]
-    firsts = scratch.write(rows.filter(F.col("size") >= least_bytes).groupBy("digest")
-                           .agg(first.alias("first")), "firsts")
-    rows = rows.join(firsts, "digest", "left")
-    revisit = ((F.col("size") >= least_bytes)
-               & ~F.col("page_id").eqNullSafe(F.col("first")))
+    rows = rows.withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    revisits = scratch.write(_revisits(rows, least_bytes), "revisits")
+    rows = (rows.repartition(files, "key", "digest")
+            .join(revisits.repartition(files, "key", "digest").hint("merge"), ["key", "digest"], "left"))
+    revisit = F.col("first").isNotNull()
     date = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(FIRST_CAPTURE))
                                              + F.coalesce("page_id", F.lit(0))),
                          "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -87,8 +99,7 @@ def records(pages: DataFrame, scratch: Scratch, least_bytes: int) -> DataFrame:
         header("X-Refers-To-Page-ID", F.when(revisit, F.col("first").cast("string"))),
         header("Content-Type", F.lit("application/http; msgtype=response")),
         header("Content-Length", F.octet_length(block).cast("string")), F.lit(LINE), block)
-    return rows.select("page_id", F.when(revisit, 0).otherwise(F.col("size")).alias("weight"),
-                       text.alias("record"))
+    return rows.select(text.alias("record"))
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0,
@@ -99,11 +110,11 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0,
     Records are spread by id over as many files as their bytes need.
     """
     scratch = scratch or Scratch(pages.sparkSession, "warc")
-    made = records(pages, scratch, least_bytes)
     total = pages.agg(F.sum(F.octet_length("html")), F.count(F.lit(1))).first()
     files = max(1, (total[0] or 0) // ARCHIVE_BYTES, total[1] // 50_000)
-    (made.repartition(files, F.xxhash64("page_id", "record")).select(F.col("record").alias("value"))
+    (records(pages, scratch, least_bytes, files).select(F.col("record").alias("value"))
      .write.option("lineSep", BREAK).option("compression", "gzip").text(path))
+    scratch.release("revisits")
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -211,21 +222,36 @@ class LoserTree:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range of the global order: its slices of all runs, merged."""
-    slices: dict[str, list[tuple]] = {}
+    """One range of the global order: its slices of all runs, merged.
+
+    A run's rows come in their order, but for the seam between two blocks of it: where the order
+    falls back, the next slice begins.
+    """
+    slices: dict[str, list[list[tuple]]] = {}
     schema = None
     for batch in batches:
         schema = batch.schema
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            slices.setdefault(row[0], []).append(row)
+            own = slices.setdefault(row[0], [])
+            if own and _order(own[-1][-1]) <= _order(row):
+                own[-1].append(row)
+            else:
+                own.append([row])
     if schema is None:
         return
-    # Blocks of a run arrive in any order; each is a sorted piece, sorted again in linear time.
-    runs = [sorted(rows, key=_order) for _, rows in sorted(slices.items())]
-    out = list(LoserTree(runs, _order))
-    for at in range(0, len(out), 10_000):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*out[at:at + 10_000]), schema)], schema=schema)
+    out: list[tuple] = []
+    for row in LoserTree([s for _, own in sorted(slices.items()) for s in own], _order):
+        out.append(row)
+        if len(out) == 10_000:
+            yield _as_batch(out, schema)
+            out = []
+    if out:
+        yield _as_batch(out, schema)
+
+
+def _as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
 def read_archives(spark, path: str, scratch: Scratch) -> DataFrame:

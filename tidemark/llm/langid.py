@@ -7,6 +7,7 @@ three bytes of the lower-cased text.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 from typing import NamedTuple
@@ -181,11 +182,12 @@ def train(docs: DataFrame, per_language: int = 400) -> Model:
         return Model(families, [], {})
     # Rows far down the order are dropped before they are sorted; twice the share leaves enough.
     order = F.xxhash64(F.lit(11), F.col("doc_id"), F.col("text"))
-    shares = spark.createDataFrame(
-        [(r["lang"], min(1.0, (2.0 * per_language + 200) / r["n"])) for r in counts],
-        "lang string, share double")
-    likely = labelled.join(shares, "lang").withColumn("turn", order).filter(
-        F.pmod("turn", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    # The shares are as many as the languages and stand in the plan, so that the filter is applied
+    # where the texts are read, and only what it leaves is shuffled by language.
+    shares = F.from_json(F.lit(json.dumps({r["lang"]: min(1.0, (2.0 * per_language + 200) / r["n"])
+                                           for r in counts})), "map<string,double>")
+    likely = labelled.withColumn("turn", order).filter(
+        F.pmod("turn", F.lit(1 << 20)) < shares[F.col("lang")] * (1 << 20))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("turn"))
     sample = (likely.withColumn("place", place).filter(F.col("place") <= per_language)
               .select("lang", F.col("place").cast("int").alias("place"), "text"))

@@ -114,3 +114,40 @@ def test_components_of_long_chains(spark):
     df = spark.createDataFrame(links, "u bigint, v bigint")
     got = dict(components(df, Scratch(spark, "t")).collect())
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_long_texts_in_one_bucket_stay_in_bounds(spark, monkeypatch):
+    """Blocks are cut by the bytes of their sets, and shared shingles counted slice by slice."""
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(minhash, "SLICE", 500)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(1500)]
+    docs = []
+    for i in range(24):
+        w = list(base)
+        for j in range(0, 1500, rng.choice([2, 8, 40])):
+            w[j] = f"z{i % 6}_{j}"
+        docs.append((i, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert sorted(map(tuple, near_duplicates(df, 2).collect()), key=repr) == brute(docs, 2)
+
+
+def test_shared_shingles_by_slices(monkeypatch):
+    monkeypatch.setattr(minhash, "SLICE", 64)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(20)]
+    rows, cols = np.arange(0, 9), np.arange(9, 20)
+    shared = minhash._shared(sets, rows, cols)
+    assert shared.tolist() == [[len(np.intersect1d(sets[i], sets[j])) for j in cols] for i in rows]
+
+
+def test_estimates_of_blocks_are_those_of_pairs(spark):
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 400, 300).astype(np.uint64)) for _ in range(12)]
+    sets += [np.unique(np.concatenate((s[20:], s[:5] + np.uint64(10_000)))) for s in sets]
+    sig = np.array([packed_bits(minima(s, minhash._constants())) for s in sets])
+    df = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sig)], "i int, s array<bigint>")
+    pairs = df.join(df.selectExpr("i AS j", "s AS t"), F.col("i") != F.col("j"), "left")
+    told = pairs.select("i", "j", minhash.may_reach(F.col("s"), F.col("t"), 80).alias("m")).collect()
+    fits = minhash._possible(sig.view(np.uint64), sig.view(np.uint64), 80)
+    assert all(fits[r.i, r.j] == r.m for r in told) and 0 < fits.sum() < fits.size

@@ -22,8 +22,10 @@ HASHES = BANDS * ROWS
 PER_LONG = 64 // BITS
 #: Six standard deviations of the estimate below the threshold: what is dropped unseen.
 SLACK = 0.23
-#: Nodes in a block of neighbours that are compared with each other.
-BLOCK_NODES = 128
+#: Nodes in a block of neighbours that are compared with each other, and bytes of their sets, about.
+BLOCK_NODES, BLOCK_BYTES = 128, 16 << 20
+#: Numbers in a slice of the matrix that shared shingles are counted with.
+SLICE = 1 << 22
 
 SIGNATURE = ("doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, "
              "sig array<bigint>")
@@ -149,6 +151,62 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.mapInArrow(_confirm(percent), "u bigint, v bigint")
 
 
+def _possible(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """``may_reach`` for each signature on the left with each on the right."""
+    differ = np.zeros((len(left), len(right)), np.int64)
+    odd = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
+    for i in range(left.shape[1]):
+        x = left[:, i][:, None] ^ right[:, i][None, :]
+        folded = x.copy()
+        for s in range(1, BITS):
+            folded |= x >> np.uint64(s)
+        differ += np.bitwise_count(folded & odd)
+    chance = 2.0 ** -BITS
+    return HASHES - differ >= int(HASHES * (chance + (1 - chance) * (percent / 100 - SLACK)))
+
+
+def _likely(percent: int):
+    """Of two blocks the nodes that some node of the other block may be linked with."""
+    def run(table: pa.Table) -> pa.Table:
+        node, size = table["node"].to_numpy(), table["n_shingles"].to_numpy()
+        left = table["left"].to_numpy(zero_copy_only=False)
+        sig = table["sig"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
+        fits = _possible(sig[rows], sig[cols], percent)
+        low = np.minimum(size[rows][:, None], size[cols][None, :])
+        high = np.maximum(size[rows][:, None], size[cols][None, :])
+        # A node stands on both sides if its hub isn't linked with it.
+        fits &= (100 * low >= percent * high) & (node[rows][:, None] != node[cols][None, :])
+        keep = np.zeros(len(node), bool)
+        keep[rows[fits.any(axis=1)]] = True
+        keep[cols[fits.any(axis=0)]] = True
+        return table.select(["hub", "node", "left", "a", "b"]).filter(pa.array(keep))
+    return run
+
+
+def _shared(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """How many shingles each set of ``rows`` has in common with each of ``cols``.
+
+    Shingles are numbered, those that one set alone holds left out, and taken a slice at a time.
+    """
+    known, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    common = times > 1
+    number = np.cumsum(common) - 1
+    mine = common[place]
+    owner, place = owner[mine], number[place[mine]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    shared = np.zeros((len(rows), len(cols)), np.int64)
+    width = max(1, SLICE // len(sets))
+    for at in range(0, int(common.sum()), width):
+        a, b = np.searchsorted(place, (at, at + width))
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[a:b], place[a:b] - at] = 1
+        shared += (held[rows] @ held[cols].T).astype(np.int64)
+    return shared
+
+
 def _across(percent: int):
     """Links between two blocks of a hub's neighbours: as few as connect all that is linked."""
     def run(table: pa.Table) -> pa.Table:
@@ -156,11 +214,8 @@ def _across(percent: int):
         left = table["left"].to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
         sizes = np.array([len(x) for x in sets])
-        known, place = np.unique(np.concatenate(sets), return_inverse=True)
-        held = np.zeros((len(sets), len(known)), np.float32)
-        held[np.repeat(np.arange(len(sets)), sizes), place] = 1
         rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
-        shared = (held[rows] @ held[cols].T).astype(np.int64)
+        shared = _shared(sets, rows, cols)
         both = sizes[rows][:, None] + sizes[cols][None, :] - shared
         i, j = np.nonzero(100 * shared >= percent * both)
         pairs = _spanning(node[rows[i]].tolist(), node[cols[j]].tolist())
@@ -191,22 +246,27 @@ def _renamed(sig: DataFrame, side: str) -> DataFrame:
                         for c in sig.columns])
 
 
-def _links_across(stars: DataFrame, links: DataFrame, sets: DataFrame, percent: int,
+def _links_across(stars: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFrame, percent: int,
                   scratch: Scratch) -> DataFrame:
     """Links between neighbours of one hub, of which one isn't linked with the hub.
 
     Those that aren't are compared with all the hub's neighbours. Both are dealt into blocks of
-    about ``BLOCK_NODES``, and each pair of blocks is a group of its own.
+    about ``BLOCK_NODES`` and ``BLOCK_BYTES``, and each pair of blocks is a group of its own. First
+    their signatures meet, and only sets that may reach the threshold with another's follow.
     """
     linked = links.select(F.col("u").alias("hub"), F.col("v").alias("node"),
                           F.lit(True).alias("linked"))
     around = stars.join(linked, ["hub", "node"], "left").select(
         "hub", "node", F.coalesce("linked", F.lit(False)).alias("linked"))
-    around = scratch.write(around, "around")
-    apart = F.count(F.when(~F.col("linked"), 1))
+    around = scratch.write(around.join(reps.select("node", "n_shingles"), "node"), "around")
+
+    def blocks(nodes: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(nodes / BLOCK_NODES), F.ceil(8 * shingles / BLOCK_BYTES))
+    apart = ~F.col("linked")
     mixed = (around.groupBy("hub").agg(
-        F.ceil(apart / BLOCK_NODES).alias("left_blocks"),
-        F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("right_blocks"),
+        blocks(F.count(F.when(apart, 1)), F.sum(F.when(apart, F.col("n_shingles"))))
+        .alias("left_blocks"),
+        blocks(F.count(F.lit(1)), F.sum("n_shingles")).alias("right_blocks"),
         F.count(F.lit(1)).alias("nodes")).filter("left_blocks > 0 AND nodes > 1").drop("nodes"))
     near = around.join(scratch.write(mixed, "mixed"), "hub")
     block = lambda n: F.pmod(F.xxhash64("node"), n)
@@ -217,7 +277,10 @@ def _links_across(stars: DataFrame, links: DataFrame, sets: DataFrame, percent:
     dealt = dealt.unionByName(near.select(
         "hub", "node", F.lit(False).alias("left"), every(F.col("left_blocks")).alias("a"),
         block(F.col("right_blocks")).alias("b")))
-    return (dealt.join(sets, "node").groupBy("hub", "a", "b")
+    signed = dealt.join(reps.select("node", "n_shingles", "sig"), "node")
+    likely = scratch.write(signed.groupBy("hub", "a", "b").applyInArrow(
+        _likely(percent), "hub bigint, node bigint, left boolean, a bigint, b bigint"), "likely")
+    return (likely.join(sets, "node").groupBy("hub", "a", "b")
             .applyInArrow(_across(percent), "u bigint, v bigint"))
 
 
@@ -236,7 +299,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     keys are compared among representatives. In a bucket all are compared with its hub only, the
     member that shares most buckets, so a bucket of many near copies costs as many pairs as it
     has members. Neighbours that their hub isn't linked with are then compared with its others,
-    block by block inside the tasks, which give away no more links than connect them. Nothing
+    block by block inside the tasks, by signatures and then by sets, and no more links are given
+    away than connect them. Nothing
     is capped. At 40 bands of 4 minima a link is missed with a chance below 1e-9.
     """
     spark = docs.sparkSession
@@ -271,7 +335,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                     >= percent * F.greatest("n_shingles_u", "n_shingles_v"))
             .filter(may_reach(F.col("sig_u"), F.col("sig_v"), percent)).select("u", "v").distinct())
     links = scratch.write(_confirmed(near, sets, percent), "links")
-    more = _links_across(stars, links, sets, percent, scratch)
+    more = _links_across(stars, links, sig, sets, percent, scratch)
     labels = components(links.unionByName(scratch.write(more, "links-across")), scratch)
     scratch.release("sets", "stars", "reps")
 

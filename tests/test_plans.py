@@ -7,7 +7,7 @@ from tidemark.catalog import QUERIES
 from tidemark.catalog.recipes import staging_source
 from tidemark.catalog.runs import event_control
 from tidemark.operators.columns import require_values
-from tidemark.operators.diff import label_changes
+from tidemark.operators.diff import label_changes, label_changes_by_hash
 from tidemark.operators.keys import assign_surrogates
 from tidemark.operators.upsert import merge_upsert, soft_delete
 from tidemark.plans.control import look_back
@@ -147,3 +147,25 @@ def test_required_columns(spark):
     assert require_values(df, ["a"]).collect() == [(1, None)]
     with pytest.raises(Exception, match="b is NULL"):
         require_values(df, ["b"]).collect()
+
+
+def test_changes_by_hash_split_a_hot_key(spark, tmp_path, no_broadcast):
+    """A key that a third of all rows have, though none should, is split over several tasks."""
+    path = str(tmp_path / "hot")
+    spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 512).alias("h")).repartition(12).write.parquet(path)
+    old = spark.range(-1, 30_000).selectExpr("id AS k", "'x' AS h")
+    options = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+               "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in options.items():
+        spark.conf.set(key, value)
+    try:
+        labelled = label_changes_by_hash(spark.read.parquet(path), old, "k", "h")
+        assert labelled.count() == 60_000 + 10_000
+        plan = executed(labelled)
+    finally:
+        for key in options:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan and "FullOuter" not in plan

@@ -351,3 +351,35 @@ def test_required_values(spark):
     checked = df.select(required(F.col("a"), "int", "a is NULL"))
     with pytest.raises(Exception, match="a is NULL"):
         checked.collect()
+
+
+def test_even_ranges_split_a_hot_value(spark, database, rows):
+    """Half of the rows have one value, a tenth has none, the others lie far apart."""
+    df = spark.range(2000).select(
+        F.col("id").alias("ID"),
+        F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 2 == 1, 5)
+        .otherwise(F.pow(F.col("id"), 3).cast("long")).alias("V"))
+    df = df.withColumn("TS", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00.5' + make_dt_interval(0, 0, 0, V / 1e5)"))
+    jdbc.write_table(df, database, "SKEWED")
+    for column in ("V", "TS"):
+        read = jdbc.read_split(spark, database, "SELECT * FROM SKEWED", jdbc.Split(column, 8, even=True, also="ID"))
+        assert rows(read) == rows(df)
+        sizes = [n for n, in read.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+        assert max(sizes) <= 2 * 250 and 8 <= len(sizes) <= 20
+        plain = jdbc.read_split(spark, database, "SKEWED", jdbc.Split(column, 8))
+        assert max(r[1] for r in plain.groupBy(F.spark_partition_id()).count().collect()) > 1000
+    alone = jdbc.read_split(spark, database, "SKEWED", jdbc.Split("V", 8, even=True))
+    assert rows(alone) == rows(df)
+    jdbc.write_table(df.filter("ID < 0"), database, "EMPTY_TOO")
+    assert jdbc.read_split(spark, database, "EMPTY_TOO", jdbc.Split("V", 8, even=True)).count() == 0
+
+
+def test_even_ranges_of_dates_and_of_nulls_alone(spark, database, rows):
+    df = spark.range(100).select(F.col("id").alias("ID"), F.expr("date_add(DATE'2024-01-01', CAST(id % 5 AS INT))")
+                                 .alias("D"), F.lit(None).cast("int").alias("N"))
+    jdbc.write_table(df, database, "DATED")
+    for split in (jdbc.Split("D", 3, even=True), jdbc.Split("N", 4, even=True, also="ID"),
+                  jdbc.Split("N", 4, even=True), jdbc.Split("D", 1, even=True)):
+        assert rows(jdbc.read_split(spark, database, "DATED", split)) == rows(df)
+    split = jdbc.read_split(spark, database, "DATED", jdbc.Split("N", 4, even=True, also="ID"))
+    assert split.rdd.getNumPartitions() == 4

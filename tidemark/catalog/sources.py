@@ -259,6 +259,15 @@ def src_jdbc_partitioned_ts(spark, sf_dir):
     return rows.select("event_id", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query("src_jdbc_even", "SELECT event_id, user_id, event_type FROM events")
+def src_jdbc_even(spark, sf_dir):
+    """Half of all rows have one value of the split column; they are cut by another."""
+    database, relation = _loaded(spark, sf_dir, "events")
+    hot = f'SELECT src.*, CASE WHEN MOD("event_id", 2) = 0 THEN 7 ELSE "user_id" END AS u FROM {relation} src'
+    rows = jdbc.read_split(spark, database, hot, jdbc.Split("u", 8, even=True, also='"event_id"'))
+    return rows.select("event_id", "user_id", "event_type")
+
+
 @query("sink_jdbc", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def sink_jdbc(spark, sf_dir):
     database, relation = _database(spark), f"customer_{uuid.uuid4().hex[:12]}"

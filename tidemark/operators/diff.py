@@ -59,19 +59,21 @@ def diff_snapshots(new: DataFrame, old: DataFrame, key: str) -> SnapshotDiff:
 
 def label_changes_by_hash(new: DataFrame, old: DataFrame, key: str, hash_col: str,
                           label: str = "change_type") -> DataFrame:
-    """The same classes from one join, for keys that are unique and never NULL.
+    """The same classes by key, for keys that are unique and never NULL.
 
     Compares ``hash_col`` instead of whole rows, and returns the old row for
     deleted keys. Check the keys first (``keys.require_unique``); otherwise use
-    ``label_changes``.
+    ``label_changes``. Rows of ``new`` look up their key in ``old`` and rows of ``old`` theirs in
+    ``new``: two joins of a kind that adaptive execution can split where a key is hot, which it
+    can't do for a full outer join, and for which it may send a small side to all tasks.
     """
-    n, o = new.alias("n"), old.select(*[quoted(c) for c in new.columns]).alias("o")
-    def side(name: str, column: str):
-        return F.col(f"{name}.`{column}`")
-    gone, came = side("n", key).isNull(), side("o", key).isNull()
-    kind = (F.when(came, "new").when(gone, "deleted")
-            .when(side("n", hash_col).eqNullSafe(side("o", hash_col)), "unmodified")
+    n, o = new.alias("n"), old.select(*[quoted(c) for c in new.columns])
+    kept = o.select(at(key).alias("__key"), at(hash_col).alias("__hash"), F.lit(True).alias("__old"))
+    kind = (F.when(F.col("__old").isNull(), "new")
+            .when(F.col(f"n.`{hash_col}`").eqNullSafe(F.col("__hash")), "unmodified")
             .otherwise("modified"))
-    return (n.join(o, side("n", key) == side("o", key), "full_outer")
-            .select(*[F.when(gone, side("o", c)).otherwise(side("n", c)).alias(c)
-                      for c in new.columns], kind.alias(label)))
+    there = (n.join(kept, F.col(f"n.`{key}`") == F.col("__key"), "left_outer")
+             .select(*[F.col(f"n.`{c}`") for c in new.columns], kind.alias(label)))
+    keys = new.select(at(key).alias("__key"))
+    gone = o.join(keys, at(key) == F.col("__key"), "left_anti")
+    return there.unionAll(gone.select(*[quoted(c) for c in new.columns], F.lit("deleted").alias(label)))

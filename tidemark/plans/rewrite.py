@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.columns import quoted, require_values
 from tidemark.sources.publish import (
-    file_of_row, live_step, publish, read_files, version_files, write_instead,
+    Live, file_of_row, live_step, publish, read_files, version_files, write_instead,
 )
 
 ACTION, FILE = "__action", "__file"
@@ -22,7 +22,8 @@ ACTION, FILE = "__action", "__file"
 def rewrite_changed(spark: SparkSession, base: str, state_of: Callable[[DataFrame], DataFrame], *,
                     finish: Callable[[DataFrame], DataFrame] | None = None,
                     required: Sequence[str] = (), cluster_by: Sequence[str] = (),
-                    view: str | None = None, catalog: bool = False) -> int:
+                    view: str | None = None, catalog: bool = False, since: Live | None = None,
+                    hold: bool = False) -> int:
     """Publishes the next state of a table, having written only files with changed rows anew.
 
     ``state_of`` is given rows of the table, of all files or of some, with one column more, ``FILE``,
@@ -35,8 +36,11 @@ def rewrite_changed(spark: SparkSession, base: str, state_of: Callable[[DataFram
     other files stay and are named by the new version. So the work follows the number of files
     touched, and with ``cluster_by`` rows of neighbouring keys are kept in few of them. A reader
     sees one version or the other; another writer's step in between makes this one fail.
+
+    ``since`` is where the log stood when work began, and the version to go on from, by default what
+    is live. With ``hold`` the version is written but left to be published.
     """
-    since = live_step(spark, base)
+    since = since or live_step(spark, base)
     if since.version is None:
         raise ValueError(f"nothing is published in {base}")
     files = version_files(spark, base, since.version)
@@ -59,5 +63,6 @@ def rewrite_changed(spark: SparkSession, base: str, state_of: Callable[[DataFram
     if required:
         changed = require_values(changed, required)
     version = write_instead(changed, base, touched, since, cluster_by)
-    publish(spark, base, version, view, catalog)
+    if not hold:
+        publish(spark, base, version, view, catalog)
     return version

@@ -23,7 +23,7 @@ PER_LONG = 64 // BITS
 #: Six standard deviations of the estimate below the threshold: what is dropped unseen.
 SLACK = 0.23
 #: Nodes in a block of neighbours that are compared with each other, and bytes of their sets, about.
-BLOCK_NODES, BLOCK_BYTES = 128, 16 << 20
+BLOCK_NODES, BLOCK_BYTES = 1024, 16 << 20
 #: Numbers in a slice of the matrix that shared shingles are counted with.
 SLICE = 1 << 22
 

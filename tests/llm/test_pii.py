@@ -3,10 +3,14 @@
 import hashlib
 import random
 import re
+from collections import Counter, defaultdict
+from math import exp, log
 
 import pytest
 
-from tidemark.llm.pii import base_spans, find_personal_data, luhn
+from tidemark.llm.pii import (
+    LIKELY, MARK, _patterns, _words, base_spans, count_ordinary, find_personal_data, luhn, mentions,
+    pattern_filter, prior, refuted)
 from tidemark.llm.queries import QUERIES
 
 KINDS = ("email", "ip", "card", "phone")
@@ -91,3 +95,109 @@ def test_contexts_with_many_unseen_identifiers(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r["doc_id"]: r["n_found"] for r in find_personal_data(docs).collect()}
     assert {d for d, n in got.items() if n} == {i for i in range(60) if i % 3 == 0}
+
+
+def scored_plainly(texts, rounds=3, least=0.9, support=5):
+    """The spans that the method adds, by dictionaries over all texts at once."""
+    ordinary, around, known, bad, said = Counter(), defaultdict(set), {}, {}, []
+    for k, text in enumerate(texts):
+        found = mentions(text, base_spans(text))
+        words = _words(text, found)
+        marks = iter(found)
+        for i, word in enumerate(words):
+            if word == MARK:
+                start, end, base = next(marks)
+                token = text[start:end]
+                key = token.lower()
+                p = 1.0 if base else prior(token)
+                known[key] = max(known.get(key) or 0, p or 0) or None
+                bad[key] = bad.get(key, True) and not base and refuted(token)
+                said.append((k, start, end, base, p, key))
+                for pattern in _patterns(words, i):
+                    around[pattern].add(key)
+            elif word != "\n" and i:
+                ordinary.update(_patterns(words, i))
+    seeds = {key: p for key, p in known.items() if p}
+    scores, new = dict(seeds), {}
+    for _ in range(rounds):
+        doubt = Counter()
+        for pattern, keys in around.items():
+            good = [scores[key] for key in keys if key in scores]
+            if len(good) >= support:
+                places = len(good) + sum(bad[key] for key in keys) + ordinary[pattern]
+                if sum(good) / places >= least:
+                    for key in keys:
+                        doubt[key] += log(1.0001 - sum(good) / places)
+        new = {key: 1 - exp(d) for key, d in doubt.items()
+               if (known[key] or 0) < 1 and not bad[key] and 1 - exp(d) >= least}
+        scores = {**new, **seeds}
+    return {(k, s, e) for k, s, e, base, p, key in said if not base and (p == 1 or key in new)}
+
+
+def revealed(spark, texts):
+    rows = find_personal_data(spark.createDataFrame(list(enumerate(texts)),
+                                                    "doc_id bigint, text string")).collect()
+    return {(r["doc_id"], *map(int, x.split(":")[1:])) for r in rows
+            for x in r["spans"].split(",") if x.startswith("id:")}
+
+
+def secrets():
+    rng, fill = random.Random(5), ["red", "der", "la", "on.", "(far)", "x" * 120, "é:", "\n", "= ="]
+    digits = "0123456789abcdef"
+
+    def prose():
+        return " ".join(rng.choice(fill) for _ in range(rng.randint(0, 6)))
+    texts, planted = [], []
+    for i in range(160):
+        value = "".join(rng.choice(digits) for _ in range(rng.choice([18, 40]))) + "a1"
+        odd = f"Key-{rng.randint(100000, 999999)}!"
+        put, token = [(f'token = "{value}"', value), (f"password={value}", value),
+                      (f"{rng.choice(fill)} {value}", None),
+                      ("AKIA" + value.upper()[:14].translate(str.maketrans("018", "XYZ")) + "QZ", ""),
+                      (f"password={odd}", odd[:-1]), (f"mail u{i}@mail.example.com", None),
+                      (f"nr. 411111111111111{i % 10}", None), ("the token was old", None)][i % 8]
+        before = prose()
+        texts.append(f"{before} {put} {prose()}")
+        if token is not None:
+            token = token or put
+            at = texts[-1].index(token, len(before))
+            planted.append((i, at, at + len(token)))
+    return texts, set(planted)
+
+
+def test_tokens_are_revealed_by_what_they_are_assigned_to(spark):
+    texts, planted = secrets()
+    found = revealed(spark, texts)
+    assert found == scored_plainly(texts)
+    assert planted <= found
+    assert not any(i % 8 in (5, 6, 7) for i, _, _ in found)
+
+
+def test_scores_as_by_dictionaries_on_given_documents(spark):
+    texts = [r["text"] or "" for r in
+             spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    found = revealed(spark, texts)
+    assert found == scored_plainly(texts) and found
+
+
+def test_ordinary_words_are_counted_as_patterns_see_them(spark):
+    texts, _ = secrets()
+    texts += ["", "one", "\n\n", "a b\nc", "k7-44712 = b", f"z{MARK}z q", "w " * 3000 + "y" * 500]
+    want, seen = Counter(), Counter()
+    for text in texts:
+        words = _words(text, mentions(text, base_spans(text)))
+        assert words.count(MARK) == len(mentions(text, base_spans(text)))
+        for i, word in enumerate(words):
+            if i and word not in (MARK, "\n"):
+                want.update(_patterns(words, i))
+    schema = "pattern string"
+    every = pattern_filter(spark.createDataFrame([(p,) for p in want], schema))
+    few = pattern_filter(spark.createDataFrame([("token = _",), ("_ red",), ("_ ^",)], schema))
+    some, known = Counter(), {}
+    for text in texts:
+        words = _words(text, mentions(text, base_spans(text)))
+        count_ordinary(words, every, known, seen)
+        count_ordinary(words, few, {}, some)
+    assert {p: n for p, n in seen.items() if p in want} == dict(want)
+    assert {p: some[p] for p in ("_ red", "_ ^")} == {p: want[p] for p in ("_ red", "_ ^")}
+    assert not any(pattern_filter(spark.createDataFrame([], schema)))

@@ -157,7 +157,7 @@ def secrets():
                       (f"password={odd}", odd[:-1]), (f"mail u{i}@mail.example.com", None),
                       (f"nr. 411111111111111{i % 10}", None), ("the token was old", None)][i % 8]
         before = prose()
-        texts.append(f"{before} {put} {prose()}")
+        texts.append(f"{before} {put}{rng.choice(['', '!!', ';', ')'])} {prose()}")
         if token is not None:
             token = token or put
             at = texts[-1].index(token, len(before))
@@ -169,7 +169,7 @@ def test_tokens_are_revealed_by_what_they_are_assigned_to(spark):
     texts, planted = secrets()
     found = revealed(spark, texts)
     assert found == scored_plainly(texts)
-    assert planted <= found
+    assert planted <= found  # whatever stands behind a quote or a mark isn't part of it
     assert not any(i % 8 in (5, 6, 7) for i, _, _ in found)
 
 

@@ -33,9 +33,9 @@ CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-#: What may be an identifier: a token with a digit, of some length, trimmed of punctuation.
-CANDIDATE = re.compile(r"(?<!\S)\S*?[0-9]\S*")
-TRIM = " \t\n\"'()[]{}<>,.;:!?="
+#: What may be an identifier: what stands with a digit between blanks, quotes, brackets and marks.
+CUT = r"\s\"'()\[\]{}<>,;!?=:"
+CANDIDATE = re.compile(rf"(?<![^{CUT}])[^{CUT}0-9]*+[0-9][^{CUT}]*+")
 LEAST_LENGTH = 6
 
 # Credentials whose makers publish their format, and what looks drawn at random.
@@ -45,7 +45,7 @@ LIKELY = 0.95
 
 #: Words as patterns see them: no quotes or brackets, a name with the sign that assigns to it, and
 #: the ends of lines. A mention is one mark.
-WORD = re.compile(r"\0|[^\s\0\"'()\[\]{}<>,;!?=:]+(?:[^\S\n]*[=:]+)?|\n")
+WORD = re.compile(rf"\0|[^\0{CUT}]+(?:[^\S\n]*[=:]+)?|\n")
 MARK = "\0"
 LINE_END = "^"
 KNOWN_WORDS = 100_000
@@ -225,13 +225,10 @@ def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, in
     ends = [e for _, e, _ in out]
     at = 0
     for m in CANDIDATE.finditer(text) if DIGIT.search(text) else ():
-        token = m.group()
-        # In a token such as name=value the name belongs to the context.
-        start = m.start() + max(token.rfind("="), token.rfind(":")) + 1
-        end = m.end()
-        while start < end and text[start] in TRIM:
+        start, end = m.span()
+        while start < end and text[start] == ".":
             start += 1
-        while start < end and text[end - 1] in TRIM:
+        while start < end and text[end - 1] == ".":
             end -= 1
         while at < len(ends) and ends[at] <= start:
             at += 1

@@ -163,7 +163,8 @@ WITH chats AS (
     string_agg('<|im_start|>' || replace(replace(role, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')
       || e'\n' || replace(replace(text, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')
       || e'<|im_end|>\n', '' ORDER BY turn, role, text) AS rendered
-  FROM conversations GROUP BY conv_id),
+  FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM conversations)
+  GROUP BY conv_id, own),
 whole AS (
   SELECT told, min(conv_id) AS conv_id, min(n_turns) AS n_turns, count(*) AS n_records,
     min(rendered) AS rendered FROM chats GROUP BY told)

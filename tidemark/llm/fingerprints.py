@@ -9,23 +9,47 @@ four times larger.
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.staging import Scratch, picked
 
-#: Where paragraphs end.
-BOUNDARY = r"\n|(?<=[.!?])\s+"
+#: Where paragraphs end: at new lines, behind sentence marks and white space, and behind the
+#: sentence marks of scripts that need none.
+BOUNDARY = r"\n|(?<=[.!?])\s+|(?<=[。！？।؟۔።])"
+#: Paragraphs of more code points are cut further: behind words, and in words of more than
+#: ``LONG_WORD`` code points behind characters, whose hash is a multiple of ``CUT_ONE_IN``.
+LONG_PARAGRAPH, LONG_WORD, CUT_ONE_IN = 400, 64, 16
 #: Cells in each of the three parts of the smallest sketch, which is the fingerprint.
 PART_CELLS = 8
 PASSES = 4
 GROWTH = 4
-#: Documents in a run of neighbouring ids, and how many such runs there are at most.
+#: Documents in a run of neighbouring ids. The runs' bounds travel with the plan; there are
+#: ``MAX_RUNS`` of them at most, so runs of more than ten million documents are longer. A run is
+#: sorted by one task, which spills, and holds no more than two rows at a time beside that.
 RUN_DOCS, MAX_RUNS = 100, 100_000
 
 
+def _marked(parts: Column) -> Column:
+    """A line end behind the parts that end a piece; what is cut depends on content alone."""
+    return F.transform(parts, lambda p: F.when(
+        F.pmod(F.xxhash64(p), F.lit(CUT_ONE_IN)) == 0, F.concat(p, F.lit("\n"))).otherwise(p))
+
+
+def _pieces(paragraph: Column) -> Column:
+    """A long paragraph's pieces, which are the same wherever the same words stand."""
+    words = F.transform(F.split(paragraph, r"\s+", -1), lambda w: F.when(
+        F.char_length(w) > LONG_WORD, F.array_join(_marked(F.split(w, "")), "")).otherwise(w))
+    return F.split(F.array_join(_marked(words), " "), "\n", -1)
+
+
 def paragraph_digests(text: Column) -> Column:
     """The distinct 32-bit digests of a text's paragraphs."""
-    parts = F.filter(F.split(text, BOUNDARY, -1), lambda p: F.btrim(p) != "")
+    parts = F.flatten(F.transform(F.split(text, BOUNDARY, -1), lambda p: F.when(
+        F.char_length(p) > LONG_PARAGRAPH, _pieces(p)).otherwise(F.array(p))))
+    parts = F.filter(parts, lambda p: F.btrim(p) != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p).bitwiseAND(
         F.lit(0xFFFFFFFF))))
 
@@ -119,22 +143,73 @@ def fingerprint_text(cells: DataFrame, by: list[str]) -> DataFrame:
     return cells.groupBy(*by).agg(F.translate(lines, "\r\n", "").alias("sketch"))
 
 
+def read_fingerprint(text: Column) -> Column:
+    """The cells of a fingerprint, as ``fingerprint_text`` packed them."""
+    packed = F.hex(F.unbase64(text))
+    size = (F.char_length(packed) / 26).cast("int")
+
+    def number(i: Column, start: int, digits: int) -> Column:
+        return F.conv(F.substring(packed, i * 26 + start, F.lit(digits)), 16, 10).cast("bigint")
+
+    return F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.struct(
+        number(i, 1, 2).alias("cell"), number(i, 3, 8).alias("n"),
+        number(i, 11, 8).alias("digest"), number(i, 19, 8).alias("check"))))
+
+
+def compare_fingerprints(pairs: DataFrame) -> DataFrame:
+    """How many paragraphs differ, from two fingerprints alone: ``(id, differing)``.
+
+    ``pairs`` needs ``id`` (unique), ``a`` and ``b``, fingerprints as strings. ``differing`` is
+    NULL where the sketches are too small to give all digests back; then only larger ones, made
+    from the texts, can tell. This is the first step of ``differences``, from stored strings.
+    """
+    def signed(side: str, sign: int) -> Column:
+        return F.transform(F.coalesce(read_fingerprint(F.col(side)), F.array()), lambda c: F.struct(
+            c["cell"].alias("cell"), (c["n"] * sign).alias("n"), c["digest"].alias("digest"),
+            c["check"].alias("check")))
+
+    entries = F.explode(F.concat(signed("a", 1), signed("b", -1))).alias("e")
+    cells = _folded(pairs.select("id", entries), ["id"])
+    found = peel(cells, ["id"], PART_CELLS)
+    return pairs.select("id").join(found, "id", "left").select("id", F.when(
+        F.coalesce("stuck", F.lit(0)) == 0, F.coalesce("recovered", F.lit(0))).alias("differing"))
+
+
 def likeness(n_a: Column, n_b: Column, differing: Column) -> Column:
     """Common paragraphs among all; 1 if neither text has any."""
     either = (n_a + n_b + differing) / 2
     return F.when(either == 0, F.lit(1.0)).otherwise((n_a + n_b - differing) / 2 / either)
 
 
-def _run_number(order: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds lie below, by bisection."""
-    table = F.from_json(F.lit(str(bounds)), "array<bigint>")
+def _run_number(order: Column, row: Column, quantiles: list[int]) -> Column:
+    """The run of a row, growing with ``(order, row)``, by bisection of the quantiles.
+
+    An id that is several quantiles has as many runs and one more, cut evenly by the hash ``row``.
+    """
+    often = Counter(quantiles)
+    apart = {q - 1 for q, n in often.items() if n > 1 and q > -(1 << 63)}
+    bounds = sorted(set(quantiles) | apart)
+    slices = [often[b] + 1 if often[b] > 1 else 1 for b in bounds] + [1]
+    firsts = [0, *accumulate(slices)][:-1]
+
+    def listed(numbers: list[int]) -> Column:
+        return F.from_json(F.lit(str(numbers)), "array<bigint>")
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
 
     def step(low: Column, s: Column) -> Column:
         reach = low + s
-        fits = F.coalesce(F.get(table, reach - 1) < order, F.lit(False))
+        fits = F.coalesce(F.get(listed(bounds), reach - 1) < order, F.lit(False))
         return F.when(fits, reach).otherwise(low)
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+    if max(slices) == 1:
+        return below.cast("bigint")
+
+    def place(run: Column) -> Column:
+        n = F.get(listed(slices), run)
+        part = F.floor((row.cast("double") / 2.0 ** 64 + 0.5) * n).cast("bigint")
+        return F.get(listed(firsts), run) + F.least(part, n - 1)
+    # A transform of one element, so that the bisection is written once.
+    return F.transform(F.array(below), place)[0]
 
 
 def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -143,7 +218,8 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     Rows are cut into runs of neighbouring ids, so texts are shuffled once; the first row of each
     run is put at the end of the run before it as well. Bounds and first rows, one for each run,
-    are all that is sent around: ``MAX_RUNS`` at most.
+    are all that is sent around: twice ``MAX_RUNS`` at most. An id of very many rows, as a missing
+    one, is spread over several runs by its texts; equal texts of one id stay in one.
     """
     rows = docs.select(
         "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("order"),
@@ -153,7 +229,7 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     runs = max(1, min(MAX_RUNS, n // RUN_DOCS))
     bounds = keys.agg(F.percentile_approx("order", F.lit([i / runs for i in range(1, runs)] or [.5]),
                                           max(10_000, 4 * runs))).first()[0] or []
-    run = _run_number(F.col("order"), sorted(set(bounds)))
+    run = _run_number(F.col("order"), F.col("row"), bounds)
     heads = (keys.withColumn("run", run).groupBy("run")
              .agg(F.max(F.struct("order", "row")).alias("head")))
     above = Window.orderBy("run")
@@ -185,7 +261,9 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
     a NULL id comes last; rows of one id follow each other in the order of a hash of the text.
     Returns for every row ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``. Likeness is the share of common paragraphs, which the differing
-    ones that the subtracted sketches gave back decide. No rows give no rows.
+    ones that the subtracted sketches gave back decide: those of the fingerprints, and where
+    they are too small, larger ones of the same paragraphs. Whatever ``compare_fingerprints``
+    reads out of two returned fingerprints is the same number. No rows give no rows.
     """
     scratch = Scratch(docs.sparkSession, "fingerprints")
     joined = with_next(picked(docs, "doc_id", "text"), scratch)

@@ -1,14 +1,19 @@
 """Sources, sinks, published versions, control windows, job descriptions and streaming."""
 
 import json
+import subprocess
+import sys
+import time
 import uuid
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
+from __spark_entry__ import queries
 from tidemark.functions.dates import date_hour, run_clock, whole_seconds
 from tidemark.functions.values import required
 from tidemark.plans.control import (
@@ -215,6 +220,30 @@ def test_views_in_the_described_form(spark, rows):
     spark.catalog.uncacheTable("described_a")
 
 
+def test_what_an_application_staged_goes_with_it(tmp_path):
+    program = ("import sys; from tidemark.session import build_session, scratch_path\n"
+               "spark = build_session('t', 'local[1]', 1, {'spark.ui.enabled': 'false',"
+               " 'spark.checkpoint.dir': sys.argv[1]})\n"
+               "spark.range(9).write.parquet(scratch_path(spark, 'x'))\n"
+               "import glob; print('staged', len(glob.glob(sys.argv[1] + '/tidemark/*/x-*')))\n"
+               "raise SystemExit(3)")
+    root = str(Path(__file__).resolve().parent.parent)
+    run = subprocess.run([sys.executable, "-c", program, str(tmp_path)], cwd=root,
+                         capture_output=True, text=True, timeout=120)
+    assert run.returncode == 3 and "staged 1" in run.stdout
+    deadline = time.time() + 30
+    while list(tmp_path.glob("tidemark/*")) and time.time() < deadline:
+        time.sleep(.5)
+    assert not list(tmp_path.glob("tidemark/*"))
+
+
+@pytest.mark.parametrize("name", ["staging_job", "spec_staging", "merge_by_file", "nest_by_bytes"])
+def test_queries_leave_nothing_staged_once_consumed(spark, name):
+    with scratch_scope(spark) as paths:
+        assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert not [p for p in paths if Path(p).exists()]
+
+
 def test_scratch_scope_removes_what_was_staged(spark):
     with pytest.raises(ZeroDivisionError):
         with scratch_scope(spark) as paths:

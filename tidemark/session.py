@@ -51,9 +51,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def application_folder(spark: SparkSession) -> str:
+    """The folder below the shared one that holds all this application stages.
+
+    It is removed when the driver's JVM ends, also after a failure: returned frames read staged
+    tables for as long as the application lives, and nothing can read them after.
+    """
+    path = f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder."""
+    path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
     for paths in _scopes.get():
         paths.append(path)
     return path

@@ -9,6 +9,7 @@ from tidemark.catalog.runs import event_control
 from tidemark.operators.columns import require_values
 from tidemark.operators.diff import label_changes, label_changes_by_hash
 from tidemark.operators.keys import assign_surrogates
+from tidemark.operators.nested import rejoin_tables, split_tables
 from tidemark.operators.upsert import merge_upsert, soft_delete
 from tidemark.plans.control import look_back
 from tidemark.sources.sinks import write_bucketed
@@ -169,3 +170,13 @@ def test_changes_by_hash_split_a_hot_key(spark, tmp_path, no_broadcast):
         for key in options:
             spark.conf.unset(key)
     assert "SortMergeJoin(skew=true)" in plan and "FullOuter" not in plan
+
+
+def test_rejoined_grandchildren_are_shuffled_once(spark, no_broadcast):
+    df = spark.createDataFrame([(1, [("x", [1, 2])], [7, 8])],
+                               "id int, a array<struct<x string, b array<int>>>, m array<int>")
+    joined = rejoin_tables(split_tables(df, keep_positions=True))
+    assert joined.columns == ["id", "a_pos", "a_x", "a_b_pos", "a_b", "m_pos", "m"]
+    # Root and children by the record, then the rows so far and the grandchildren by their parent.
+    assert planned(joined).count("Exchange hashpartitioning") == 5
+    assert joined.count() == 4

@@ -141,15 +141,25 @@ def rejoin_tables(tables: dict[str, DataFrame], keys: Sequence[str] = (),
                              "split with keep_positions=True")
         if not set(keys) <= set(table.columns):
             raise ValueError(f"table {name} lacks keys of {list(keys)}")
+    parents = {name: child.schema[PARENT].metadata.get("above") for name, child in tables.items()}
+
+    def depth(name: str) -> int:
+        if name == root:
+            return 0
+        if parents[name] is None:
+            raise ValueError(f"table {name} belongs to no table: {root} is another's")
+        return 1 + depth(parents[name])
+
     first = tables[root]
     wide = first.select(*[at(c) for c in first.columns if c not in _CARRIED], at(RECORD),
                         at(PLACE).alias(place_of(root)))
-    for name, child in tables.items():
+    added = {root: [c for c in first.columns if c not in _CARRIED]}
+    # Tables of one parent follow each other, so that they share a shuffle, and deeper ones, which
+    # have the more rows, come last: each is shuffled once, and what it is joined to is still short.
+    for name in sorted(tables, key=lambda n: (depth(n), parents[n] or "")):
         if name == root:
             continue
-        above = child.schema[PARENT].metadata.get("above")
-        if above is None:
-            raise ValueError(f"table {name} belongs to no table: {root} is another's")
+        child, above = tables[name], parents[name]
         own = [c for c in child.columns if c not in tables[above].columns]
         distinct_names([*[c for c in wide.columns if not c.startswith("__")], *own], f"rejoin {name}")
         side = child.select(at(RECORD).alias("__child"), at(PARENT), at(PLACE).alias(place_of(name)),
@@ -157,8 +167,8 @@ def rejoin_tables(tables: dict[str, DataFrame], keys: Sequence[str] = (),
         match = (F.col("__child") == F.col(RECORD)) & (F.col(PARENT) == at(place_of(above)))
         wide = side.join(wide, match).select(*[at(c) for c in wide.columns],
                                              *[at(c) for c in own], at(place_of(name)))
-    return wide.select(*[at(c) for c in wide.columns
-                         if c != RECORD and not c.startswith(f"{PLACE}_")])
+        added[name] = own
+    return wide.select(*[at(c) for name in tables for c in added[name]])
 
 
 def inline_tables(df: DataFrame, *, outer: bool = True, positions: bool = True) -> DataFrame:

@@ -180,3 +180,11 @@ def test_rejoined_grandchildren_are_shuffled_once(spark, no_broadcast):
     # Root and children by the record, then the rows so far and the grandchildren by their parent.
     assert planned(joined).count("Exchange hashpartitioning") == 5
     assert joined.count() == 4
+
+
+def test_flattened_words_are_folded_without_a_sort(spark):
+    """A sort of all words spills; only what is left of them may be sorted."""
+    plan = planned(QUERIES["flatten_n"](spark, SF_DIR)).split("== Initial Plan ==")[0]
+    below = plan[:plan.index("Generate explode")]
+    assert "HashAggregate" in below
+    assert "Sort" not in below[below.rindex("HashAggregate") + len("HashAggregate"):]

@@ -156,12 +156,15 @@ FROM (SELECT l.*, w.word, CASE WHEN meta_origin_source <> 'src1' THEN meta_origi
 GROUP BY ALL""")
 def flatten_n(spark, sf_dir):
     flat = flatten_levels(nested_documents(spark, sf_dir), 2)
-    return _or_minus_one(flat.groupBy(
-        "doc_id", "meta_lang", "meta_origin_source", "meta_origin_chars",
-        "lines_shape_chars").agg(
-            F.count(F.lit(1)).alias("n_words"),
-            F.sum(F.length("lines_shape_words")).alias("n_word_chars"),
-            F.coalesce(F.max(at("tags")["source"]), F.lit("none")).alias("tag")),
+    line = ["doc_id", "meta_lang", "meta_origin_source", "meta_origin_chars", "lines_shape_chars"]
+    # Spark sorts all rows for the largest text of a group. So words are folded by hash first, and
+    # the largest is taken of what is left.
+    folded = flat.groupBy(*line, at("tags")["source"].alias("tag")).agg(
+        F.count(F.lit(1)).alias("n_words"),
+        F.sum(F.length("lines_shape_words")).alias("n_word_chars"))
+    return _or_minus_one(folded.groupBy(*line).agg(
+        F.sum("n_words").alias("n_words"), F.sum("n_word_chars").alias("n_word_chars"),
+        F.coalesce(F.max("tag"), F.lit("none")).alias("tag")),
         "lines_shape_chars", "n_word_chars")
 
 

@@ -8,7 +8,7 @@ from tidemark.catalog.recipes import staging_source
 from tidemark.catalog.runs import event_control
 from tidemark.operators.columns import require_values
 from tidemark.operators.diff import label_changes, label_changes_by_hash
-from tidemark.operators.keys import assign_surrogates
+from tidemark.operators.keys import assign_surrogates, failing_duplicates
 from tidemark.operators.nested import rejoin_tables, split_tables
 from tidemark.operators.upsert import merge_upsert, soft_delete
 from tidemark.plans.control import look_back
@@ -188,3 +188,9 @@ def test_flattened_words_are_folded_without_a_sort(spark):
     below = plan[:plan.index("Generate explode")]
     assert "HashAggregate" in below
     assert "Sort" not in below[below.rindex("HashAggregate") + len("HashAggregate"):]
+
+
+def test_checked_keys_are_not_put_into_one_task(spark, source):
+    """By their few bytes all keys would be."""
+    spread = failing_duplicates(source, ["k"]).rdd.getNumPartitions()
+    assert spread == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1

@@ -34,12 +34,25 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate key {hit.asDict()}")
 
 
+def dealt_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Short rows by their keys, in as many parts as the session's shuffles have.
+
+    Keys shrink to a few bytes in a shuffle. By those adaptive execution would put together many
+    millions of them, far more than their size says once they are sorted or hashed in one task.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *[quoted(k) for k in keys])
+
+
 def failing_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A relation without rows that fails the job it is part of when a key is repeated.
 
-    Reads and shuffles keys only, and in the same job as the rows they belong to.
+    Reads and shuffles keys only, and in the same job as the rows they belong to. A hot key is not
+    folded before the shuffle, as it is the error that is sought.
     """
-    counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))
+    columns = [quoted(k) for k in keys]
+    counted = (dealt_by_key(df.select(*columns), keys)
+               .groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows")))
     # The message holds the count, so the test cannot be moved below the aggregation.
     message = F.concat(F.lit("duplicate source key: "),
                        F.to_json(F.struct(*[at(k) for k in keys], "n_rows")))

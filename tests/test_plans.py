@@ -194,3 +194,11 @@ def test_checked_keys_are_not_put_into_one_task(spark, source):
     """By their few bytes all keys would be."""
     spread = failing_duplicates(source, ["k"]).rdd.getNumPartitions()
     assert spread == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_keys_of_a_whole_target_are_dealt_out(target, source, no_broadcast):
+    """By number, or else millions of them, of a few bytes each, make one task."""
+    merged = merge_upsert(target, source, ["k"], AS_OF, on_duplicate="unique", delta=False, **PLAIN)
+    anti = planned(merged).split("LeftAnti")[1]
+    assert "REPARTITION_BY_NUM" in anti
+    assert merged.count() == 1010

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.functions.dates import instant
 from tidemark.functions.hashing import deleted_hash
 from tidemark.operators.columns import at, quoted
-from tidemark.operators.keys import failing_duplicates, split_keyless, unique_keyed
+from tidemark.operators.keys import dealt_by_key, failing_duplicates, split_keyless, unique_keyed
 
 SOURCE = "__source_"
 MATCHED, CLOSING, CHANGED = "__matched", "__closing", "__changed"
@@ -52,18 +52,22 @@ def _unmatched_source(target: DataFrame, keyed: DataFrame, raw: DataFrame,
                       keys: Sequence[str], null_safe: bool, delta: bool) -> DataFrame:
     """Rows of ``keyed`` without a target row.
 
-    Only key columns of the target are read, and made distinct before their
-    shuffle, so the partial aggregation folds hot keys. For a ``delta`` they are
+    Only key columns of the target are read. For a ``delta`` they are made distinct
+    before their shuffle, so the partial aggregation folds hot keys, and are
     first reduced to keys of the source: Spark moves a semi join with a small
     source below that aggregation, and then no other target key is shuffled. It
     takes its keys from the ``raw`` source, so that the choice of one row per key
-    is not made twice.
+    is not made twice. Otherwise all keys are shuffled and dealt out first, so that
+    no task gets too many of them; the copies of a hot key then meet in one task, as
+    bare keys, of which it keeps one.
     """
     columns, condition = [quoted(k) for k in keys], _same_key(keys, null_safe)
-    known = target.select(*columns).distinct()
+    known = target.select(*columns)
     if delta:
         wanted = _prefixed(raw.select(*columns).distinct())
-        known = known.join(wanted, condition, "left_semi")
+        known = known.distinct().join(wanted, condition, "left_semi")
+    else:
+        known = dealt_by_key(known, keys).distinct()
     return _prefixed(keyed).join(known, condition, "left_anti")
 
 

@@ -13,7 +13,7 @@ from tidemark.functions.hashing import (
 from tidemark.operators.diff import diff_snapshots, label_changes, label_changes_by_hash
 from tidemark.operators.effective import refresh_current_flag, with_current_flag
 from tidemark.operators.keys import (
-    assign_surrogates, duplicate_keys, next_surrogate, one_row_per_key, require_unique,
+    assign_surrogates, dealt_by_key, duplicate_keys, next_surrogate, one_row_per_key, require_unique,
 )
 from tidemark.operators.setops import rows_except, rows_intersect, union_by_name
 from tidemark.operators.upsert import merge_upsert, soft_delete, sync_upsert
@@ -244,6 +244,21 @@ def test_one_row_per_key_keeps_keyless_rows(spark, rows):
     assert rows(one_row_per_key(df, ["k"], "h")) == [(1, "b", 4), (None, "a", 1), (None, "a", 1)]
 
 
+@pytest.mark.parametrize("dealt", [False, True])
+def test_one_row_per_key_of_dealt_rows_reads_them_once(spark, rows, dealt, tmp_path):
+    spark.createDataFrame([(1, 2, "a", 5), (1, 2, "b", 4), (1, 2, "b", 3), (None, 2, "a", 1),
+                           (None, 2, "a", 1), (1, None, "c", 7), (3, 2, None, 8)],
+                          "k int, l int, h string, n int").write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    kept = one_row_per_key(dealt_by_key(stored, ["k", "l"]) if dealt else stored, ["k", "l"], "h",
+                           dealt=dealt)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(kept) == [(1, 2, "b", 4), (1, None, "c", 7), (3, 2, None, 8), (None, 2, "a", 1),
+                          (None, 2, "a", 1)]
+    if dealt:
+        assert plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_surrogates_follow_the_order(spark, rows, hot):
     df = spark.range(5000).repartition(7).select(

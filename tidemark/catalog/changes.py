@@ -260,8 +260,8 @@ closed AS (
 def staging_job(spark, sf_dir):
     """The flagship: join, hash, soft delete and upsert into the staging table."""
     return staging_state(staging_table(spark, sf_dir),
-                         staging_source(spark, sf_dir, shipped_from=SHIPPED_FROM),
-                         STAGING_KEYS, AS_OF, on_duplicate="largest")
+                         staging_source(spark, sf_dir, shipped_from=SHIPPED_FROM, dealt=True),
+                         STAGING_KEYS, AS_OF, on_duplicate="largest", dealt=True)
 
 
 DIMENSION_HASHED = [*HASHED, "start_date", "end_date", "is_current"]

@@ -14,7 +14,7 @@ from tidemark.functions.dates import instant
 from tidemark.functions.hashing import deleted_hash, hash_keeping_nulls
 from tidemark.functions.values import label_of, null_of
 from tidemark.operators.columns import at
-from tidemark.operators.keys import one_row_per_key
+from tidemark.operators.keys import dealt_by_key, one_row_per_key
 from tidemark.sources.sinks import stage
 
 AS_OF = "2002-06-01 00:00:00"
@@ -96,11 +96,12 @@ ORDER_KINDS = {"F": "FINISHED", "O": "OPEN"}
 
 
 def staging_source(spark: SparkSession, sf_dir: str, shipped_from: str | None = None,
-                   shipped_before: str | None = None) -> DataFrame:
+                   shipped_before: str | None = None, dealt: bool = False) -> DataFrame:
     """Five tables joined on equal keys, distinct, labelled and hashed.
 
     Rows are made distinct on the plain columns, before the hash is computed; the
-    hash covers the raw status that the label is made from.
+    hash covers the raw status that the label is made from. If ``dealt``, copies are folded
+    while rows are ids, and whole rows are shuffled once, without their hash, by ``STAGING_KEYS``.
     """
     lines = table(spark, sf_dir, "lineitem").filter(at("l_returnflag") == "N")
     if shipped_from:
@@ -109,15 +110,17 @@ def staging_source(spark: SparkSession, sf_dir: str, shipped_from: str | None =
         lines = lines.filter(at("l_shipdate") < instant(shipped_before))
     orders, part, supplier, nation = (table(spark, sf_dir, n)
                                       for n in ("orders", "part", "supplier", "nation"))
-    return (lines.join(orders, at("l_orderkey") == at("o_orderkey"))
-            .join(part, at("l_partkey") == at("p_partkey"))
+    sold = lines.join(orders, at("l_orderkey") == at("o_orderkey"))
+    if dealt:
+        sold = sold.select("o_custkey", "l_partkey", "l_suppkey", "o_orderstatus").distinct()
+    rows = (sold.join(part, at("l_partkey") == at("p_partkey"))
             .join(supplier, at("l_suppkey") == at("s_suppkey"))
             .join(nation, at("s_nationkey") == at("n_nationkey"))
             .select(at("o_custkey").alias("custkey"), at("p_partkey").alias("partkey"),
                     at("p_name").alias("part_name"), at("p_brand").alias("part_brand"),
                     at("s_name").alias("supplier_name"), at("n_name").alias("nation_name"),
-                    at("o_orderstatus").alias("order_status"))
-            .distinct()
+                    at("o_orderstatus").alias("order_status")))
+    return ((dealt_by_key(rows, STAGING_KEYS) if dealt else rows).distinct()
             .withColumns({"order_kind": label_of(at("order_status"), ORDER_KINDS),
                           "end_date": null_of("timestamp_ntz"),
                           "change_hash": hash_keeping_nulls(*STAGING_HASHED)})
@@ -144,8 +147,8 @@ SHIPPED_BEFORE, SHIPPED_FROM = "2001-01-01 00:00:00", "1995-07-01 00:00:00"
 def staging_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored staging table of an earlier run, which had closed the rows of one nation."""
     closed = at("nation_name") == "NATION_3"
-    earlier = stage(staging_source(spark, sf_dir, shipped_before=SHIPPED_BEFORE), "earlier-source")
-    rows = one_row_per_key(earlier, STAGING_KEYS, "change_hash")
+    earlier = staging_source(spark, sf_dir, shipped_before=SHIPPED_BEFORE, dealt=True)
+    rows = one_row_per_key(earlier, STAGING_KEYS, "change_hash", dealt=True)
     return stage(rows.withColumns({
         "start_date": instant(EARLIER_RUN),
         "end_date": F.when(closed, instant(EARLIER_RUN)),

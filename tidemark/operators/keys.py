@@ -35,10 +35,11 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def dealt_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Short rows by their keys, in as many parts as the session's shuffles have.
+    """Rows by their keys, in as many parts as the session's shuffles have.
 
-    Keys shrink to a few bytes in a shuffle. By those adaptive execution would put together many
-    millions of them, far more than their size says once they are sorted or hashed in one task.
+    Short rows, such as bare keys, shrink to a few bytes in a shuffle. By those adaptive execution
+    would put together many millions of them, far more than their size says once they are sorted or
+    hashed in one task.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(parts, *[quoted(k) for k in keys])
@@ -68,25 +69,35 @@ def split_keyless(df: DataFrame, keys: Sequence[str],
     return df.filter(~any_null(keys)), df.filter(any_null(keys))
 
 
+def _ranked(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
+    """Rows with their ``__rank`` among those of their key."""
+    comparable = [f.name for f in df.schema.fields if f.name not in (*keys, prefer)
+                  and f.dataType.typeName() not in ("map", "variant")]
+    best = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(
+        *[at(c).desc() for c in (prefer, *comparable)])
+    return df.withColumn("__rank", F.row_number().over(best))
+
+
 def unique_keyed(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
     """Of the rows of one key, that with the largest ``prefer``; further columns break ties.
 
     All rows must have a key. Spark applies the limit of one row per key in the map
     tasks already, so a hot key shuffles one row per task.
     """
-    comparable = [f.name for f in df.schema.fields if f.name not in (*keys, prefer)
-                  and f.dataType.typeName() not in ("map", "variant")]
-    best = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(
-        *[at(c).desc() for c in (prefer, *comparable)])
-    return (df.withColumn("__rank", F.row_number().over(best))
-            .filter(F.col("__rank") == 1).drop("__rank"))
+    return _ranked(df, keys, prefer).filter(F.col("__rank") == 1).drop("__rank")
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], prefer: str) -> DataFrame:
+def one_row_per_key(df: DataFrame, keys: Sequence[str], prefer: str,
+                    dealt: bool = False) -> DataFrame:
     """``unique_keyed``, with rows that have a NULL key left as they are.
 
-    Reads its input twice; stage one that is costly to compute.
+    Reads its input twice; stage one that is costly to compute. ``dealt`` says that the rows are
+    partitioned by the keys already (``dealt_by_key``); they are then read once and not shuffled. It
+    only decides the plan. Fold copies before rows are dealt, as all rows of a key go to one task.
     """
+    if dealt:
+        return (_ranked(df, keys, prefer).filter((F.col("__rank") == 1) | any_null(keys))
+                .drop("__rank"))
     keyed, keyless = split_keyless(df, keys)
     return unique_keyed(keyed, keys, prefer).unionAll(keyless)
 

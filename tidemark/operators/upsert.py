@@ -36,12 +36,24 @@ def _same_key(keys: Sequence[str], null_safe: bool) -> Column:
 
 
 def _match(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           null_safe: bool = False) -> DataFrame:
-    """Every target row with its source row, if any, and a flag that tells."""
+           null_safe: bool = False, shared: bool = False) -> DataFrame:
+    """Every target row with its source row, if any, and a flag that tells.
+
+    ``shared`` says that ``_unmatched_source`` joins the same source. Where keys aren't NULL, the
+    source's key then is the flag, and columns get their prefix after the join, as Spark moves it
+    behind the other join as well: both read one relation, which is shuffled once.
+    """
     keyed, keyless = split_keyless(target, keys, null_safe)
-    marked = _prefixed(source).withColumn(MATCHED, F.lit(True))
-    joined = (keyed.join(marked, _same_key(keys, null_safe), "left_outer")
-              .withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(False))))
+    if shared and not null_safe:
+        same = F.expr(" AND ".join(f"__target.{quoted(k)} = __source.{quoted(k)}" for k in keys))
+        joined = (keyed.alias("__target").join(source.alias("__source"), same, "left_outer")
+                  .select("__target.*", *[F.col(f"__source.{quoted(c)}").alias(SOURCE + c)
+                                          for c in source.columns])
+                  .withColumn(MATCHED, at(SOURCE + keys[0]).isNotNull()))
+    else:
+        marked = _prefixed(source).withColumn(MATCHED, F.lit(True))
+        joined = (keyed.join(marked, _same_key(keys, null_safe), "left_outer")
+                  .withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(False))))
     if keyless is None:
         return joined
     alone = [F.lit(None).cast(f.dataType).alias(SOURCE + f.name) for f in source.schema.fields]
@@ -187,7 +199,7 @@ def _next_state(target: DataFrame, source: DataFrame, keys: Sequence[str],
         kept.append(f"CASE WHEN {CHANGED} THEN 'update' {closed} ELSE 'same' END "
                     f"AS {quoted(action_col)}")
         added.append(f"'insert' AS {quoted(action_col)}")
-    matched = _match(target, keyed, keys, null_safe)
+    matched = _match(target, keyed, keys, null_safe, shared=True)
     matched = (close(matched) if close else matched).withColumn(
         CHANGED, F.expr(f"{MATCHED} AND {quoted(hash_col)} <> {quoted(SOURCE + hash_col)}"))
     inserted = _unmatched_source(target, keyed, raw, keys, null_safe, delta)

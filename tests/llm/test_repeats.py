@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from tidemark.llm import repeats
 from tidemark.llm.repeats import (
     earlier_and_later, remove_repeats, share_prefix, smaller_before, suffix_array,
 )
@@ -112,3 +113,17 @@ def test_smaller_values_before_in_a_run():
     values = np.array([5, 7, 3, 4, 1, 9, 2])
     tied = np.array([False, True, True, True, False, True, True])
     assert smaller_before(values, tied).tolist() == [False, True, False, True, False, True, True]
+
+
+def test_groups_are_not_put_together_by_their_bytes(spark, monkeypatch):
+    plans = {}
+    write = repeats.Scratch.write
+
+    def noted(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name)
+    monkeypatch.setattr(repeats.Scratch, "write", noted)
+    docs = spark.createDataFrame(corpus(1), "doc_id long, text string")
+    assert remove_repeats(docs, 40, keep_first=False).count() == len(corpus(1))
+    dealt = [line for line in plans["spans"].split("\n") if "hashpartitioning(group#" in line]
+    assert len(dealt) == 1 and "REPARTITION_BY_NUM" in dealt[0]

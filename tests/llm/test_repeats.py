@@ -127,3 +127,34 @@ def test_groups_are_not_put_together_by_their_bytes(spark, monkeypatch):
     assert remove_repeats(docs, 40, keep_first=False).count() == len(corpus(1))
     dealt = [line for line in plans["spans"].split("\n") if "hashpartitioning(group#" in line]
     assert len(dealt) == 1 and "REPARTITION_BY_NUM" in dealt[0]
+
+
+def test_only_suffixes_that_are_long_enough_are_sorted(monkeypatch):
+    rng = random.Random(7)
+    base = bytes(rng.choice(b"abc") for _ in range(90))
+    strings = [base[:70], base[20:], b"c" + base[:66] + b"a", b"a" * 68, base[:63]]
+    found = []
+
+    def noted(*args):
+        found.append(suffix_array(*args))
+        return found[-1]
+    monkeypatch.setattr(repeats, "suffix_array", noted)
+    ids = [np.arange(len(s)) + 1000 * i for i, s in enumerate(strings)]
+    earlier, later = earlier_and_later(strings, ids, 64)
+    places = defaultdict(list)
+    for s, i in zip(strings, ids):
+        for at in range(len(s) - 63):
+            places[s[at:at + 64]].append(i[at])
+    for s, i, e, x in zip(strings, ids, earlier, later):
+        windows = [places[s[at:at + 64]] for at in range(len(s) - 63)]
+        rest = [False] * (len(s) - len(windows))
+        assert e.tolist() == [min(p) < i[at] for at, p in enumerate(windows)] + rest
+        assert x.tolist() == [max(p) > i[at] for at, p in enumerate(windows)] + rest
+    (order, ranks), text = found[0], b"\0".join(strings)
+    assert len(order) == 7 + 7 + 5 + 5
+    windows = [text[at:at + 64] for at in order]
+    assert windows == sorted(windows)
+    # The last two steps sort no more places than those suffixes and what follows them needs.
+    assert [np.count_nonzero(r) for r in ranks[-2:]] == [48, 24]
+    none = earlier_and_later([b"abc"], [np.arange(3)], 8)
+    assert [x[0].tolist() for x in none] == [[False] * 3] * 2
